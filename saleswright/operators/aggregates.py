@@ -7,8 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.functions.scalar import mean
-from saleswright.operators.joins import Keys, inner, outer_one_to_many
+from saleswright.functions.scalar import mean, whole_quotient
+from saleswright.operators.joins import Keys, equal_keys, inner
 
 
 def total_per_name(
@@ -59,8 +59,9 @@ def count_per_parent(
 ) -> DataFrame:
     """Parents with their number of facts, 0 where there is none; keys as (parent, fact)."""
     counts = facts.groupBy(*[b for _, b in keys]).agg(F.count(counted).alias("_n"))
-    return outer_one_to_many(parents, counts, keys).select(
-        *parents.columns, F.coalesce("_n", F.lit(0)).cast("long").alias(alias)
+    return parents.join(counts, equal_keys(parents, counts, keys), "left").select(
+        *[parents[name] for name in parents.columns],
+        F.coalesce("_n", F.lit(0)).cast("long").alias(alias),
     )
 
 
@@ -74,7 +75,7 @@ def joined_in_parts(
     line feed, are its whole text; a group within one range of keys has one part. NULL texts
     add nothing.
     """
-    part = F.floor(F.col(key) / F.lit(keys_per_part)).cast("long")
+    part = whole_quotient(F.col(key), F.lit(keys_per_part)).cast("long")
     return (
         df.filter(F.col(text).isNotNull())
         .groupBy(*group, part.alias("part_no"))

@@ -2,8 +2,9 @@
 
 Inner joins need nothing here: Spark broadcasts a side that its size estimate shows to be
 small, and otherwise adaptive execution splits a hot partition on either side. It cannot
-split the right side of a left outer, semi or anti join, so these forms bring that side
-down to its distinct keys, which partial aggregation does before the shuffle.
+split the right side of a left outer, semi or anti join. There the forms below bring a
+right side with many rows per key down to its distinct keys, which partial aggregation
+does before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 Keys = list[tuple[str, str]]
 
 
-def _equal(left: DataFrame, right: DataFrame, keys: Keys) -> Column:
+def equal_keys(left: DataFrame, right: DataFrame, keys: Keys) -> Column:
     return reduce(Column.__and__, [left[a] == right[b] for a, b in keys])
 
 
@@ -26,17 +27,17 @@ def _distinct_keys(right: DataFrame, keys: Keys) -> DataFrame:
 def with_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     """Rows of ``left`` that match some row of ``right`` (EXISTS, IN)."""
     found = _distinct_keys(right, keys)
-    return left.join(found, _equal(left, found, keys), "left_semi")
+    return left.join(found, equal_keys(left, found, keys), "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     """Rows of ``left`` that match no row of ``right``; a NULL key matches nothing."""
     found = _distinct_keys(right, keys)
-    return left.join(found, _equal(left, found, keys), "left_anti")
+    return left.join(found, equal_keys(left, found, keys), "left_anti")
 
 
 def inner(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
-    return left.join(right, _equal(left, right, keys), "inner")
+    return left.join(right, equal_keys(left, right, keys), "inner")
 
 
 def outer_one_to_many(one: DataFrame, many: DataFrame, keys: Keys) -> DataFrame:

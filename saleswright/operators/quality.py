@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.operators.joins import Keys, without_match
+from saleswright.operators.joins import Keys, equal_keys
 from saleswright.sources.schemas import TableSpec
 
 
@@ -22,8 +22,13 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: Keys) -> DataFrame:
-    """Child rows whose reference is NULL or has no parent; keys as (child, parent)."""
-    return without_match(child, parent, keys)
+    """Child rows whose reference is NULL or has no parent; keys as (child, parent).
+
+    Any number of child rows may share a reference: the anti join reads the parents' keys as
+    they are, without an aggregate in between, so that a hot partition of children can be split.
+    """
+    parents = parent.select(*[b for _, b in keys])
+    return child.join(parents, equal_keys(child, parents, keys), "left_anti")
 
 
 def null_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

@@ -18,6 +18,7 @@ from saleswright.plans.reports import (
     query_top_x,
 )
 from saleswright.plans.views import (
+    by_day,
     mean_sale_by_year,
     sales_by_month,
     sales_lines,
@@ -56,6 +57,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     items = read_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
     )
@@ -85,8 +87,8 @@ def view_filtered(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(SALESDAY_SQL)
 def view_salesday(spark: SparkSession, folder: str) -> DataFrame:
-    view = stage_for_session(_named(salesday(_lines(spark, folder))), "salesday")
-    return view.orderBy("y", "m", "d", F.desc("sales"), "p_partkey")
+    view = salesday(_lines(spark, folder), "order_id", "line_id")
+    return _named(by_day(stage_for_session(view, "salesday")))
 
 
 @query(f"SELECT y, m, sum(sales) AS sales_month FROM ({SALESDAY_SQL}) GROUP BY y, m")
@@ -101,9 +103,10 @@ def view_avg_by_year(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(SALESDAY_CUSTOMER_SQL)
 def view_salesday_customer(spark: SparkSession, folder: str) -> DataFrame:
-    view = salesday_with_customer(_lines(spark, folder), _customers(spark, folder), "c_name")
-    view = stage_for_session(_named(view), "salesday")
-    return view.orderBy("y", "m", "d", F.desc("sales"), "p_partkey", "c_name")
+    view = salesday_with_customer(
+        _lines(spark, folder), _customers(spark, folder), "c_name", "order_id", "line_id"
+    )
+    return _named(by_day(stage_for_session(view, "salesday")))
 
 
 @query(

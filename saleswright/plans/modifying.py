@@ -34,7 +34,7 @@ from saleswright.plans.registry import query
 from saleswright.session import scratch_path
 from saleswright.sources.schemas import DELETED, INSERTED, complete_rows
 from saleswright.sources.tables import read_table
-from saleswright.streaming.audit_stream import audit_rows, start_audit
+from saleswright.streaming.audit_stream import audit_rows, read_changes, start_audit
 
 # --- row changes ----------------------------------------------------------------------
 
@@ -309,14 +309,9 @@ def check_domain(spark: SparkSession, folder: str) -> DataFrame:
 def stream_audit(spark: SparkSession, folder: str) -> DataFrame:
     """The events as change rows, read as a stream into a log, and the log read back."""
     events = read_table(spark, folder, "events")
-    changes = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-        .select("event_id", "event_type")
-    )
+    changes = read_changes(spark, folder, events.schema, "events.parquet")
     operation = F.when(F.col("event_type") == "error", DELETED).otherwise(INSERTED)
-    rows = audit_rows(changes, operation, _stamp())
+    rows = audit_rows(changes.select("event_id", "event_type"), operation, _stamp())
     log = scratch_path(spark, "event-audit")
     start_audit(rows, log, f"{log}-checkpoint").awaitTermination()
     return spark.read.parquet(log).select("event_id", "operation")

@@ -360,6 +360,9 @@ class Sales:
             self.sales_lines(), self._line_customers(), "FirstName", "LastName"
         )
 
+    def salesday_sorted(self) -> DataFrame:
+        return views.by_day(views.salesday(self.sales_lines(), "order_id", "line_id"))
+
     def sales_by_month(self) -> DataFrame:
         return views.sales_by_month(self.salesday()).orderBy("y", "m")
 

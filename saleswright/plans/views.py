@@ -1,8 +1,8 @@
 """Reusable datasets. A view is a plan: the reader adds filters, groups and order.
 
 ``salesday`` takes its inputs under these names: orders (order_id, order_date, customer_id),
-items (order_id, product_id, quantity) and products (product_id, product_name). The price
-of a line, unit_price, may come with the items or with the products.
+items (order_id, line_id, product_id, quantity) and products (product_id, product_name).
+The price of a line, unit_price, may come with the items or with the products.
 """
 
 from __future__ import annotations
@@ -36,6 +36,16 @@ def salesday_with_customer(lines: DataFrame, customers: DataFrame, *names: str)
     return salesday(lines.join(customers, "customer_id"), *names)
 
 
+def by_day(view: DataFrame) -> DataFrame:
+    """The view by day, dearest line first.
+
+    It comes with order_id and line_id, which order ties and spread a hot day, and drops them.
+    """
+    return view.orderBy(
+        "y", "m", "d", F.desc("sales"), "product_id", "order_id", "line_id"
+    ).drop("order_id", "line_id")
+
+
 def sales_by_month(view: DataFrame) -> DataFrame:
     return view.groupBy("y", "m").agg(
         F.sum("sales").cast("decimal(38,2)").alias("sales_month")

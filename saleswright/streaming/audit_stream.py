@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from saleswright.operators.audit import OPERATION
 
 
+def read_changes(
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    files: str = "*.parquet",
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """Change rows from Parquet files as they appear in a folder; a batch's size is bounded."""
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", files)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(folder)
+    )
+
+
 def audit_rows(changes: DataFrame, operation: Column, stamp: Column) -> DataFrame:
     """Change rows as log rows: the row, its stamp and its operation."""
     return changes.withColumns({"updatedat": stamp, OPERATION: operation})
