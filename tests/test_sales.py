@@ -1,0 +1,239 @@
+"""The workload on hand-made rows with NULLs, ties, equal names and odd text."""
+
+from datetime import date
+
+from helpers import D, as_set, small_sales, tuples
+from saleswright.plans import reports
+from saleswright.plans.sales import pick
+
+
+def test_customers(spark):
+    s = small_sales(spark)
+    assert s.customer_names().columns == ["FirstName", "LastName", "City"]
+    assert [r.Id for r in s.customers_in("Sweden").collect()] == [5]
+    assert {r.Id for r in s.customers_in("UK", "Sweden").collect()} == {4, 5}
+    # A customer without a country is neither in nor not in Brazil.
+    assert {r.Id for r in s.customers_not_in("Brazil").collect()} == {4, 5}
+    assert {r.Id for r in s.customers_called("Ana", "Sá").collect()} == {1, 2}
+    assert [r.Id for r in s.customers_by_place().collect()] == [3, 2, 1, 5, 4]
+    assert [r.Id for r in s.customers_of_city("São Paulo").collect()] == [1]
+
+
+def test_suppliers(spark):
+    s = small_sales(spark)
+    assert [r.Id for r in s.suppliers_by_name().collect()] == [1, 2, 3]
+    assert [r.Id for r in s.suppliers_by_name(descending=True).collect()] == [3, 2, 1]
+    assert {r.Id for r in s.suppliers_in("UK", "Italy", "Japan").collect()} == {1, 3}
+    assert {r.Id for r in s.suppliers_with_fax().collect()} == {2}
+    assert {r.Id for r in s.suppliers_with_fax(False).collect()} == {1, 3}
+    assert tuples(s.supplier_countries()) == [("France",), ("Italy",), ("UK",)]
+    assert tuples(s.supplier_count()) == [(3, "The number of suppliers is 3")]
+
+
+def test_contacts_are_listed_once(spark):
+    s = small_sales(spark)
+    twice = s.customer.unionAll(s.customer)
+    again = type(s)(twice, s.supplier, s.product, s.order, s.order_item)
+    assert again.contacts().columns == ["Type", "ContactName", "City", "Country", "Phone"]
+    assert as_set(again.contacts()) == as_set(s.contacts())
+    assert s.contacts().count() == 8
+
+
+def test_products(spark):
+    s = small_sales(spark)
+    # The tie at 18.00 is ordered by key.
+    assert [r.Id for r in s.dearest_products(2).collect()] == [3, 1]
+    assert tuples(s.lowest_price()) == [(D("9.99"),)]
+    assert {r.Id for r in s.products_not_at(10, 18).collect()} == {3, 5}
+    assert [r.Id for r in s.products_between(9, 18).collect()] == [5, 1, 2]
+    assert [r.Id for r in s.products_not_between(9, 18).collect()] == [3]
+    assert {r.Id for r in s.products_like("Cha_").collect()} == {1}
+    assert {r.Id for r in s.products_like("Cha_", "Chan_").collect()} == {1, 3}
+    assert {r.Id for r in s.products_like("%\\%\\_%").collect()} == {4}
+    assert as_set(s.products_sold_over(100)) == {("Chai",)}
+    assert as_set(s.suppliers_with_product_over(100)) == {("Bolt",)}
+    assert s.active_products().columns == ["productname", "id", "unit_price"]
+    assert s.active_products().count() == 3
+    assert s.price_list().schema["list_price"].dataType.simpleString() == "decimal(10,2)"
+
+
+def test_between_its_negation_and_null_split_the_table(spark):
+    s = small_sales(spark)
+    parts = [
+        {r.Id for r in s.products_between(10, 100).collect()},
+        {r.Id for r in s.products_not_between(10, 100).collect()},
+        {r.Id for r in s.product.filter("UnitPrice IS NULL").collect()},
+    ]
+    assert sum(map(len, parts)) == 5
+    assert set.union(*parts) == {1, 2, 3, 4, 5}
+
+
+def test_all_names_come_in_parts_that_make_up_the_whole(spark):
+    s = small_sales(spark)
+    whole = "\n".join(["Chai", "chai", "Chang", "100%_pure", "Zu"])
+    assert tuples(s.all_product_names()) == [(0, whole)]
+    parts = tuples(s.all_product_names(keys_per_part=2))
+    assert parts == [(0, "Chai"), (1, "chai\nChang"), (2, "100%_pure\nZu")]
+    assert "\n".join(text for _, text in parts) == whole
+
+
+def test_orders(spark):
+    s = small_sales(spark)
+    assert [r.Id for r in s.orders_within(70, 300).collect()] == [2, 1, 5]
+    assert [r.Id for r in s.orders_outside(70, 100).collect()] == [2, 3]
+    assert {r.Id for r in s.orders_of_year(2013).collect()} == {1, 2, 3}
+    assert s.orders_of_year(2013, 2).count() == 2
+    assert tuples(s.largest_order(2014)) == [(D("70.00"),)]
+    assert tuples(s.total_of_year(2013)) == [(D("450.00"),)]
+    assert tuples(s.mean_order()) == [(130.0,)]
+    january = date(2013, 1, 1), date(2013, 1, 31)
+    assert tuples(s.sold_between(*january)) == [(1, D("100.00"))]
+    assert tuples(s.sold_between(*january, whole_last_day=True)) == [(2, D("400.00"))]
+    assert tuples(s.sold_between(date(1990, 1, 1), date(1990, 1, 2))) == [(0, None)]
+
+
+def test_customers_per_country(spark):
+    s = small_sales(spark)
+    assert tuples(s.customers_per_country()) == [
+        ("Brazil", 2), (None, 1), ("Sweden", 1), ("UK", 1)
+    ]
+    assert tuples(s.customers_per_country(other_than="UK", at_least=2)) == [("Brazil", 2)]
+
+
+def test_customers_and_orders(spark):
+    s = small_sales(spark)
+    assert s.orders_with_customer().count() == 5
+    # Two customers share a name: one group by name, two by key.
+    assert tuples(s.total_per_customer()) == [
+        ("Ana", "Sá", D("450.00")), ("Kim", "Roe", D("70.00"))
+    ]
+    assert tuples(s.total_per_customer_key()) == [
+        (1, "Ana", "Sá", D("400.00")),
+        (4, "Kim", "Roe", D("70.00")),
+        (2, "Ana", "Sá", D("50.00")),
+    ]
+    rows = tuples(s.customers_with_orders())
+    assert [(r[0], r[4], r[5]) for r in rows] == [
+        ("Joe", None, None),
+        ("Kim", "903", None),
+        ("Ulf", None, None),
+        ("Ana", "902", D("50.00")),
+        ("Kim", "904", D("70.00")),
+        ("Ana", "900", D("100.00")),
+        ("Ana", "901", D("300.00")),
+    ]
+    # As written, an order with a NULL total counts as no order; as meant, it does not.
+    assert {r[0] for r in tuples(s.customers_with_null_total())} == {"Joe", "Kim", "Ulf"}
+    assert {r.Id for r in s.customers_without_orders().collect()} == {3, 5}
+    assert sorted(tuples(s.order_counts())) == [
+        ("Ana", "Sá", 1), ("Ana", "Sá", 2), ("Joe", "Low", 0), ("Kim", "Roe", 2), ("Ulf", "Ek", 0)
+    ]
+
+
+def test_both_forms_agree_where_totals_are_known(spark):
+    s = small_sales(spark)
+    known = type(s)(
+        s.customer, s.supplier, s.product, s.order.filter("TotalAmount IS NOT NULL"), s.order_item
+    )
+    assert {r[0] for r in tuples(known.customers_with_null_total())} == {
+        r.FirstName for r in known.customers_without_orders().collect()
+    }
+
+
+def test_mean_bounds_are_included(spark):
+    s = small_sales(spark)
+    # Ana Sá: 450 over three orders; Kim Roe: 70 over the one with a total.
+    assert as_set(s.customers_with_mean_between(70, 150)) == {
+        ("Ana", "Sá", 150.0), ("Kim", "Roe", 70.0)
+    }
+    assert as_set(s.customers_with_mean_between(D("70.01"), D("149.99"))) == set()
+
+
+def test_sales_view(spark):
+    s = small_sales(spark)
+    assert s.order_lines().columns == [
+        "OrderNumber", "Datetime", "ProductName", "Quantity", "UnitPrice"
+    ]
+    assert [r.OrderNumber for r in s.order_lines().collect()] == [
+        "900", "901", "902", "903", "904"
+    ]
+    assert s.order_lines(as_date=True).collect()[2].Date == date(2013, 12, 31)
+    # Sales use the price of the line, not of the product.
+    assert tuples(s.salesday_sorted())[0] == (2013, 1, 1, 1, "Chai", D("100.00"))
+    assert tuples(s.sales_by_month()) == [
+        (2013, 1, D("400.00")),
+        (2013, 12, D("50.00")),
+        (2014, 1, D("1.11")),
+        (2014, 5, D("70.00")),
+    ]
+    assert tuples(s.mean_sale_by_year()) == [(2013, 150.0), (2014, 35.555)]
+    assert tuples(s.top_customers(1)) == [("Ana Sá", D("450.00"))]
+    assert s.salesday_with_customer().columns[-2:] == ["FirstName", "LastName"]
+    assert tuples(s.year_against(2013, 449)) == [(450, "2013 sales are greater than 449")]
+    assert tuples(s.year_against(2013, 450)) == [(450, "2013 sales are not greater than 450")]
+    assert tuples(s.year_against(1990, 1)) == [(None, "1990 sales are not greater than 1")]
+    assert tuples(s.discounted_lines())[:2] == [(2, D("270.00")), (1, D("90.00"))]
+
+
+def test_pick_is_one_row_not_variables(spark):
+    s = small_sales(spark)
+    assert tuples(pick(s.product, ["ProductName", "UnitPrice"], Id=1)) == [("Chai", D("18.00"))]
+    assert tuples(pick(s.product, ["ProductName"], Id=99)) == []
+
+
+def test_product_reports(spark):
+    p = small_sales(spark).product
+
+    def keys(df):
+        return [r.Id for r in df.collect()]
+
+    assert keys(reports.product_list(p, descending=True)) == [3, 1, 2, 5, 4]
+    assert keys(reports.product_list(p)) == [4, 5, 1, 2, 3]
+    assert keys(reports.product_list(p, max_price=D("9.99"))) == [5]
+    # A whole-number parameter would have rounded 9.99 up to 10.
+    assert keys(reports.product_list(p, max_price=D("9.98"))) == []
+    assert keys(reports.product_list_up_to(p, D("18"))) == [5, 1, 2]
+    by_name = keys(reports.product_list(p, max_price=200, min_price=10))
+    by_position = keys(reports.product_list(p, reports.ProductColumns(), 10, 200))
+    assert by_name == by_position == [1, 2, 3]
+    assert keys(reports.product_list(p, name_part="chai")) == [1, 2]
+    assert keys(reports.product_list(p, name_part="chai", ignore_case=False)) == [2]
+    assert keys(reports.product_list_top(p, 3)) == [4, 1, 3]
+    assert keys(reports.product_list_top(p, 2, descending=True)) == [2, 5]
+
+
+def test_products_at_price_carry_their_count(spark):
+    p = small_sales(spark).product
+    assert sorted(tuples(reports.products_at_price(p, 18))) == [
+        (1, "Chai", D("18.00"), 2), (2, "chai", D("18.00"), 2)
+    ]
+    assert tuples(reports.products_at_price(p, D("9.99"))) == [(5, "Zu", D("9.99"), 1)]
+    assert tuples(reports.products_at_price(p, 1)) == []
+
+
+def test_query_top_x(spark):
+    small_sales(spark).product.createOrReplaceTempView("top_product")
+    top = reports.query_top_x(spark, "top_product", 2, "UnitPrice", "Id")
+    assert [r.Id for r in top.collect()] == [3, 1]
+
+
+def test_safe_divide_reports_an_error_as_a_row(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (CAST(10 AS DECIMAL(18,0)), CAST(2 AS DECIMAL(18,0))),"
+        " (10, 0), (NULL, 0), (10, NULL) AS t(a, b)"
+    )
+    rows = [(r.result, r.error_message) for r in reports.safe_divide(df, "a", "b").collect()]
+    assert [(None if v is None else float(v), e) for v, e in rows] == [
+        (5.0, None), (None, "divide by zero"), (None, None), (None, None)
+    ]
+
+
+def test_empty_tables(spark):
+    s = small_sales(spark)
+    empty = type(s)(*[df.limit(0) for df in s.by_name().values()])
+    assert tuples(empty.mean_order()) == [(None,)]
+    assert tuples(empty.lowest_price()) == [(None,)]
+    assert empty.total_per_customer().count() == 0
+    assert empty.customers_with_orders().count() == 0
+    assert empty.top_customers().count() == 0
+    assert tuples(empty.all_product_names()) == []
