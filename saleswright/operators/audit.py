@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from saleswright.operators.changes import run_change
-from saleswright.sources.schemas import DELETED, INSERTED
+from saleswright.operators.numbering import assign_ids
+from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, complete_rows
 from saleswright.sources.tables import RUN, write_run
 
 OPERATION = "operation"
@@ -46,6 +47,15 @@ def snapshot_log(old: DataFrame, new: DataFrame, key: str, stamp: Column) -> Dat
     )
 
 
+def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
+    """A log of product rows under the audit table's schema, with ids above the existing ones."""
+    rows = log.withColumnsRenamed(
+        {"Id": "productid", "ProductName": "productname", "Package": "package"}
+    )
+    order = [F.asc("productid"), F.asc(OPERATION)]
+    return complete_rows(assign_ids(rows, existing, AUDIT.key, order), AUDIT.schema)
+
+
 @dataclass
 class AuditSwitch:
     """Which tables are audited. A table is audited until it is switched off."""

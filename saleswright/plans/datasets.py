@@ -207,7 +207,8 @@ def yearly_label(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE round(100.0 / (p_size % 5), 4) END AS r,
+    SELECT p_partkey,
+           CASE WHEN p_size % 5 = 0 THEN NULL ELSE round(100.0 / (p_size % 5), 4) END AS r,
            CASE WHEN p_size % 5 = 0 THEN 'divide by zero' END AS error_message
     FROM part
     """

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.functions.scalar import discounted, joined_text, money
+from saleswright.functions.scalar import discounted, joined_text
 from saleswright.functions.table_functions import products_by_status
 from saleswright.operators.joins import inner
 from saleswright.plans.registry import query

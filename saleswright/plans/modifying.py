@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleswright.functions.scalar import money
 from saleswright.operators.audit import (
     AuditSwitch,
     append_log,
     logged,
+    product_audit,
     read_log,
     row_sets_log,
     snapshot_log,
@@ -32,7 +34,7 @@ from saleswright.operators.quality import (
 )
 from saleswright.plans.registry import query
 from saleswright.session import scratch_path
-from saleswright.sources.schemas import DELETED, INSERTED, complete_rows
+from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, complete_rows
 from saleswright.sources.tables import read_table
 from saleswright.streaming.audit_stream import audit_rows, read_changes, start_audit
 
@@ -198,6 +200,32 @@ def audit_ins_del(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_log(old, new, "p_partkey", _stamp())
 
 
+@query(
+    """
+    SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS id,
+           CAST(p_partkey AS INTEGER) AS productid, p_name AS productname,
+           p_size AS "SupplierId", CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice",
+           p_type AS package, p_size > 40 AS "IsDiscontinued",
+           TIMESTAMP '2024-05-06 07:08:09' AS updatedat,
+           CASE WHEN p_size > 25 THEN 'INS' ELSE 'DEL' END AS operation
+    FROM part
+    """
+)
+def audit_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as log rows of the audit table; the size stands in for the supplier."""
+    product = read_table(spark, folder, "part").select(
+        F.col("p_partkey").alias("Id"),
+        F.col("p_name").alias("ProductName"),
+        F.col("p_size").alias("SupplierId"),
+        money("p_retailprice").alias("UnitPrice"),
+        F.col("p_type").alias("Package"),
+        (F.col("p_size") > 40).alias("IsDiscontinued"),
+    )
+    large = F.col("SupplierId") > 25
+    log = row_sets_log(product.filter(large), product.filter(~large), _stamp())
+    return product_audit(log, spark.createDataFrame([], AUDIT.schema))
+
+
 @query("SELECT p_partkey, 'INS' AS operation FROM part WHERE p_size > 20")
 def audit_switch(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches of inserts; the audit is switched off for the first one."""
@@ -309,7 +337,8 @@ def check_domain(spark: SparkSession, folder: str) -> DataFrame:
 def stream_audit(spark: SparkSession, folder: str) -> DataFrame:
     """The events as change rows, read as a stream into a log, and the log read back."""
     events = read_table(spark, folder, "events")
-    changes = read_changes(spark, folder, events.schema, "events.parquet")
+    # A pattern, as a stream takes a folder or a pattern but not the path of one file.
+    changes = read_changes(spark, f"{folder}/{{events.parquet}}", events.schema)
     operation = F.when(F.col("event_type") == "error", DELETED).otherwise(INSERTED)
     rows = audit_rows(changes.select("event_id", "event_type"), operation, _stamp())
     log = scratch_path(spark, "event-audit")

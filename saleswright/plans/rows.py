@@ -19,14 +19,16 @@ from saleswright.operators.numbering import number_rows
 from saleswright.plans.registry import query
 from saleswright.plans.reports import ProductColumns, product_list_top
 from saleswright.session import scratch_path
-from saleswright.sources.schemas import SUPPLIER
+from saleswright.sources.schemas import ORDER, SUPPLIER, complete_rows, require_schema
 from saleswright.sources.tables import (
     bulk_load,
     drop_staged_for_all,
+    drop_table,
     empty_table,
     read_table,
     row_counts,
     select_into,
+    select_into_table,
     stage_for_all,
     stage_for_session,
 )
@@ -50,6 +52,26 @@ def scan_all(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "supplier")
 
 
+@query(
+    """
+    SELECT CAST(o_orderkey AS INTEGER) AS "Id", o_orderdate AS "OrderDate",
+           CAST(o_orderkey AS VARCHAR) AS "OrderNumber", CAST(o_custkey AS INTEGER) AS "CustomerId",
+           CAST(o_totalprice AS DECIMAL(12,2)) AS "TotalAmount"
+    FROM orders
+    """
+)
+def table_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders under the declared schema of Order, which the result must then meet."""
+    orders = read_table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("Id"),
+        F.col("o_orderdate").alias("OrderDate"),
+        F.col("o_orderkey").alias("OrderNumber"),
+        F.col("o_custkey").alias("CustomerId"),
+        F.col("o_totalprice").alias("TotalAmount"),
+    )
+    return require_schema(complete_rows(orders, ORDER.schema), ORDER.schema)
+
+
 @query(
     """
     SELECT CAST(s_suppkey AS INTEGER) AS "Id", s_name AS "CompanyName",
@@ -97,9 +119,14 @@ def table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("SELECT * FROM supplier WHERE s_nationkey = 15", name="select_into")
-def select_into_table(spark: SparkSession, folder: str) -> DataFrame:
+def suppliers_of_nation(spark: SparkSession, folder: str) -> DataFrame:
+    """Write a table, read it back and drop it; its files stay for the result to read."""
     chosen = read_table(spark, folder, "supplier").filter("s_nationkey = 15")
-    return select_into(chosen, scratch_path(spark, "supplier-copy"))
+    path = scratch_path(spark, "supplier-copy")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    select_into_table(chosen, table, path)
+    drop_table(spark, table)
+    return spark.read.schema(chosen.schema).parquet(path)
 
 
 @query("SELECT * FROM lineitem")
@@ -126,18 +153,23 @@ def stage_active_products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+PRICE_LIST_SQL = """
+    SELECT p_name AS product_name, CAST(p_retailprice AS DECIMAL(10,2)) AS list_price FROM part
+"""
+
+
 def _price_list(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "part").select(
         F.col("p_name").alias("product_name"), money("p_retailprice", 10).alias("list_price")
     )
 
 
-@query("SELECT p_name AS product_name, CAST(p_retailprice AS DECIMAL(10,2)) AS list_price FROM part")
+@query(PRICE_LIST_SQL)
 def stage_session_table(spark: SparkSession, folder: str) -> DataFrame:
     return stage_for_session(_price_list(spark, folder), "temp_products_local")
 
 
-@query("SELECT p_name AS product_name, CAST(p_retailprice AS DECIMAL(10,2)) AS list_price FROM part")
+@query(PRICE_LIST_SQL)
 def stage_global_table(spark: SparkSession, folder: str) -> DataFrame:
     staged = stage_for_all(_price_list(spark, folder), "temp_products_global")
     drop_staged_for_all(spark, "temp_products_global")

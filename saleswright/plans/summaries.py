@@ -81,7 +81,8 @@ def agg_sum_expr_year(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem").join(
         of_year, F.col("l_orderkey") == F.col("o_orderkey")
     )
-    sold = lines.groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("int")).alias("quantity"))
+    quantity = F.col("l_quantity").cast("int")
+    sold = lines.groupBy("l_partkey").agg(F.sum(quantity).alias("quantity"))
     part = read_table(spark, folder, "part")
     sales = F.col("quantity").cast("decimal(19,0)") * money("p_retailprice")
     return sold.join(part, F.col("l_partkey") == F.col("p_partkey")).agg(

@@ -78,6 +78,17 @@ def select_into(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def select_into_table(df: DataFrame, table: str, path: str) -> DataFrame:
+    """Write ``df`` as a new named table with its files at ``path``, and read it back."""
+    df.write.mode("errorifexists").option("path", path).saveAsTable(quoted_name(table))
+    return df.sparkSession.table(quoted_name(table))
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Forget a named table. Files at a path of their own stay where they are."""
+    spark.sql(f"DROP TABLE {quoted_name(table)}")
+
+
 def empty_table(df: DataFrame, path: str) -> DataFrame:
     """The truncated table: a new snapshot with the schema and no rows."""
     return select_into(df.limit(0), path)

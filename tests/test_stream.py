@@ -85,3 +85,14 @@ def test_files_of_a_failed_attempt_are_not_read(spark, changes, tmp_path):
         "append"
     ).parquet(f"{log}/operation=INS")
     assert logged(spark, log) == first
+
+
+def test_events_may_be_one_file_or_a_folder_of_files(spark, data, tmp_path):
+    from saleswright.plans.catalog import QUERIES
+
+    events = spark.read.parquet(f"{data}/events.parquet")
+    events.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    from_folder = QUERIES["stream_audit"](spark, str(tmp_path))
+    from_file = QUERIES["stream_audit"](spark, data)
+    assert from_folder.count() == events.count()
+    assert from_folder.exceptAll(from_file).count() == 0
