@@ -182,9 +182,9 @@ def top_parts(spark: SparkSession, folder: str) -> DataFrame:
     return query_top_x(spark, _register(spark, folder, "part"), 10, "p_retailprice", "p_partkey")
 
 
-@query("SELECT * FROM region", name="read_named_table")
-def named_region(spark: SparkSession, folder: str) -> DataFrame:
-    return read_named_table(spark, _register(spark, folder, "region"))
+@query("SELECT * FROM customer", name="read_named_table")
+def named_customer(spark: SparkSession, folder: str) -> DataFrame:
+    return read_named_table(spark, _register(spark, folder, "customer"))
 
 
 @query(

@@ -68,6 +68,12 @@ class Sales:
             "OrderItem": self.order_item,
         }
 
+    def register(self) -> None:
+        """Name the tables and the sales view for SQL of this session."""
+        for name, df in self.by_name().items():
+            df.createOrReplaceTempView(name)
+        self.salesday_with_customer().createOrReplaceTempView("salesday")
+
     def row_counts(self) -> DataFrame:
         return row_counts(self.by_name())
 

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
+from saleswright.functions.scalar import stamp_from_text
 from saleswright.sources.schemas import TableSpec, complete_rows, require_schema
 
 RUN = "run_id"
@@ -36,6 +37,16 @@ def read_runs(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
     return spark.read.schema(with_run).parquet(base).select(*schema.names)
 
 
+def _from_text(f: StructField) -> Column:
+    """A text column in its declared type; text that does not fit stops the job."""
+    text = F.col(f.name)
+    value = text.cast(f.dataType)
+    if isinstance(f.dataType, TimestampNTZType):
+        value = F.when(text.rlike("^[A-Za-z]"), stamp_from_text(text)).otherwise(value)
+    misfit = F.raise_error(F.concat(F.lit(f"{f.name} cannot hold "), text)).cast(f.dataType)
+    return F.when(text.isNotNull() & value.isNull(), misfit).otherwise(value).alias(f.name)
+
+
 def bulk_load(
     spark: SparkSession,
     source: str,
@@ -49,14 +60,18 @@ def bulk_load(
     """Load files whose rows bring their own keys, and return the table.
 
     ``given`` names the columns that the files hold, in their order; the table's other
-    columns become NULL. A row that does not fit its types stops the load.
+    columns become NULL. In CSV and JSON a flag may be 0 or 1, and a stamp may be in ISO form
+    or such as ``Jul  4 2012 12:00:00:000AM``. A row that does not fit its types stops the load.
     """
     fields = [spec.schema[name] for name in given or spec.schema.names]
-    reader = spark.read.format(file_format).schema(StructType(fields))
     if file_format in ("csv", "json"):
-        reader = reader.option("mode", "FAILFAST")
-    rows = complete_rows(reader.options(**options).load(source), spec.schema)
-    write_run(rows, target, load)
+        as_text = StructType([StructField(f.name, StringType()) for f in fields])
+        reader = spark.read.format(file_format).schema(as_text).option("mode", "FAILFAST")
+        rows = reader.options(**options).load(source).select(*[_from_text(f) for f in fields])
+    else:
+        reader = spark.read.format(file_format).schema(StructType(fields))
+        rows = reader.options(**options).load(source)
+    write_run(complete_rows(rows, spec.schema), target, load)
     return read_runs(spark, target, spec.schema)
 
 

@@ -151,6 +151,18 @@ def test_ids_start_above_the_highest(spark):
     assert tuples(first) == [("a", 1), ("b", 2), ("c", 3)]
 
 
+def test_partial_rows_with_new_keys(spark):
+    customer = small_sales(spark).customer
+    rows = spark.range(5).select(
+        "id", F.lit("Anita").alias("FirstName"), F.lit("Coats").alias("LastName")
+    )
+    keyed = assign_ids(rows, customer, "Id", [F.asc("id")], "new_id").select(
+        F.col("new_id").alias("Id"), "FirstName", "LastName"
+    )
+    added = insert_rows(customer, keyed).filter("FirstName = 'Anita'")
+    assert sorted(tuples(added)) == [(k, "Anita", "Coats", None, None, None) for k in range(6, 11)]
+
+
 # --- publishing -----------------------------------------------------------------------
 
 

@@ -175,6 +175,21 @@ def test_sales_view(spark):
     assert tuples(s.discounted_lines())[:2] == [(2, D("270.00")), (1, D("90.00"))]
 
 
+def test_the_tables_can_be_asked_in_sql(spark):
+    s = small_sales(spark)
+    s.register()
+    by_sql = spark.sql(
+        "SELECT FirstName, LastName, SUM(O.TotalAmount) AS total FROM `Order` O"
+        " JOIN Customer C ON O.CustomerId = C.Id GROUP BY FirstName, LastName"
+    )
+    assert as_set(by_sql) == as_set(s.total_per_customer())
+    by_sql = spark.sql(
+        "SELECT concat(FirstName, ' ', LastName) AS customer, SUM(sales) FROM salesday"
+        " GROUP BY FirstName, LastName"
+    )
+    assert as_set(by_sql) == as_set(s.top_customers())
+
+
 def test_pick_is_one_row_not_variables(spark):
     s = small_sales(spark)
     assert tuples(pick(s.product, ["ProductName", "UnitPrice"], Id=1)) == [("Chai", D("18.00"))]

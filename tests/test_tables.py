@@ -138,12 +138,54 @@ def test_a_repeated_load_replaces_itself_and_another_adds(spark, tmp_path):
 
 def test_a_row_of_another_type_stops_the_load(spark, tmp_path):
     spark.sql("SELECT 'x' AS Id, 'Acme' AS CompanyName").write.csv(f"{tmp_path}/files")
-    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot hold"):
         bulk_load(
             spark, f"{tmp_path}/files", SUPPLIER, f"{tmp_path}/t", "1", ["Id", "CompanyName"]
         )
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_misfit_stops_the_load_in_both_cast_modes(spark, tmp_path, set_conf, ansi):
+    set_conf(spark__sql__ansi__enabled=ansi)
+    spark.sql("SELECT 1 AS Id, 'Chai' AS ProductName, 'dear' AS UnitPrice").write.json(
+        f"{tmp_path}/files"
+    )
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot hold dear"):
+        bulk_load(
+            spark,
+            f"{tmp_path}/files",
+            PRODUCT,
+            f"{tmp_path}/t",
+            "1",
+            ["Id", "ProductName", "UnitPrice"],
+            "json",
+        )
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json"])
+def test_flags_and_stamps_as_text(spark, tmp_path, file_format):
+    spark.sql("SELECT * FROM VALUES (1, 'Chai', 1, 18.005, 'box', 0), (2, 'Zu', 1, 2.5, NULL, 1)"
+              " t(Id, ProductName, SupplierId, UnitPrice, Package, IsDiscontinued)").write.format(
+        file_format
+    ).save(f"{tmp_path}/p")
+    products = bulk_load(
+        spark, f"{tmp_path}/p", PRODUCT, f"{tmp_path}/pt", "1", file_format=file_format
+    )
+    assert as_set(products) == {
+        (1, "Chai", 1, Decimal("18.01"), "box", False),
+        (2, "Zu", 1, Decimal("2.50"), None, True),
+    }
+    spark.sql("SELECT * FROM VALUES (1, 'Jul  4 2012 12:00:00:000AM'), (2, '2013-12-31T23:59:59')"
+              " t(Id, OrderDate)").write.format(file_format).save(f"{tmp_path}/o")
+    orders = bulk_load(
+        spark, f"{tmp_path}/o", ORDER, f"{tmp_path}/ot", "1", ["Id", "OrderDate"], file_format
+    )
+    assert as_set(orders.select("Id", "OrderDate")) == {
+        (1, datetime(2012, 7, 4)),
+        (2, datetime(2013, 12, 31, 23, 59, 59)),
+    }
+
+
 def test_order_text_becomes_a_stamp(spark):
     text = spark.sql(
         "SELECT * FROM VALUES ('Jul  4 2012 12:00:00:000AM'), ('Dec 31 2013 11:59:59:123PM') t(t)"
