@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from saleswright.operators.changes import run_change
 from saleswright.operators.numbering import assign_ids
+from saleswright.session import scratch_path
 from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, complete_rows
 from saleswright.sources.tables import RUN, write_run
 
@@ -26,25 +27,42 @@ def row_sets_log(inserted: DataFrame, deleted: DataFrame, stamp: Column) -> Data
     return marked[0].unionByName(marked[1])
 
 
+def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Keys that only one of two snapshots holds, with the operation that explains it."""
+    before = old.select(F.col(key).alias("_old_key"), F.lit(True).alias("_in_old"))
+    after = new.select(F.col(key).alias("_new_key"), F.lit(True).alias("_in_new"))
+    only_new, only_old = F.col("_in_old").isNull(), F.col("_in_new").isNull()
+    return (
+        before.join(after, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
+        .filter(only_new | only_old)
+        .select(
+            F.coalesce("_new_key", "_old_key").alias("_key"),
+            F.when(only_new, INSERTED).otherwise(DELETED).alias(OPERATION),
+        )
+    )
+
+
 def snapshot_log(old: DataFrame, new: DataFrame, key: str, stamp: Column) -> DataFrame:
     """The log of a change, from the table before and after it.
 
     A key only in ``new`` was inserted and one only in ``old`` was deleted. A row whose other
-    columns changed is an update, which is not logged. One outer join on the key finds both,
-    so each snapshot is shuffled once.
+    columns changed is an update, which is not logged.
+
+    Only keys are shuffled to find the changes. They are written to the shared folder, so that
+    their size is known when the rows are fetched: few changes are broadcast, and the
+    snapshots are then read without a shuffle; many are joined like any other table.
     """
-    columns = old.columns
-    before = old.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
-    after = new.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"))
-    pairs = before.join(after, F.col("_old_key") == F.col("_new_key"), "full_outer")
-    one_sided = pairs.filter(F.col("_old").isNull() | F.col("_new").isNull())
-    row = F.coalesce("_new", "_old")
-    operation = F.when(F.col("_old").isNull(), INSERTED).otherwise(DELETED)
-    return one_sided.select(
-        *[row[name].alias(name) for name in columns],
-        stamp.alias("updatedat"),
-        operation.alias(OPERATION),
-    )
+    spark = old.sparkSession
+    found = changed_keys(old, new, key)
+    path = scratch_path(spark, "changed-keys")
+    found.write.partitionBy(OPERATION).parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+
+    def rows(snapshot: DataFrame, operation: str) -> DataFrame:
+        keys = found.filter(F.col(OPERATION) == operation).select("_key")
+        return snapshot.join(keys, snapshot[key].eqNullSafe(keys["_key"]), "left_semi")
+
+    return row_sets_log(rows(new, INSERTED), rows(old, DELETED), stamp)
 
 
 def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:

@@ -242,6 +242,18 @@ def test_an_update_is_not_logged(spark):
     assert {r.operation for r in snapshot_log(product, empty, "Id", stamp()).collect()} == {"DEL"}
 
 
+def test_a_row_without_a_key_is_not_lost(spark):
+    keyed = spark.createDataFrame([(1, "a")], "k int, name string")
+    unkeyed = spark.createDataFrame([(1, "a"), (None, "b")], "k int, name string")
+
+    def log(old, new):
+        return as_set(snapshot_log(old, new, "k", stamp()).select("k", "name", "operation"))
+
+    assert log(keyed, unkeyed) == {(None, "b", "INS")}
+    assert log(unkeyed, keyed) == {(None, "b", "DEL")}
+    assert log(unkeyed, unkeyed) == set()
+
+
 @few_examples
 @given(old=st.sets(st.integers(0, 30)), new=st.sets(st.integers(0, 30)))
 def test_replaying_the_log_gives_the_new_keys(spark, old, new):

@@ -29,7 +29,7 @@ def test_no_python_workers_and_no_cross_joins(spark, data, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_windows_only_number_partitions(spark, data, name):
     text = plan(QUERIES[name](spark, data))
-    if name in ("sort_asc", "sort_desc", "sort_multi", "assign_ids"):
+    if name in ("sort_asc", "sort_desc", "sort_multi", "assign_ids", "audit_schema"):
         assert re.findall(r"Window \[sum\((\w+)#", text) == ["_rows"]
     else:
         assert "Window" not in text
@@ -76,13 +76,20 @@ def test_top_rows_without_a_full_sort(spark, data, name):
         ("exists_subquery", "LeftSemi"),
         ("join_anti_no_match", "LeftAnti"),
         ("check_foreign_key", "LeftAnti"),
-        ("audit_ins_del", "FullOuter"),
+        ("audit_ins_del", "LeftSemi"),
     ],
 )
 def test_join_kinds(spark, data, name, kind):
     assert kind in plan(QUERIES[name](spark, data))
 
 
+def test_a_small_change_is_found_by_its_keys(spark, data):
+    text = plan(QUERIES["audit_ins_del"](spark, data))
+    # The snapshots themselves are not shuffled.
+    assert text.count("BroadcastHashJoin") == 2
+    assert "Exchange hashpartitioning" not in text
+
+
 def test_scans_read_only_the_needed_columns(spark, data):
     text = plan(QUERIES["join_group_sum"](spark, data))
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in text
