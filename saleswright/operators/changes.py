@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from saleswright.sources.schemas import complete_rows
-from saleswright.sources.tables import RUN, quoted_name
+from saleswright.sources.tables import quoted_name
 
 
 def update_rows(df: DataFrame, values: dict[str, Column], where: Column | None = None) -> DataFrame:
@@ -106,7 +106,7 @@ def run_change(
     folder; moving the table there is the commit.
     """
     old = spark.read.parquet(previous)
-    location = f"{base}/{RUN}={run}"
+    location = f"{base}/snapshot-{run}"
     if location.rstrip("/") == previous.rstrip("/"):
         raise ValueError(f"run {run!r} would overwrite the snapshot it reads")
     new = change(old)

@@ -19,8 +19,8 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_declared(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """A Parquet table that must have the declared columns and types."""
-    return require_schema(spark.read.parquet(path), spec.schema)
+    """A Parquet table, loaded in runs or not, that must have the declared columns and types."""
+    return require_schema(spark.read.parquet(path).drop(RUN), spec.schema)
 
 
 # --- runs: one folder per job run, so that a repeated run replaces itself -------------

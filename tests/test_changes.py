@@ -217,7 +217,7 @@ def test_a_failed_change_changes_nothing(spark, published):
 def test_a_run_may_not_overwrite_what_it_reads(spark, published):
     name, base = published
     with pytest.raises(ValueError, match="would overwrite"):
-        run_change(spark, name, base, "0", lambda old: old, f"{base}/run_id=0")
+        run_change(spark, name, base, "0", lambda old: old, f"{base}/snapshot-0")
 
 
 # --- audit ----------------------------------------------------------------------------

@@ -209,6 +209,18 @@ def test_five_tables_round_trip(spark, tmp_path):
     }
 
 
+def test_loaded_tables_are_read_as_declared(spark, tmp_path):
+    small = small_sales(spark)
+    for name, df in small.by_name().items():
+        df.write.json(f"{tmp_path}/files/{name}")
+        bulk_load(
+            spark, f"{tmp_path}/files/{name}", TABLES[name], f"{tmp_path}/{name}", "7", None, "json"
+        )
+    again = Sales.read(spark, str(tmp_path))
+    for name, df in again.by_name().items():
+        assert as_set(df) == as_set(small.by_name()[name])
+
+
 # --- copies ---------------------------------------------------------------------------
 
 
