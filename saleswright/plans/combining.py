@@ -108,6 +108,25 @@ def join_group_sum(spark: SparkSession, folder: str) -> DataFrame:
     return totals.orderBy(F.desc("total"), "c_name")
 
 
+@query(
+    """
+    SELECT c_custkey, c_name, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS total
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, c_name
+    """
+)
+def join_group_sum_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The same per customer, so that customers of one name stay apart."""
+    totals = total_per_name(
+        read_table(spark, folder, "orders"),
+        read_table(spark, folder, "customer"),
+        ORDER_CUSTOMER,
+        ["c_custkey", "c_name"],
+        money("o_totalprice"),
+        "total",
+    )
+    return totals.orderBy(F.desc("total"), "c_custkey")
+
+
 @query(
     """
     SELECT c_custkey, o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS total

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.functions.scalar import discounted, joined_text
-from saleswright.functions.table_functions import products_by_status
+from saleswright.functions.table_functions import (
+    products_by_status,
+    register_discount,
+    register_products_by_status,
+)
 from saleswright.operators.joins import inner
 from saleswright.plans.registry import query
-from saleswright.sources.tables import read_table
+from saleswright.sources.tables import read_table, stage_for_session
 
 
 @query(
@@ -148,7 +152,45 @@ def udf_discount_grouped(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT l_orderkey, l_linenumber,
+           CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(10,2))
+                * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(10,2)) AS sale_value
+    FROM lineitem JOIN part ON p_partkey = l_partkey
+    """
+)
+def udf_discount_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The discount as a function of SQL."""
+    register_discount(spark)
+    stage_for_session(_priced_lines(spark, folder), "priced_lines")
+    return spark.sql(
+        """
+        SELECT l_orderkey, l_linenumber,
+               FuncDiscount(CAST(l_quantity AS INT), CAST(p_retailprice AS DECIMAL(10,2)),
+                            CAST(l_discount AS DECIMAL(4,2))) AS sale_value
+        FROM priced_lines
+        """
+    )
+
+
 @query("SELECT p_partkey AS id, p_name AS product_name FROM part WHERE (p_size > 40) = true")
 def udtf_products_by_status(spark: SparkSession, folder: str) -> DataFrame:
     part = read_table(spark, folder, "part")
     return products_by_status(part, True, F.col("p_size") > 40, "p_partkey", "p_name")
+
+
+@query(
+    "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS product_name"
+    " FROM part WHERE (p_size > 40) = false"
+)
+def udtf_products_by_status_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The table function of SQL, over the parts under the product columns that it reads."""
+    products = read_table(spark, folder, "part").select(
+        F.col("p_partkey").alias("Id"),
+        F.col("p_name").alias("ProductName"),
+        (F.col("p_size") > 40).alias("IsDiscontinued"),
+    )
+    stage_for_session(products, "part_as_product")
+    register_products_by_status(spark, "part_as_product")
+    return spark.sql("SELECT * FROM fn_get_products_by_status(false)")

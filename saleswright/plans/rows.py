@@ -12,6 +12,7 @@ from saleswright.functions.scalar import (
     in_year,
     money,
     money_sum,
+    on_days,
     stamp_as_text,
     stamp_from_text,
 )
@@ -301,6 +302,21 @@ def filter_date_between(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT count(o_orderkey) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS total FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-02-01'
+    """
+)
+def filter_date_whole_days(spark: SparkSession, folder: str) -> DataFrame:
+    """What the query above is meant to count: the whole month, with its last day."""
+    orders = read_table(spark, folder, "orders")
+    days = on_days(orders, "o_orderdate", date(1998, 1, 1), date(1998, 1, 31))
+    return orders.filter(days).agg(
+        F.count("o_orderkey").alias("n"), money_sum(_total()).alias("total")
+    )
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 're%'")
 def filter_like_prefix(spark: SparkSession, folder: str) -> DataFrame:
     part = read_table(spark, folder, "part")

@@ -56,7 +56,8 @@ def agg_count_star(spark: SparkSession, folder: str) -> DataFrame:
 )
 def agg_sum_year(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders")
-    return orders.filter(in_year(orders, "o_orderdate", 1997)).agg(money_sum(_total()).alias("total"))
+    of_year = orders.filter(in_year(orders, "o_orderdate", 1997))
+    return of_year.agg(money_sum(_total()).alias("total"))
 
 
 @query("SELECT round(avg(CAST(o_totalprice AS DECIMAL(12,2))), 4) AS media FROM orders")

@@ -43,5 +43,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else writes to."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else writes to.
+
+    All paths of an application lie in one folder, which can go when the application is over.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
