@@ -8,6 +8,7 @@ changed nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,11 @@ def current_location(spark: SparkSession, table: str) -> str | None:
     return rows[0][0]
 
 
+def _same_place(one: str, other: str) -> bool:
+    a, b = urlparse(one), urlparse(other)
+    return (a.netloc, a.path.rstrip("/")) == (b.netloc, b.path.rstrip("/"))
+
+
 def _text(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -103,12 +109,16 @@ def run_change(
 
     ``previous`` is the snapshot that the run starts from, so that a repeat of the run starts
     from the same rows and gives the same result. The new snapshot goes to the run's own
-    folder; moving the table there is the commit.
+    folder; moving the table there is the commit. A table that another run has moved on since
+    is left alone.
     """
-    old = spark.read.parquet(previous)
     location = f"{base}/snapshot-{run}"
-    if location.rstrip("/") == previous.rstrip("/"):
+    if _same_place(location, previous):
         raise ValueError(f"run {run!r} would overwrite the snapshot it reads")
+    current = current_location(spark, table)
+    if current and not (_same_place(current, previous) or _same_place(current, location)):
+        raise ValueError(f"{table} has moved on to {current}")
+    old = spark.read.parquet(previous)
     new = change(old)
     new.write.mode("overwrite").parquet(location)
     publish(spark, table, new.schema, location)

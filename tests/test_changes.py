@@ -201,6 +201,17 @@ def test_a_repeated_change_gives_the_same_table(spark, published):
         assert spark.table(name).count() == 6
 
 
+def test_a_late_repeat_does_not_undo_a_later_change(spark, published):
+    name, base = published
+    first = current_location(spark, name)
+    run_change(spark, name, base, "1", lambda old: delete_rows(old, F.col("Id") == 5), first)
+    second = current_location(spark, name)
+    run_change(spark, name, base, "2", lambda old: delete_rows(old, F.col("Id") == 4), second)
+    with pytest.raises(ValueError, match="has moved on"):
+        run_change(spark, name, base, "1", lambda old: old, first)
+    assert {r.Id for r in spark.table(name).collect()} == {1, 2, 3}
+
+
 def test_a_failed_change_changes_nothing(spark, published):
     name, base = published
     before = current_location(spark, name)
