@@ -160,7 +160,7 @@ class Sales:
         return self._prices(~F.col("UnitPrice").between(low, high)).orderBy("UnitPrice", "Id")
 
     def products_like(self, *patterns: str) -> DataFrame:
-        """Products whose name fits one of the LIKE patterns."""
+        """Products whose name fits a LIKE pattern; a backslash makes ``%`` and ``_`` plain."""
         fits = F.lit(False)
         for pattern in patterns:
             fits = fits | F.col("ProductName").like(pattern)

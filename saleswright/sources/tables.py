@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from saleswright.functions.scalar import stamp_from_text
-from saleswright.sources.schemas import TableSpec, complete_rows, require_schema
+from saleswright.sources.schemas import TableSpec, complete_rows, now, require_schema
 
 RUN = "run_id"
 
@@ -33,6 +33,27 @@ def read_declared(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return require_schema(spark.read.parquet(path).drop(RUN), spec.schema)
 
 
+def create_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """An empty catalogue table with the declared types, text limits and defaults.
+
+    Inserts of SQL then fill columns left out and refuse a text that is too long. Keys,
+    references and NOT NULL are not enforced by Parquet tables: see ``operators.quality``.
+    """
+    columns = []
+    for f in spec.schema.fields:
+        kind = f.dataType.simpleString()
+        if f.name in spec.text_limits:
+            kind = f"VARCHAR({spec.text_limits[f.name]})"
+        column = f"{quoted_name(f.name)} {kind}"
+        if f.name in spec.defaults:
+            default = spec.defaults[f.name]
+            column += " DEFAULT " + ("localtimestamp()" if default is now else str(default))
+        columns.append(column)
+    name = quoted_name(spec.name)
+    spark.sql(f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet")
+    return spark.table(name)
+
+
 # --- runs: one folder per job run, so that a repeated run replaces itself -------------
 
 

@@ -25,7 +25,9 @@ from saleswright.sources.schemas import (
 )
 from saleswright.sources.tables import (
     bulk_load,
+    create_table,
     drop_staged_for_all,
+    drop_table,
     empty_table,
     fingerprint,
     named_column,
@@ -110,6 +112,26 @@ def test_unknown_columns_are_refused(spark):
         complete_rows(spark.sql("SELECT 1 AS Nope"), PRODUCT.schema)
 
 
+def test_catalogue_tables_fill_defaults_and_limit_text(spark):
+    for spec in (*TABLES.values(), AUDIT):
+        spark.sql(f"DROP TABLE IF EXISTS {quoted_name(spec.name)}")
+        assert schema_drift(create_table(spark, spec), spec.schema) == []
+    spark.sql("INSERT INTO Product (Id, ProductName, SupplierId) VALUES (1, 'Chai', 1)")
+    assert tuples(spark.table("Product")) == [(1, "Chai", 1, Decimal("0.00"), None, False)]
+    spark.sql("INSERT INTO OrderItem (Id, OrderId, ProductId) VALUES (1, 1, 1)")
+    assert tuples(spark.table("OrderItem")) == [(1, 1, 1, Decimal("0.00"), 1)]
+    spark.sql("INSERT INTO `Order` (Id, CustomerId) VALUES (1, 1)")
+    assert spark.table("`Order`").filter("OrderDate IS NOT NULL AND TotalAmount = 0").count() == 1
+    spark.sql("INSERT INTO Product (Id, UnitPrice) VALUES (2, NULL)")
+    assert spark.table("Product").filter("UnitPrice IS NULL").count() == 1
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql(f"INSERT INTO Product (Id, ProductName) VALUES (3, '{'x' * 51}')")
+    spark.sql("TRUNCATE TABLE Product")
+    assert spark.table("Product").count() == 0
+    for spec in (*TABLES.values(), AUDIT):
+        drop_table(spark, spec.name)
+
+
 # --- loading --------------------------------------------------------------------------
 
 
