@@ -76,26 +76,33 @@ def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
 
 @dataclass
 class AuditSwitch:
-    """Which tables are audited. A table is audited until it is switched off."""
+    """Which tables are audited: all of them, until some or all are switched off."""
 
-    off: set[str] = field(default_factory=set)
-    all_off: bool = False
+    default: bool = True
+    others: set[str] = field(default_factory=set)
 
     def disable(self, table: str) -> None:
-        self.off.add(table)
+        self._set(table, False)
 
     def enable(self, table: str) -> None:
-        self.off.discard(table)
+        self._set(table, True)
 
     def disable_all(self) -> None:
-        self.all_off = True
+        self.default = False
+        self.others.clear()
 
     def enable_all(self) -> None:
-        self.all_off = False
-        self.off.clear()
+        self.default = True
+        self.others.clear()
 
     def is_on(self, table: str) -> bool:
-        return not self.all_off and table not in self.off
+        return self.default != (table in self.others)
+
+    def _set(self, table: str, on: bool) -> None:
+        if on == self.default:
+            self.others.discard(table)
+        else:
+            self.others.add(table)
 
 
 def logged(log: DataFrame, switch: AuditSwitch, table: str) -> DataFrame:
@@ -123,13 +130,16 @@ def run_audited_change(
     base: str,
     run: str,
     change: Callable[[DataFrame], DataFrame],
-    previous: str,
     key: str,
     log_base: str,
     stamp: Column,
     switch: AuditSwitch,
+    previous: str | None = None,
 ) -> DataFrame:
-    """Change a table, then log the change under the same run; both parts can be repeated."""
+    """Change a table, then log the change under the same run.
+
+    A run that failed in between can be repeated: it finds the change done and logs it.
+    """
     old, new = run_change(spark, table, base, run, change, previous)
     if switch.is_on(table):
         append_log(snapshot_log(old, new, key, stamp), log_base, run)

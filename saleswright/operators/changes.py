@@ -12,7 +12,6 @@ from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from saleswright.sources.schemas import complete_rows
 from saleswright.sources.tables import quoted_name
@@ -68,14 +67,21 @@ def delete_through_view(df: DataFrame, view: Column, where: Column | None = None
 
 # --- publishing -----------------------------------------------------------------------
 
+PREVIOUS = "previous_snapshot"
+
 
 def current_location(spark: SparkSession, table: str) -> str | None:
     """Folder of a table's current snapshot, or None if there is no such table."""
     if not spark.catalog.tableExists(quoted_name(table)):
         return None
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_name(table)}")
-    rows = detail.filter(F.col("col_name") == "Location").select("data_type").take(1)
-    return rows[0][0]
+    return detail.filter(F.col("col_name") == "Location").first()["data_type"]
+
+
+def _previous_location(spark: SparkSession, table: str) -> str:
+    """Folder of the snapshot that a table's current one was made from."""
+    properties = spark.sql(f"SHOW TBLPROPERTIES {quoted_name(table)}")
+    return properties.filter(F.col("key") == PREVIOUS).first()["value"]
 
 
 def _same_place(one: str, other: str) -> bool:
@@ -87,14 +93,16 @@ def _text(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def publish(spark: SparkSession, table: str, schema: StructType, location: str) -> None:
-    """Make the snapshot at ``location`` the table's content."""
+def publish(spark: SparkSession, table: str, location: str, previous: str) -> None:
+    """Make the snapshot at ``location`` the table's content, and note what it was made from."""
     name = quoted_name(table)
+    note = f"TBLPROPERTIES ('{PREVIOUS}' = {_text(previous)})"
     if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET {note}")
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(location)}")
         spark.catalog.refreshTable(name)
     else:
-        spark.catalog.createTable(name, path=location, source="parquet", schema=schema)
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_text(location)} {note}")
 
 
 def run_change(
@@ -103,23 +111,27 @@ def run_change(
     base: str,
     run: str,
     change: Callable[[DataFrame], DataFrame],
-    previous: str,
+    previous: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Change a table in one repeatable run, and return its old and new content.
 
-    ``previous`` is the snapshot that the run starts from, so that a repeat of the run starts
-    from the same rows and gives the same result. The new snapshot goes to the run's own
-    folder; moving the table there is the commit. A table that another run has moved on since
-    is left alone.
+    The run reads the snapshot ``previous``, or else the table's current one, and writes the
+    changed rows to its own folder; moving the table there is the commit. A run that is
+    already committed is not done again. A table that another run has moved on from
+    ``previous`` is left alone.
     """
     location = f"{base}/snapshot-{run}"
-    if _same_place(location, previous):
+    if previous and _same_place(location, previous):
         raise ValueError(f"run {run!r} would overwrite the snapshot it reads")
     current = current_location(spark, table)
-    if current and not (_same_place(current, previous) or _same_place(current, location)):
-        raise ValueError(f"{table} has moved on to {current}")
-    old = spark.read.parquet(previous)
-    new = change(old)
-    new.write.mode("overwrite").parquet(location)
-    publish(spark, table, new.schema, location)
-    return old, spark.read.schema(new.schema).parquet(location)
+    if current and _same_place(current, location):
+        previous = _previous_location(spark, table)
+    else:
+        if current and previous and not _same_place(current, previous):
+            raise ValueError(f"{table} has moved on to {current}")
+        previous = previous or current
+        if previous is None:
+            raise ValueError(f"there is no table {table}, so the first snapshot must be given")
+        change(spark.read.parquet(previous)).write.mode("overwrite").parquet(location)
+        publish(spark, table, location, previous)
+    return spark.read.parquet(previous), spark.read.parquet(location)

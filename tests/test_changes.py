@@ -212,6 +212,11 @@ def test_a_late_repeat_does_not_undo_a_later_change(spark, published):
     assert {r.Id for r in spark.table(name).collect()} == {1, 2, 3}
 
 
+def test_the_first_snapshot_must_be_given(spark, tmp_path):
+    with pytest.raises(ValueError, match="first snapshot must be given"):
+        run_change(spark, "no_such_table", str(tmp_path), "1", lambda old: old)
+
+
 def test_a_failed_change_changes_nothing(spark, published):
     name, base = published
     before = current_location(spark, name)
@@ -295,6 +300,8 @@ def test_the_switch(spark):
     assert switch.is_on("product")
     switch.disable_all()
     assert not switch.is_on("product") and not switch.is_on("order")
+    switch.enable("product")
+    assert switch.is_on("product") and not switch.is_on("order")
     switch.enable_all()
     assert switch.is_on("product") and switch.is_on("order")
 
@@ -317,7 +324,6 @@ def test_a_change_and_its_log_can_be_repeated(spark, published):
     name, base = published
     log_base = f"{base}/log"
     switch = AuditSwitch()
-    before = current_location(spark, name)
     row = spark.sql(
         "SELECT 9 AS Id, 'PRODUCT X' AS ProductName, 1 AS SupplierId, 1240 AS UnitPrice,"
         " '1' AS Package, 0 AS IsDiscontinued"
@@ -326,13 +332,16 @@ def test_a_change_and_its_log_can_be_repeated(spark, published):
     def insert(old):
         return insert_rows(old, row)
 
-    def run(run_id, change, start):
+    def run(run_id, change):
         return run_audited_change(
-            spark, name, base, run_id, change, start, "Id", log_base, stamp(), switch
+            spark, name, base, run_id, change, "Id", log_base, stamp(), switch
         )
 
+    # The first attempt at run 1 ends between the change and the log.
+    run_change(spark, name, base, "1", insert)
     for _ in range(2):
-        new = run("1", insert, before)
+        new = run("1", insert)
+        assert spark.table(name).count() == 6
     schema = new.withColumns({"updatedat": stamp(), "operation": F.lit("")}).schema
 
     def log():
@@ -341,10 +350,9 @@ def test_a_change_and_its_log_can_be_repeated(spark, published):
 
     assert log() == [(9, "INS")]
     switch.disable(name)
-    run("2", lambda old: delete_rows(old, F.col("Id") == 1), current_location(spark, name))
+    run("2", lambda old: delete_rows(old, F.col("Id") == 1))
     assert log() == [(9, "INS")]
     switch.enable(name)
-    run("3", lambda old: delete_rows(old, F.col("ProductName") == "PRODUCT X"),
-        current_location(spark, name))
+    run("3", lambda old: delete_rows(old, F.col("ProductName") == "PRODUCT X"))
     assert log() == [(9, "DEL"), (9, "INS")]
     assert {r.Id for r in spark.table(name).collect()} == {2, 3, 4, 5}
