@@ -13,7 +13,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.sources.schemas import complete_rows
+from saleswright.sources.schemas import complete_rows, require_schema
 from saleswright.sources.tables import quoted_name
 
 
@@ -132,6 +132,8 @@ def run_change(
         previous = previous or current
         if previous is None:
             raise ValueError(f"there is no table {table}, so the first snapshot must be given")
-        change(spark.read.parquet(previous)).write.mode("overwrite").parquet(location)
+        old = spark.read.parquet(previous)
+        new = require_schema(change(old), old.schema)
+        new.write.mode("overwrite").parquet(location)
         publish(spark, table, location, previous)
     return spark.read.parquet(previous), spark.read.parquet(location)

@@ -212,6 +212,12 @@ def test_a_late_repeat_does_not_undo_a_later_change(spark, published):
     assert {r.Id for r in spark.table(name).collect()} == {1, 2, 3}
 
 
+def test_a_change_keeps_the_columns(spark, published):
+    name, base = published
+    with pytest.raises(ValueError, match="schema drift: Extra: not declared"):
+        run_change(spark, name, base, "1", lambda old: old.withColumn("Extra", F.lit(1)))
+
+
 def test_the_first_snapshot_must_be_given(spark, tmp_path):
     with pytest.raises(ValueError, match="first snapshot must be given"):
         run_change(spark, "no_such_table", str(tmp_path), "1", lambda old: old)
