@@ -78,6 +78,15 @@ def _from_text(f: StructField) -> Column:
     return F.when(text.isNotNull() & value.isNull(), misfit).otherwise(value).alias(f.name)
 
 
+def load_rows(rows: DataFrame, spec: TableSpec, target: str, load: str) -> DataFrame:
+    """Append rows of any source, such as ``spark.read.jdbc``, and return the table.
+
+    Rows bring their own keys; columns they lack become NULL. A repeated load replaces itself.
+    """
+    write_run(complete_rows(rows, spec.schema), target, load)
+    return read_runs(rows.sparkSession, target, spec.schema)
+
+
 def bulk_load(
     spark: SparkSession,
     source: str,
@@ -88,10 +97,9 @@ def bulk_load(
     file_format: str = "csv",
     **options: str,
 ) -> DataFrame:
-    """Load files whose rows bring their own keys, and return the table.
+    """Load files as ``load_rows`` does, and return the table.
 
-    ``given`` names the columns that the files hold, in their order; the table's other
-    columns become NULL. In CSV and JSON a flag may be 0 or 1, and a stamp may be in ISO form
+    ``given`` names the columns that the files hold, in their order. In CSV and JSON a flag may be 0 or 1, and a stamp may be in ISO form
     or such as ``Jul  4 2012 12:00:00:000AM``. A row that does not fit its types stops the load.
     """
     fields = [spec.schema[name] for name in given or spec.schema.names]
@@ -102,8 +110,7 @@ def bulk_load(
     else:
         reader = spark.read.format(file_format).schema(StructType(fields))
         rows = reader.options(**options).load(source)
-    write_run(complete_rows(rows, spec.schema), target, load)
-    return read_runs(spark, target, spec.schema)
+    return load_rows(rows, spec, target, load)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

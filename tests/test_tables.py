@@ -30,6 +30,7 @@ from saleswright.sources.tables import (
     drop_table,
     empty_table,
     fingerprint,
+    load_rows,
     named_column,
     quoted_name,
     read_declared,
@@ -158,6 +159,13 @@ def test_a_repeated_load_replaces_itself_and_another_adds(spark, tmp_path):
         assert loaded.count() == expected
 
 
+def test_rows_of_any_source_load(spark, tmp_path):
+    rows = spark.sql("SELECT 7L AS Id, 'Acme' AS CompanyName, 'Leeds' AS City")
+    loaded = load_rows(rows, SUPPLIER, f"{tmp_path}/t", "1")
+    assert tuples(loaded) == [(7, "Acme", None, None, "Leeds", None, None, None)]
+    assert schema_drift(loaded, SUPPLIER.schema) == []
+
+
 def test_a_row_of_another_type_stops_the_load(spark, tmp_path):
     spark.sql("SELECT 'x' AS Id, 'Acme' AS CompanyName").write.csv(f"{tmp_path}/files")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot hold"):
