@@ -39,8 +39,8 @@ def register_products_by_status(spark: SparkSession, *product_table: str) -> Non
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION fn_get_products_by_status(is_discontinued BOOLEAN)
-        RETURNS TABLE (id INT, product_name STRING)
-        RETURN SELECT CAST(Id AS INT), ProductName FROM {quoted_name(*product_table)}
+        RETURNS TABLE (id BIGINT, product_name STRING)
+        RETURN SELECT Id, ProductName FROM {quoted_name(*product_table)}
                WHERE IsDiscontinued = fn_get_products_by_status.is_discontinued
         """
     )

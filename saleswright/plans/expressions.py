@@ -181,8 +181,7 @@ def udtf_products_by_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS product_name"
-    " FROM part WHERE (p_size > 40) = false"
+    "SELECT p_partkey AS id, p_name AS product_name FROM part WHERE (p_size > 40) = false"
 )
 def udtf_products_by_status_sql(spark: SparkSession, folder: str) -> DataFrame:
     """The table function of SQL, over the parts under the product columns that it reads."""

@@ -194,17 +194,16 @@ def audit_ins_del(spark: SparkSession, folder: str) -> DataFrame:
     """Small parts leave the table, large ones come in, and all others are renamed."""
     part = read_table(spark, folder, "part")
     old = part.filter("p_size <= 45").select("p_partkey", "p_name")
-    new = part.filter("p_size > 5").select(
-        "p_partkey", F.when(F.col("p_size") > 45, F.col("p_name")).otherwise("new").alias("p_name")
-    )
+    name = F.when(F.col("p_size") > 45, F.col("p_name")).otherwise("new")
+    new = part.filter("p_size > 5").select("p_partkey", name.alias("p_name"))
     return snapshot_log(old, new, "p_partkey", _stamp())
 
 
 @query(
     """
-    SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS id,
-           CAST(p_partkey AS INTEGER) AS productid, p_name AS productname,
-           p_size AS "SupplierId", CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice",
+    SELECT row_number() OVER (ORDER BY p_partkey) AS id,
+           p_partkey AS productid, p_name AS productname,
+           CAST(p_size AS BIGINT) AS "SupplierId", CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice",
            p_type AS package, p_size > 40 AS "IsDiscontinued",
            TIMESTAMP '2024-05-06 07:08:09' AS updatedat,
            CASE WHEN p_size > 25 THEN 'INS' ELSE 'DEL' END AS operation

@@ -55,8 +55,8 @@ def scan_all(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(o_orderkey AS INTEGER) AS "Id", o_orderdate AS "OrderDate",
-           CAST(o_orderkey AS VARCHAR) AS "OrderNumber", CAST(o_custkey AS INTEGER) AS "CustomerId",
+    SELECT o_orderkey AS "Id", o_orderdate AS "OrderDate",
+           CAST(o_orderkey AS VARCHAR) AS "OrderNumber", o_custkey AS "CustomerId",
            CAST(o_totalprice AS DECIMAL(12,2)) AS "TotalAmount"
     FROM orders
     """
@@ -75,7 +75,7 @@ def table_schemas(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(s_suppkey AS INTEGER) AS "Id", s_name AS "CompanyName",
+    SELECT s_suppkey AS "Id", s_name AS "CompanyName",
            CAST(NULL AS VARCHAR) AS "ContactName", CAST(NULL AS VARCHAR) AS "ContactTitle",
            CAST(NULL AS VARCHAR) AS "City", CAST(s_nationkey AS VARCHAR) AS "Country",
            CAST(NULL AS VARCHAR) AS "Phone", CAST(NULL AS VARCHAR) AS "Fax"

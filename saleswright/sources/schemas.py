@@ -12,12 +12,15 @@ from pyspark.sql.types import (
     DataType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
 )
 
+# Wide enough for the order lines of a large store, which outnumber the 32-bit integers.
+KEY = LongType()
 MONEY = DecimalType(12, 2)
 # A stamp without a zone, so that its year and day do not move with the session's zone.
 STAMP = TimestampNTZType()
@@ -58,7 +61,7 @@ CUSTOMER = TableSpec(
     name="Customer",
     schema=StructType(
         [
-            _col("Id", IntegerType(), True),
+            _col("Id", KEY, True),
             _col("FirstName", StringType(), True),
             _col("LastName", StringType(), True),
             _col("City", StringType()),
@@ -73,7 +76,7 @@ SUPPLIER = TableSpec(
     name="Supplier",
     schema=StructType(
         [
-            _col("Id", IntegerType(), True),
+            _col("Id", KEY, True),
             _col("CompanyName", StringType(), True),
             _col("ContactName", StringType()),
             _col("ContactTitle", StringType()),
@@ -98,9 +101,9 @@ PRODUCT = TableSpec(
     name="Product",
     schema=StructType(
         [
-            _col("Id", IntegerType(), True),
+            _col("Id", KEY, True),
             _col("ProductName", StringType(), True),
-            _col("SupplierId", IntegerType(), True),
+            _col("SupplierId", KEY, True),
             _col("UnitPrice", MONEY),
             _col("Package", StringType()),
             _col("IsDiscontinued", BooleanType(), True),
@@ -115,10 +118,10 @@ ORDER = TableSpec(
     name="Order",
     schema=StructType(
         [
-            _col("Id", IntegerType(), True),
+            _col("Id", KEY, True),
             _col("OrderDate", STAMP, True),
             _col("OrderNumber", StringType()),
-            _col("CustomerId", IntegerType(), True),
+            _col("CustomerId", KEY, True),
             _col("TotalAmount", MONEY),
         ]
     ),
@@ -131,9 +134,9 @@ ORDER_ITEM = TableSpec(
     name="OrderItem",
     schema=StructType(
         [
-            _col("Id", IntegerType(), True),
-            _col("OrderId", IntegerType(), True),
-            _col("ProductId", IntegerType(), True),
+            _col("Id", KEY, True),
+            _col("OrderId", KEY, True),
+            _col("ProductId", KEY, True),
             _col("UnitPrice", MONEY, True),
             _col("Quantity", IntegerType(), True),
         ]
@@ -152,10 +155,10 @@ AUDIT = TableSpec(
     name="product_audit",
     schema=StructType(
         [
-            _col("id", IntegerType(), True),
-            _col("productid", IntegerType(), True),
+            _col("id", KEY, True),
+            _col("productid", KEY, True),
             _col("productname", StringType(), True),
-            _col("SupplierId", IntegerType(), True),
+            _col("SupplierId", KEY, True),
             _col("UnitPrice", MONEY),
             _col("package", StringType()),
             _col("IsDiscontinued", BooleanType(), True),

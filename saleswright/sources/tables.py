@@ -99,8 +99,9 @@ def bulk_load(
 ) -> DataFrame:
     """Load files as ``load_rows`` does, and return the table.
 
-    ``given`` names the columns that the files hold, in their order. In CSV and JSON a flag may be 0 or 1, and a stamp may be in ISO form
-    or such as ``Jul  4 2012 12:00:00:000AM``. A row that does not fit its types stops the load.
+    ``given`` names the columns that the files hold, in their order. In CSV and JSON a flag
+    may be 0 or 1, and a stamp may be in ISO form or such as ``Jul  4 2012 12:00:00:000AM``.
+    A row that does not fit its types stops the load.
     """
     fields = [spec.schema[name] for name in given or spec.schema.names]
     if file_format in ("csv", "json"):

@@ -55,6 +55,9 @@ def test_declared_tables():
         "Order": ["Id", "OrderDate", "OrderNumber", "CustomerId", "TotalAmount"],
         "OrderItem": ["Id", "OrderId", "ProductId", "UnitPrice", "Quantity"],
     }
+    for spec in TABLES.values():
+        keys = [spec.key, *[reference.column for reference in spec.foreign_keys]]
+        assert {spec.schema[key].dataType.simpleString() for key in keys} == {"bigint"}
     assert PRODUCT.schema["UnitPrice"].dataType.simpleString() == "decimal(12,2)"
     assert PRODUCT.schema["IsDiscontinued"].dataType.simpleString() == "boolean"
     assert ORDER.required == ["Id", "OrderDate", "CustomerId"]
@@ -87,8 +90,8 @@ def test_read_declared_refuses_another_type(spark, tmp_path):
     small = small_sales(spark)
     small.supplier.write.parquet(f"{tmp_path}/good")
     assert read_declared(spark, f"{tmp_path}/good", SUPPLIER).count() == 3
-    small.supplier.withColumn("Id", F.col("Id").cast("long")).write.parquet(f"{tmp_path}/bad")
-    with pytest.raises(ValueError, match="Id: bigint instead of int"):
+    small.supplier.withColumn("Id", F.col("Id").cast("int")).write.parquet(f"{tmp_path}/bad")
+    with pytest.raises(ValueError, match="Id: int instead of bigint"):
         read_declared(spark, f"{tmp_path}/bad", SUPPLIER)
 
 
