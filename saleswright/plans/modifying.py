@@ -203,7 +203,8 @@ def audit_ins_del(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT row_number() OVER (ORDER BY p_partkey) AS id,
            p_partkey AS productid, p_name AS productname,
-           CAST(p_size AS BIGINT) AS "SupplierId", CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice",
+           CAST(p_size AS BIGINT) AS "SupplierId",
+           CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice",
            p_type AS package, p_size > 40 AS "IsDiscontinued",
            TIMESTAMP '2024-05-06 07:08:09' AS updatedat,
            CASE WHEN p_size > 25 THEN 'INS' ELSE 'DEL' END AS operation
