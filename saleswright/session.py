@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,17 +25,20 @@ def local_session(name: str = "saleswright", cores: int = 8, **conf: str) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session that names none gets a temporary folder: on a cluster a
-    machine-local folder would be lost with its machine, so there it is an error.
+    A session that names none has a folder under its warehouse, which is shared as well.
+    A folder of one machine would be lost with it, so a cluster may not name one by accident:
+    a warehouse on a local path is refused unless the master is local.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or ""
+        local = context.master == "local" or context.master.startswith("local[")
+        if not local and (warehouse.startswith("file:") or "://" not in warehouse):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="saleswright-")
+        folder = f"{warehouse.rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -49,3 +51,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     application = spark.sparkContext.applicationId
     return f"{shared_folder(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written by ``scratch_path``, once results are consumed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(conf).delete(path, True)

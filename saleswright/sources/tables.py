@@ -14,18 +14,9 @@ from saleswright.sources.schemas import TableSpec, complete_rows, now, require_s
 RUN = "run_id"
 
 
-_known_schemas: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of a folder that does not change while the application runs.
-
-    Its schema is read from the files the first time only; finding it takes a job of its own.
-    """
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _known_schemas:
-        _known_schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_known_schemas[path]).parquet(path)
+    """A table of a folder, with the columns that its files have now."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def read_declared(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:

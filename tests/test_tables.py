@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, StructType
 from helpers import SUPPLIERS, as_set, frame, small_sales, tuples
 from saleswright.functions.scalar import stamp_as_text, stamp_from_text
 from saleswright.plans.sales import Sales
-from saleswright.session import scratch_path, shared_folder
+from saleswright.session import clear_scratch, scratch_path, shared_folder
 from saleswright.sources.schemas import (
     AUDIT,
     ORDER,
@@ -36,6 +36,7 @@ from saleswright.sources.tables import (
     read_declared,
     read_named_table,
     read_runs,
+    read_table,
     select_into,
     stage_for_all,
     stage_for_session,
@@ -352,3 +353,46 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_without_a_folder_the_warehouse_is_used():
+    class Context:
+        master = "local[4]"
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Conf:
+        def get(self, key, default):
+            return "file:/w" if key == "spark.sql.warehouse.dir" else default
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    assert shared_folder(Session()) == "file:/w/_scratch"
+    Session.sparkContext.folder = None
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_scratch_can_be_cleared(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_scratch(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path).count()
+
+
+def test_a_rewritten_table_shows_its_new_column(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    spark.range(2).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(2).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(path)
+    assert read_table(spark, str(tmp_path), "t").columns == ["id", "more"]
