@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.llm.common import documents, workers_import_package
+from saleswright.llm.exact_dedup import duplicates
+from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.packing import pack
 from saleswright.llm.token_counts import encoded_lengths, length_histogram
 from saleswright.llm.token_files import read_token_files, write_token_files
@@ -20,8 +22,10 @@ ORACLES: dict[str, str] = {}
 VOCABULARY = "word_bpe_49k.json"
 
 
-def query(function):
-    """Register a query under its function's name."""
+def query(function=None, *, sql: str | None = None):
+    """Register a query under its function's name, with the SQL that must give the same rows."""
+    if function is None:
+        return functools.partial(query, sql=sql)
 
     @functools.wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,8 +33,38 @@ def query(function):
         return function(spark, folder)
 
     QUERIES[function.__name__] = run
+    if sql is not None:
+        ORACLES[function.__name__] = sql
     return run
 
+#: For SQL: A-Z to lower case, and the white space that the contracts name.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(
+    sql=f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents
+), keyed AS (
+  SELECT *, {_LOWER.format(f"trim(line, {_SPACE})")} AS k FROM lines
+), shared AS (
+  SELECT k, true AS gone FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (k) GROUP BY doc_id
+"""
+)
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts without the lines that ten documents or more share."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return dedup_lines(docs, min_docs=10).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
 
 @query
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,6 +91,27 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    sql=f"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+    translate(coalesce(text, ''), {_SPACE}, '') AS norm
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+  count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = first_value(doc_id) OVER best AS kept, sha256(norm) AS text_sha256
+FROM n WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id)
+"""
+)
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the group of their text; half of them are the snapshot."""
+    found = duplicates(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
+    )
+
+
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' lengths in tokens with sums from both ends. No SQL: it has no tokenizer."""
