@@ -11,6 +11,7 @@ from saleswright.llm.common import documents, workers_import_package
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.packing import pack
+from saleswright.llm.simhash_dedup import near_duplicates
 from saleswright.llm.token_counts import encoded_lengths, length_histogram
 from saleswright.llm.token_files import read_token_files, write_token_files
 from saleswright.llm.tokens import vocabulary_path
@@ -117,3 +118,14 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' lengths in tokens with sums from both ends. No SQL: it has no tokenizer."""
     lengths = encoded_lengths(documents(spark, folder), vocabulary_path(VOCABULARY))
     return length_histogram(lengths)
+
+
+@query
+def op10_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' fingerprints and components. No SQL: DuckDB has no XXH64."""
+    docs = documents(spark, folder).select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
+    )
+    return near_duplicates(docs).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
