@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.llm.common import documents, workers_import_package
+from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.packing import pack
@@ -92,6 +93,54 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Words as the decontamination contract has them, for SQL.
+_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    sql=f"""
+WITH d AS (
+  SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), b AS (
+  SELECT item_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, w[i:i + 9] AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b
+    WHERE len(w) > 0)
+), lens AS (
+  SELECT DISTINCT len(win) AS n FROM windows
+), places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n
+), found AS (
+  SELECT doc_id, item_id, i, n FROM places JOIN windows ON w[i:i + n - 1] = win
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+)
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents against all windows of the benchmark."""
+    texts = documents(spark, folder).select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
+    )
+    found = find_hits(texts, documents(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 @query(
     sql=f"""
 WITH n AS (
