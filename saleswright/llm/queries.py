@@ -12,6 +12,7 @@ from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.packing import pack
+from saleswright.llm.pii import FORMS, find_personal_data, spelled
 from saleswright.llm.simhash_dedup import near_duplicates
 from saleswright.llm.token_counts import encoded_lengths, length_histogram
 from saleswright.llm.token_files import read_token_files, write_token_files
@@ -169,6 +170,22 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return length_histogram(lengths)
 
 
+@query
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' personal data. No SQL: scoring goes in rounds."""
+    texts = documents(spark, folder).select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
+    )
+    found = find_personal_data(texts)
+    every = F.concat("base", "found")
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in FORMS],
+        F.sha2(spelled(F.col("base")), 256).alias("base_sha256"),
+        spelled(every).alias("spans"),
+    )
+
+
 @query
 def op10_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' fingerprints and components. No SQL: DuckDB has no XXH64."""
