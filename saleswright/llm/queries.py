@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from saleswright.llm.common import documents, workers_import_package
 from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
+from saleswright.llm.hmm_scoring import fold, score_texts
 from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.packing import pack
 from saleswright.llm.pii import FORMS, find_personal_data, spelled
@@ -163,6 +164,13 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts scored by a model of six sevenths of them. No SQL: training goes in rounds."""
+    docs = documents(spark, folder)
+    return score_texts(docs, held_out=fold(docs["doc_id"], 7) == 2)
+
+
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' lengths in tokens with sums from both ends. No SQL: it has no tokenizer."""
