@@ -18,6 +18,7 @@ from saleswright.llm.simhash_dedup import near_duplicates
 from saleswright.llm.token_counts import encoded_lengths, length_histogram
 from saleswright.llm.token_files import read_token_files, write_token_files
 from saleswright.llm.tokens import vocabulary_path
+from saleswright.llm.toxicity import score, train
 from saleswright.session import scratch_path
 
 QUERIES = {}
@@ -171,6 +172,18 @@ def op6_hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(docs, held_out=fold(docs["doc_id"], 7) == 2)
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts scored by a machine that learns from four fifths of the labels. No SQL: it is
+    trained."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    learns = fold(F.col("doc_id"), 5) != 0
+    machine = train(docs, documents(spark, folder, "labels"), learns)
+    return score(docs, machine).select(
+        "row.doc_id", (fold(F.col("row.doc_id"), 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' lengths in tokens with sums from both ends. No SQL: it has no tokenizer."""
