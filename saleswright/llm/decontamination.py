@@ -62,7 +62,8 @@ def _scan(texts: DataFrame, block: list) -> DataFrame:
         starts = f"if(size(w) < {length}, array(), sequence(1, size(w) - {length} + 1))"
         hits = f"filter({starts}, i -> xxhash64({here}) IN ({known}))"
         found.append(f"transform({hits}, i -> named_struct('at', i, 'words', {here}))")
-    joined = f"concat({', '.join(found)})" if found else "array()"
+    none = "cast(array() AS array<struct<at: int, words: array<string>>>)"
+    joined = f"concat({', '.join(found)})" if found else none
     # transform over one element names the words, so that they are made once for a row.
     scanned = F.expr(
         f"transform(array(w), w -> named_struct('n', size(w), 'found', {joined}))[0]"

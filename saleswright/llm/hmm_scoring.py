@@ -1,7 +1,7 @@
 """Scoring of texts by a hidden Markov language model trained on the corpus.
 
-Words are counted over all training texts. The most frequent ``HEAD`` are symbols of the model;
-all others are one symbol, ``tail``, times the word's own share among them, with one count more
+Words are counted over all training texts. The most frequent ``HEAD`` (of those seen three times)
+are symbols of the model; all others are one symbol, ``tail``, times the word's own share among them, with one count more
 for a word never seen. That share does not depend on the state, so the likelihood of a text is
 that of its symbols times the shares of its tail words, and stays exact. So the model keeps
 one size, while the counts of all words stay in a table and are joined to the tail words.
@@ -34,6 +34,8 @@ from saleswright.llm.hmm_model import (
 
 #: Words that are symbols of the model; with two more, symbols fit 16 bits.
 HEAD = (1 << 16) - 2
+#: Rarer words tell nothing of a state; together they tell how likely a word not seen yet is.
+LEAST_COUNT = 3
 STATES = 8
 ROUNDS = 3
 #: Frequent words that the first model is made from.
@@ -238,7 +240,8 @@ def score_texts(
     ).first()
     tokens, distinct = int(total["n"]), int(total["v"])
     words = counts.filter(F.col("word") != END)
-    top = words.orderBy(F.col("c").desc(), "word").limit(head).collect()  # at most ``head``
+    often = words.filter(F.col("c") >= LEAST_COUNT)
+    top = often.orderBy(F.col("c").desc(), "word").limit(head).collect()  # at most ``head``
     head_counts = np.array([row["c"] for row in top], dtype=np.int64)
     n_ends = int(total["ends"])
     tail_tokens = tokens - n_ends - int(head_counts.sum())

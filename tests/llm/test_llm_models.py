@@ -1,0 +1,212 @@
+"""The hidden Markov model and the factorization machine."""
+
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_helpers import texts_of
+from saleswright.llm import hmm_scoring, toxicity
+from saleswright.llm.common import documents
+from saleswright.llm.hmm_model import Counts, Hmm, add_expected, log10_likelihood, refined
+from saleswright.llm.hmm_scoring import fold, score_texts
+
+
+def random_model(states, symbols, seed):
+    rng = np.random.default_rng(seed)
+
+    def rows(*shape):
+        x = rng.random(shape) + 0.05
+        return x / x.sum(axis=-1, keepdims=True)
+
+    return Hmm(rows(states), rows(states), rows(states, states), rows(states, symbols).T)
+
+
+def all_paths(model, ids):
+    """Probability of each path of states, and so of the sequence."""
+    out = {}
+    for path in itertools.product(range(model.states), repeat=len(ids)):
+        p = model.start[path[0]] * model.emit[ids[0], path[0]]
+        for a, b, x in zip(path, path[1:], ids[1:], strict=False):
+            p *= model.step[a, b] * model.emit[x, b]
+        out[path] = p
+    return out
+
+
+def test_likelihood_is_exact():
+    model = random_model(3, 5, 1)
+    sequences = [[0, 4, 2, 1], [3], [1, 1, 1, 2, 0, 3]]
+    ids, ends = np.array(sum(sequences, [])), np.cumsum([len(s) for s in sequences])
+    wanted = [math.log10(sum(all_paths(model, s).values())) for s in sequences]
+    assert np.allclose(log10_likelihood(model, ids, ends), wanted)
+    long = np.zeros(50_000, dtype=np.int64)
+    assert np.isfinite(log10_likelihood(model, long, np.array([len(long)]))).all()
+
+
+def test_expected_counts_are_those_of_all_paths():
+    model = random_model(3, 5, 2)
+    sequences = [[0, 4, 2, 1], [3], [1, 1, 1, 2, 0]]
+    found = Counts.none(5, 3)
+    ids, ends = np.array(sum(sequences, [])), np.cumsum([len(s) for s in sequences])
+    add_expected(model, ids, ends, found)
+    wanted = Counts.none(5, 3)
+    for s in sequences:
+        paths = all_paths(model, s)
+        total = sum(paths.values())
+        for path, p in paths.items():
+            wanted.start[path[0]] += p / total
+            for state, x in zip(path, s, strict=True):
+                wanted.emit[x, state] += p / total
+            for a, b in zip(path, path[1:], strict=False):
+                wanted.step[a, b] += p / total
+    for name in ("start", "step", "emit", "inside"):
+        assert np.allclose(getattr(found, name), getattr(wanted, name), atol=1e-4), name
+
+
+def test_rounds_raise_the_likelihood():
+    rng = np.random.default_rng(3)
+    true = random_model(2, 6, 4)
+    ids = rng.integers(0, 6, 4000)
+    ends = np.arange(40, 4001, 40)
+    model = random_model(2, 6, 5)
+    background = np.full(6, 1 / 6)
+    scores = []
+    for _ in range(4):
+        scores.append(log10_likelihood(model, ids, ends).sum())
+        found = Counts.none(6, 2)
+        add_expected(model, ids, ends, found)
+        model = refined(found, background)
+    assert scores == sorted(scores) and true.states == 2
+
+
+def words(text):
+    return [*text.encode().lower().split(), b""]
+
+
+def check_base(rows, texts, held_out):
+    counts = Counter(w for i, t in texts if not held_out(i) for w in words(t))
+    n, v = sum(counts.values()), len(counts)
+    wanted = Counter()
+    for doc_id, text in texts:
+        w = words(text)
+        base = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w)
+        known = sum(counts[x] > 0 for x in w)
+        wanted[(doc_id, held_out(doc_id), len(w), known, n, round(base, 4))] += 1
+    got = Counter(
+        (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4))
+        for r in rows
+    )
+    assert got == wanted
+
+
+def by_crc(folds, rest):
+    return lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % folds == rest
+
+
+@pytest.mark.parametrize("head", [3, hmm_scoring.HEAD])
+def test_scores_of_odd_rows(odd, head):
+    rows = score_texts(odd, fold(odd["doc_id"], 7) == 2, head=head, states=3, rounds=2).collect()
+    check_base(rows, texts_of(odd), by_crc(7, 2))
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+
+
+def test_scores_without_any_training_rows(odd, no_rows):
+    rows = score_texts(odd, F.lit(True), states=2, rounds=1).collect()
+    check_base(rows, texts_of(odd), lambda _: True)
+    assert score_texts(no_rows, F.lit(False), states=2, rounds=1).count() == 0
+
+
+def test_probabilities_of_all_texts_of_a_length_add_up(spark):
+    """A proper model: over all words, one of them unseen, the next one's probabilities are 1."""
+    train = [(i, "a b c a b a") for i in range(3)] + [(9, "d e")]
+    first = [(100 + i, w) for i, w in enumerate(["a", "b", "c", "d", "e", "new", ""])]
+    docs = spark.createDataFrame(train + first, "doc_id long, text string")
+    rows = score_texts(docs, F.col("doc_id") >= 100, head=2, states=2, rounds=2).collect()
+    score = {r["doc_id"]: r["score"] for r in rows}
+    # Texts of one word and an end; an empty text ends at once, so its share is the rest's end.
+    one_word = sum(10 ** score[100 + i] for i in range(6))
+    assert 0 < one_word < 1 and 10 ** score[106] < 1
+
+
+def test_held_out_texts_of_the_tables_are_better_predicted(spark, data):
+    docs = documents(spark, data)
+    rows = score_texts(docs, fold(docs["doc_id"], 7) == 2).collect()
+    check_base(rows, texts_of(docs), by_crc(7, 2))
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+# --- toxicity -------------------------------------------------------------------------
+
+
+def test_margin_is_that_of_all_pairs():
+    rng = np.random.default_rng(1)
+    m = toxicity.Machine(np.arange(6), 0.3, rng.normal(size=6), rng.normal(size=(6, 4)))
+    rows, places = np.array([0, 0, 0, 2]), np.array([1, 3, 5, 2])
+    pairs = sum(m.vectors[a] @ m.vectors[b] for a, b in itertools.combinations([1, 3, 5], 2))
+    wanted = [0.3 + m.weights[[1, 3, 5]].sum() + pairs, 0.3, 0.3 + m.weights[2]]
+    assert np.allclose(m.margins(rows, places, 3), wanted)
+
+
+def test_pairs_are_learned_that_single_weights_miss():
+    """Either of two terms is harmless and both together are not, and so is neither."""
+    rng = np.random.default_rng(2)
+    has = rng.random((600, 2)) < 0.5
+    toxic = (has[:, 0] == has[:, 1]).astype(float)
+    rows, places = np.nonzero(has)
+    machine = toxicity.fit(np.arange(2), rows, places, toxic, np.ones(600))
+    scores = 1 / (1 + np.exp(-machine.margins(rows, places, 600)))
+    assert ((scores >= 0.5) == toxic).all()
+
+
+def toxic_rows(n, seed):
+    rnd = random.Random(seed)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for i in range(n):
+        w = rnd.choices(vocabulary, k=rnd.randint(5, 60))
+        toxic = i % 6 == 0
+        if toxic:
+            w[rnd.randrange(len(w))] = rnd.choice(["Scum!", "idiot", "trash,"])
+            w[rnd.randrange(len(w))] = rnd.choice(["SCUM", "idiot.", "Trash"])
+        rows.append((i, " ".join(w), int(toxic)))
+    return rows
+
+
+def test_held_out_texts_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_ROWS", 200)  # a bounded sample of the 600
+    rows = toxic_rows(600, 1)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id long, quality int, toxic int")
+    machine = toxicity.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    got = {r["row"]["doc_id"]: r for r in toxicity.score(docs, machine).collect()}
+    assert len(got) == 600
+    held = [r for r in rows if by_crc(5, 0)(r[0])]
+    wrong = sum(got[i]["predicted"] != toxic for i, _, toxic in held)
+    assert wrong <= 0.03 * len(held)
+    left = toxicity.without_toxic(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    assert left.columns == docs.columns
+    assert left.count() == sum(r["predicted"] == 0 for r in got.values())
+
+
+def test_odd_rows_and_labels(spark, odd, no_rows):
+    labels = spark.createDataFrame(
+        [(1, 0), (1, 1), (2, 0), (None, 1), (3, None), (6, 1), (7, 0), (77, 1)],
+        "doc_id long, toxic int",
+    )
+    learns = F.lit(True)
+    rows = toxicity.score(odd, toxicity.train(odd, labels, learns)).collect()
+    assert len(rows) == odd.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    by_text = {}
+    for r in rows:
+        assert by_text.setdefault(r["row"]["text"] or "", r["score"]) == r["score"]
+    assert toxicity.score(no_rows, toxicity.train(no_rows, labels, learns)).count() == 0
+    none = labels.limit(0)
+    scores = toxicity.score(odd, toxicity.train(odd, none, learns)).collect()
+    assert {r["predicted"] for r in scores} == {0}

@@ -1,0 +1,215 @@
+"""Encoding, Huffman codes, token files, packing and the length histogram."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_helpers import texts_of
+from saleswright.llm.huffman import CHECKPOINT, Code, code_lengths
+from saleswright.llm.packing import pack, packing_plan, sequences
+from saleswright.llm.token_counts import at_limits, encoded_lengths, length_histogram, quantiles
+from saleswright.llm.token_files import read_token_files, write_token_files
+from saleswright.llm.tokens import Encoder, vocabulary_path
+
+PATH = vocabulary_path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(PATH)
+
+
+def plain(encoder, text):
+    return encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.text(
+            st.one_of(
+                st.characters(exclude_categories=["Cs"]),
+                st.sampled_from("  \n.,'stIJ̌̇aeEÉß"),
+            ),
+            max_size=30,
+        ),
+        max_size=4,
+    )
+)
+def test_ids_are_the_librarys(texts):
+    encoder = test_ids_are_the_librarys.encoder = getattr(
+        test_ids_are_the_librarys, "encoder", None
+    ) or Encoder(PATH)
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    start = 0
+    for text, end in zip(texts, ends, strict=True):
+        assert ids[start:end].tolist() == plain(encoder, text)
+        start = end
+
+
+def test_words_that_fall_out_are_learned_again(encoder, monkeypatch):
+    monkeypatch.setattr("saleswright.llm.tokens.KEPT_WORDS", 3)
+    texts = ["alpha beta, gamma", "beta delta", "alpha! epsilon zeta's", "<|endoftext|> zeta"]
+    for text in texts * 2:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == plain(encoder, text)
+
+
+def test_vocabulary_that_keeps_spaces():
+    encoder = Encoder(vocabulary_path("byte_bpe_50k.json"))
+    assert not encoder.drops_space
+    texts = ["a  b\nc", None, "x y"]
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [plain(encoder, t or "") for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 10**9), min_size=1, max_size=60), st.integers(6, 12))
+def test_code_lengths_are_a_code_and_limited(counts, limit):
+    lengths = code_lengths(np.array(counts), limit)
+    assert lengths.min() >= 1 and lengths.max() <= limit
+    assert sum(2.0**-x for x in lengths) <= 1
+
+
+def test_code_lengths_are_optimal():
+    counts = np.array([1, 1, 2, 3, 5, 8, 13, 21])
+    assert (counts * code_lengths(counts, 18)).sum() == 132  # Huffman's
+    limited = code_lengths(counts, 4)
+    assert limited.max() == 4 and (counts * limited).sum() == 137
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 40), max_size=3 * CHECKPOINT), max_size=4))
+def test_blocks_decode_by_themselves_and_together(blocks):
+    counts = np.bincount(np.array([x for b in blocks for x in b] + [0]), minlength=41) + 1
+    code = Code(np.arange(41), code_lengths(counts, 7))
+    coded = [(*code.encode(np.array(b, dtype=np.int64)), len(b)) for b in blocks]
+    assert [x.tolist() for x in code.decode(coded)] == blocks
+    for one, block in zip(coded, blocks, strict=True):
+        assert code.decode([one])[0].tolist() == block
+
+
+def test_token_files_hold_all_ids_in_order(odd, encoder, tmp_path, monkeypatch):
+    write_token_files(odd, f"{tmp_path}/t", PATH, end_id=2)
+    rows = read_token_files(odd.sparkSession, f"{tmp_path}/t").collect()
+    rows.sort(key=lambda r: r["start"])
+    wanted = Counter((i, tuple([*plain(encoder, t), 2])) for i, t in texts_of(odd))
+    got = [(r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in rows]
+    assert Counter(got) == wanted
+    at = 0
+    for row, (_, ids) in zip(rows, got, strict=True):
+        assert (row["start"], row["n_tokens"]) == (at, len(ids))
+        at += len(ids)
+    order = [(i is not None, i or 0) for i, _ in got]
+    assert order == sorted(order)
+
+
+def test_token_files_of_no_rows(no_rows, tmp_path):
+    write_token_files(no_rows, f"{tmp_path}/t", PATH, end_id=2)
+    assert read_token_files(no_rows.sparkSession, f"{tmp_path}/t").count() == 0
+
+
+def lay_out(counts, capacity):
+    """The sequences of a plan, as lists of (offset, length)."""
+    made, seen = defaultdict(list), Counter()
+    for length, rank, n, first, each, offset in packing_plan(counts, capacity).tolist():
+        assert rank == seen[length]
+        seen[length] += n
+        for i in range(n):
+            made[first + i // each].append((offset + i % each * length, length))
+    assert seen == Counter(counts)
+    for parts in made.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return made
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), max_size=12))
+def test_plan_lays_every_piece_once(counts):
+    made = lay_out(counts, 30)
+    least = -(-sum(x * n for x, n in counts.items()) // 30)
+    assert least <= len(made) <= max(least, 1.25 * least + 1, sum(2 * x > 30 for x in made))
+
+
+def test_large_pieces_are_matched_as_often_as_can_be():
+    assert len(lay_out({20: 3, 11: 1, 10: 3, 15: 2}, 30)) == 5
+    assert len(lay_out({18: 1, 12: 2, 11: 3, 19: 2}, 30)) == 4
+    assert len(lay_out({16: 4, 14: 5, 4: 2, 1: 6}, 30)) == 5
+
+
+def test_packing_of_odd_rows(odd, encoder):
+    rows = pack(odd, PATH, capacity=64, end_id=1).collect()
+    by_doc = Counter()
+    for doc_id, text in texts_of(odd):
+        ids = [*plain(encoder, text), 1]
+        for i in range(0, len(ids), 64):
+            by_doc[(doc_id, i // 64, i, tuple(ids[i : i + 64]))] += 1
+    got = Counter(
+        (r["doc_id"], r["piece"], r["start"], tuple(np.frombuffer(r["ids"], "<u4").tolist()))
+        for r in rows
+    )
+    assert got == by_doc
+    places = defaultdict(list)
+    for r in rows:
+        assert r["length"] * 4 == len(r["ids"])
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(places) == -(-sum(r["length"] for r in rows) // 64)
+
+
+def test_sequences_join_their_pieces(odd):
+    packed = pack(odd, PATH, capacity=64, end_id=1).cache()
+    joined = sequences(packed).collect()
+    assert sum(len(r["ids"]) for r in joined) == sum(r["length"] * 4 for r in packed.collect())
+    assert max(len(r["ids"]) for r in joined) <= 64 * 4
+
+
+def test_packing_of_no_rows(no_rows):
+    assert pack(no_rows, PATH).count() == 0
+
+
+def test_length_histogram(odd, encoder):
+    lengths = np.array([len(plain(encoder, t)) for _, t in texts_of(odd)])
+    table = length_histogram(encoded_lengths(odd, PATH)).cache()
+    rows = table.collect()
+    assert {r["length"]: r["n_docs"] for r in rows} == Counter(lengths.tolist())
+    for r in rows:
+        x = r["length"]
+        assert r["docs_to"] == (lengths <= x).sum() and r["docs_over"] == (lengths > x).sum()
+        assert r["tokens_to"] == lengths[lengths <= x].sum()
+        assert r["tokens_over"] == lengths[lengths > x].sum()
+        assert r["truncated"] == np.minimum(lengths, x).sum()
+    limits = {r["limit"]: tuple(r)[1:] for r in at_limits(table, [0, 3, 10**6]).collect()}
+    for x, (tokens, cut) in limits.items():
+        assert tokens == np.minimum(lengths, x).sum() and cut == (lengths > x).sum()
+    got = {r["share"]: r["length"] for r in quantiles(table, [0.0, 0.5, 1.0]).collect()}
+    ordered = np.sort(lengths)
+    assert got == {0.0: ordered[0], 0.5: ordered[(len(ordered) + 1) // 2 - 1], 1.0: ordered[-1]}
+
+
+def test_length_histogram_of_nulls_and_nothing(spark, no_rows):
+    rows = spark.createDataFrame([(None,), (5000,)], "n_tokens long")
+    assert sorted(r["length"] for r in length_histogram(rows).collect()) == [0, 5000]
+    assert length_histogram(encoded_lengths(no_rows, PATH)).count() == 0
+
+
+def test_crc_is_of_little_endian_words(spark, odd, encoder):
+    from pyspark.sql import functions as F
+
+    packed = pack(odd.filter("doc_id = 1"), PATH).select(F.crc32("ids").alias("c")).first()
+    ids = np.array([*plain(encoder, odd.filter("doc_id = 1").first()["text"]), 1], "<u4")
+    assert packed["c"] == zlib.crc32(ids.tobytes())
