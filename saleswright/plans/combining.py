@@ -53,7 +53,7 @@ LINE_ORDER = ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 @query(
     """
     SELECT o_orderkey, o_orderdate, p_name, CAST(l_quantity AS INT) AS qty,
-           CAST(p_retailprice AS DECIMAL(12,2)) AS price
+           CAST(l_extendedprice AS DECIMAL(12,2)) AS price
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
     """
 )
@@ -66,14 +66,15 @@ def join_three_way(spark: SparkSession, folder: str) -> DataFrame:
             "o_orderdate",
             "p_name",
             F.col("l_quantity").cast("int").alias("qty"),
-            money("p_retailprice").alias("price"),
+            money("l_extendedprice").alias("price"),
         )
     )
 
 
 @query(
     """
-    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt, p_name, CAST(l_quantity AS INT) AS qty
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt, p_name, CAST(l_quantity AS INT) AS qty,
+           CAST(l_extendedprice AS DECIMAL(12,2)) AS price
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
     """
 )
@@ -86,6 +87,7 @@ def join_three_way_date(spark: SparkSession, folder: str) -> DataFrame:
             F.to_date("o_orderdate").alias("dt"),
             "p_name",
             F.col("l_quantity").cast("int").alias("qty"),
+            money("l_extendedprice").alias("price"),
         )
     )
 

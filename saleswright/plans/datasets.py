@@ -35,21 +35,23 @@ PART = ProductColumns("p_partkey", "p_name", "p_retailprice")
 SALESDAY_SQL = """
     SELECT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m,
            CAST(day(o_orderdate) AS INT) AS d, p_partkey, p_name,
-           CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(12,2))
+           CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(12,2))
                 AS DECIMAL(18,2)) AS sales
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 """
 SALESDAY_CUSTOMER_SQL = """
     SELECT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m,
            CAST(day(o_orderdate) AS INT) AS d, p_partkey, p_name,
-           CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(12,2))
+           CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(12,2))
                 AS DECIMAL(18,2)) AS sales, c_name
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
          JOIN customer ON c_custkey = o_custkey
 """
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
+def _sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, lines and products. ``l_extendedprice`` stands for the line's own unit price, which
+    need not be the product's."""
     orders = read_table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_orderdate").alias("order_date"),
@@ -60,13 +62,16 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_linenumber").alias("line_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
+        money("l_extendedprice").alias("unit_price"),
     )
     products = read_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        money("p_retailprice").alias("unit_price"),
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
     )
-    return sales_lines(orders, items, products)
+    return orders, items, products
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return sales_lines(*_sales(spark, folder))
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,12 +98,12 @@ def view_salesday(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT y, m, sum(sales) AS sales_month FROM ({SALESDAY_SQL}) GROUP BY y, m")
 def view_sales_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    return sales_by_month(salesday(_lines(spark, folder))).orderBy("y", "m")
+    return sales_by_month(*_sales(spark, folder)).orderBy("y", "m")
 
 
 @query(f"SELECT y, round(avg(sales), 4) AS sales_avg FROM ({SALESDAY_SQL}) GROUP BY y")
 def view_avg_by_year(spark: SparkSession, folder: str) -> DataFrame:
-    return mean_sale_by_year(salesday(_lines(spark, folder))).orderBy("y")
+    return mean_sale_by_year(*_sales(spark, folder)).orderBy("y")
 
 
 @query(SALESDAY_CUSTOMER_SQL)
@@ -116,7 +121,7 @@ def view_salesday_customer(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def view_top_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return top_customers(_lines(spark, folder), _customers(spark, folder), ["c_name"])
+    return top_customers(*_sales(spark, folder), _customers(spark, folder), ["c_name"])
 
 
 # --- reports --------------------------------------------------------------------------

@@ -13,7 +13,6 @@ from saleswright.functions.table_functions import (
     register_discount,
     register_products_by_status,
 )
-from saleswright.operators.joins import inner
 from saleswright.plans.registry import query
 from saleswright.sources.tables import read_table, stage_for_session
 
@@ -111,25 +110,17 @@ def fn_alias_forms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _priced_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return inner(
-        read_table(spark, folder, "lineitem"),
-        read_table(spark, folder, "part"),
-        [("l_partkey", "p_partkey")],
-    )
-
-
 @query(
     """
     SELECT l_orderkey, l_linenumber,
-           CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(10,2))
+           CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(10,2))
                 * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(10,2)) AS sale_value
-    FROM lineitem JOIN part ON p_partkey = l_partkey
+    FROM lineitem
     """
 )
 def udf_discount(spark: SparkSession, folder: str) -> DataFrame:
-    value = discounted("l_quantity", "p_retailprice", "l_discount")
-    return _priced_lines(spark, folder).select(
+    value = discounted("l_quantity", "l_extendedprice", "l_discount")
+    return read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", value.alias("sale_value")
     )
 
@@ -137,15 +128,15 @@ def udf_discount(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT l_orderkey,
-           sum(CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(10,2))
+           sum(CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(10,2))
                     * CAST(0.9 AS DECIMAL(4,2)) AS DECIMAL(10,2))) AS final_sale_value
-    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey
+    FROM lineitem GROUP BY l_orderkey
     """
 )
 def udf_discount_grouped(spark: SparkSession, folder: str) -> DataFrame:
-    value = discounted("l_quantity", "p_retailprice", F.lit("0.1"))
+    value = discounted("l_quantity", "l_extendedprice", F.lit("0.1"))
     return (
-        _priced_lines(spark, folder)
+        read_table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.sum(value).cast("decimal(38,2)").alias("final_sale_value"))
         .orderBy(F.desc("final_sale_value"), "l_orderkey")
@@ -155,21 +146,21 @@ def udf_discount_grouped(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT l_orderkey, l_linenumber,
-           CAST(CAST(l_quantity AS INT) * CAST(p_retailprice AS DECIMAL(10,2))
+           CAST(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(10,2))
                 * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(10,2)) AS sale_value
-    FROM lineitem JOIN part ON p_partkey = l_partkey
+    FROM lineitem
     """
 )
 def udf_discount_sql(spark: SparkSession, folder: str) -> DataFrame:
     """The discount as a function of SQL."""
     register_discount(spark)
-    stage_for_session(_priced_lines(spark, folder), "priced_lines")
+    stage_for_session(read_table(spark, folder, "lineitem"), "lines")
     return spark.sql(
         """
         SELECT l_orderkey, l_linenumber,
-               FuncDiscount(CAST(l_quantity AS INT), CAST(p_retailprice AS DECIMAL(10,2)),
+               FuncDiscount(CAST(l_quantity AS INT), CAST(l_extendedprice AS DECIMAL(10,2)),
                             CAST(l_discount AS DECIMAL(4,2))) AS sale_value
-        FROM priced_lines
+        FROM lines
         """
     )
 

@@ -320,8 +320,8 @@ class Sales:
 
     # --- order lines and the sales view -----------------------------------------------
 
-    def sales_lines(self) -> DataFrame:
-        """Order lines under the names that ``plans.views`` reads; the price is the line's."""
+    def _sales_inputs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Orders, lines and products under the names that ``plans.views`` reads."""
         orders = self.order.select(
             F.col("Id").alias("order_id"),
             F.col("OrderDate").alias("order_date"),
@@ -338,7 +338,11 @@ class Sales:
         products = self.product.select(
             F.col("Id").alias("product_id"), F.col("ProductName").alias("product_name")
         )
-        return views.sales_lines(orders, items, products)
+        return orders, items, products
+
+    def sales_lines(self) -> DataFrame:
+        """Order lines with order and product; the price is the line's."""
+        return views.sales_lines(*self._sales_inputs())
 
     def _line_customers(self) -> DataFrame:
         return self.customer.select(F.col("Id").alias("customer_id"), "FirstName", "LastName")
@@ -370,14 +374,14 @@ class Sales:
         return views.by_day(views.salesday(self.sales_lines(), "order_id", "line_id"))
 
     def sales_by_month(self) -> DataFrame:
-        return views.sales_by_month(self.salesday()).orderBy("y", "m")
+        return views.sales_by_month(*self._sales_inputs()).orderBy("y", "m")
 
     def mean_sale_by_year(self) -> DataFrame:
-        return views.mean_sale_by_year(self.salesday()).orderBy("y")
+        return views.mean_sale_by_year(*self._sales_inputs()).orderBy("y")
 
     def top_customers(self, n: int = 5) -> DataFrame:
         names = ["FirstName", "LastName"]
-        top = views.top_customers(self.sales_lines(), self._line_customers(), names, n)
+        top = views.top_customers(*self._sales_inputs(), self._line_customers(), names, n)
         return top.select(joined_text(*names).alias("customer"), "total")
 
     def discounted_lines(self, rate: str = "0.1") -> DataFrame:

@@ -1,13 +1,14 @@
 """Reusable datasets. A view is a plan: the reader adds filters, groups and order.
 
-``salesday`` takes its inputs under these names: orders (order_id, order_date, customer_id),
-items (order_id, line_id, product_id, quantity) and products (product_id, product_name).
-The price of a line, unit_price, may come with the items or with the products.
+The inputs come under these names: orders (order_id, order_date, customer_id), items (order_id,
+line_id, product_id, quantity, unit_price) and products (product_id, product_name). The price is
+the line's own. Totals need no more of a product than that there is one: lines are summed per
+product and period or customer first, and only the sums meet the products.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.functions.scalar import mean
@@ -18,6 +19,10 @@ def sales_lines(orders: DataFrame, items: DataFrame, products: DataFrame) -> Dat
     return items.join(orders, "order_id").join(products, "product_id")
 
 
+def line_sale() -> Column:
+    return (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("sales")
+
+
 def salesday(lines: DataFrame, *extra: str) -> DataFrame:
     """Sales per line: year, month, day, product and quantity times line price."""
     return lines.select(
@@ -26,7 +31,7 @@ def salesday(lines: DataFrame, *extra: str) -> DataFrame:
         F.dayofmonth("order_date").alias("d"),
         "product_id",
         "product_name",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("sales"),
+        line_sale(),
         *extra,
     )
 
@@ -46,29 +51,54 @@ def by_day(view: DataFrame) -> DataFrame:
     ).drop("order_id", "line_id")
 
 
-def sales_by_month(view: DataFrame) -> DataFrame:
-    return view.groupBy("y", "m").agg(
-        F.sum("sales").cast("decimal(38,2)").alias("sales_month")
+def _summed(
+    orders: DataFrame, items: DataFrame, products: DataFrame, keys: dict[str, Column]
+) -> DataFrame:
+    """Sum and number of the sales per product and ``keys``, of products that exist."""
+    lines = items.join(orders, "order_id").select("product_id", line_sale(), *_named(keys))
+    summed = lines.groupBy("product_id", *keys).agg(
+        F.sum("sales").alias("_total"), F.count("sales").alias("_n")
+    )
+    return summed.join(products.select("product_id"), "product_id")
+
+
+def _named(keys: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in keys.items()]
+
+
+def sales_by_month(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    keys = {"y": F.year("order_date"), "m": F.month("order_date")}
+    return (
+        _summed(orders, items, products, keys)
+        .groupBy("y", "m")
+        .agg(F.sum("_total").cast("decimal(38,2)").alias("sales_month"))
     )
 
 
-def mean_sale_by_year(view: DataFrame) -> DataFrame:
+def mean_sale_by_year(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     return (
-        view.groupBy("y")
-        .agg(F.sum("sales").alias("_total"), F.count("sales").alias("_n"))
+        _summed(orders, items, products, {"y": F.year("order_date")})
+        .groupBy("y")
+        .agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
         .select("y", mean(F.col("_total"), F.col("_n")).alias("sales_avg"))
     )
 
 
 def top_customers(
-    lines: DataFrame, customers: DataFrame, names: list[str], n: int = 5
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    names: list[str],
+    n: int = 5,
 ) -> DataFrame:
     """The ``n`` customer names with the highest sales; equal totals in order of name.
 
-    The lines are summed per customer before the join, which then sees one row per customer.
+    The lines meet the product keys alone and are summed per customer before the last join.
     """
+    lines = sales_lines(orders, items, products.select("product_id"))
     per_customer = (
-        salesday(lines, "customer_id")
+        lines.select("customer_id", line_sale())
         .groupBy("customer_id")
         .agg(F.sum("sales").alias("_sales"))
     )
