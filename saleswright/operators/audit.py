@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from saleswright.operators.changes import run_change
+from saleswright.operators.changes import (
+    delete_rows,
+    run_change,
+    set_table_property,
+    table_property,
+)
 from saleswright.operators.numbering import assign_ids
 from saleswright.session import scratch_path
-from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, complete_rows
-from saleswright.sources.tables import RUN, write_run
+from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, TableSpec, complete_rows
+from saleswright.sources.tables import RUN, quoted_name, write_run
 
 OPERATION = "operation"
 
@@ -28,25 +34,26 @@ def row_sets_log(inserted: DataFrame, deleted: DataFrame, stamp: Column) -> Data
 
 
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Keys that only one of two snapshots holds, with the operation that explains it."""
-    before = old.select(F.col(key).alias("_old_key"), F.lit(True).alias("_in_old"))
-    after = new.select(F.col(key).alias("_new_key"), F.lit(True).alias("_in_new"))
-    only_new, only_old = F.col("_in_old").isNull(), F.col("_in_new").isNull()
-    return (
-        before.join(after, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
-        .filter(only_new | only_old)
-        .select(
-            F.coalesce("_new_key", "_old_key").alias("_key"),
-            F.when(only_new, INSERTED).otherwise(DELETED).alias(OPERATION),
-        )
+    """Keys that only one of two snapshots holds, with the operation that explains it.
+
+    All rows of a key are counted as one, in part by each task, so neither many rows of one
+    key nor of none make pairs.
+    """
+    before = old.select(F.col(key).alias("_key"), F.lit(1).alias("_old"), F.lit(0).alias("_new"))
+    after = new.select(F.col(key).alias("_key"), F.lit(0).alias("_old"), F.lit(1).alias("_new"))
+    sides = before.unionAll(after).groupBy("_key").agg(
+        F.max("_old").alias("_old"), F.max("_new").alias("_new")
+    )
+    return sides.filter("_old <> _new").select(
+        "_key", F.when(F.col("_new") == 1, INSERTED).otherwise(DELETED).alias(OPERATION)
     )
 
 
 def snapshot_log(old: DataFrame, new: DataFrame, key: str, stamp: Column) -> DataFrame:
-    """The log of a change, from the table before and after it.
+    """The log of a change that something else made, from the table before and after it.
 
-    A key only in ``new`` was inserted and one only in ``old`` was deleted. A row whose other
-    columns changed is an update, which is not logged.
+    A change of one's own knows its rows: see ``Statement``. Here a key only in ``new`` was inserted and one only in ``old`` was deleted. A row whose other
+    columns changed is an update, which is not logged; nor is a row that replaces one of its key.
 
     Only keys are shuffled to find the changes. They are written to the shared folder, so that
     their size is known when the rows are fetched: few changes are broadcast, and the
@@ -74,6 +81,36 @@ def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
     return complete_rows(assign_ids(rows, existing, AUDIT.key, order), AUDIT.schema)
 
 
+@dataclass
+class Statement:
+    """What a change makes of a table: its new content, and the rows it inserted and deleted."""
+
+    content: DataFrame
+    inserted: DataFrame
+    deleted: DataFrame
+
+
+def inserting(old: DataFrame, rows: DataFrame, spec: TableSpec | None = None) -> Statement:
+    """INSERT: all the rows are logged, whatever their keys."""
+    added = complete_rows(rows, old.schema, spec.defaults if spec else None)
+    return Statement(old.unionByName(added), added, old.limit(0))
+
+
+def deleting(old: DataFrame, where: Column) -> Statement:
+    """DELETE: the rows that the condition selects are logged."""
+    return Statement(delete_rows(old, where), old.limit(0), old.filter(where))
+
+
+def both(first: Statement, then: Callable[[DataFrame], Statement]) -> Statement:
+    """One change of two statements, each logged by its own rows."""
+    second = then(first.content)
+    return Statement(
+        second.content,
+        first.inserted.unionByName(second.inserted),
+        first.deleted.unionByName(second.deleted),
+    )
+
+
 @dataclass
 class AuditSwitch:
     """Which tables are audited: all of them, until some or all are switched off."""
@@ -105,6 +142,36 @@ class AuditSwitch:
             self.others.add(table)
 
 
+class TableSwitch:
+    """The audit switch as a property of each table, so that off in one job is off in the next.
+
+    A table without the property is audited."""
+
+    PROPERTY = "audit"
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+
+    def disable(self, table: str) -> None:
+        set_table_property(self.spark, table, self.PROPERTY, "off")
+
+    def enable(self, table: str) -> None:
+        set_table_property(self.spark, table, self.PROPERTY, "on")
+
+    def disable_all(self, tables: list[str]) -> None:
+        for table in tables:
+            self.disable(table)
+
+    def enable_all(self, tables: list[str]) -> None:
+        for table in tables:
+            self.enable(table)
+
+    def is_on(self, table: str) -> bool:
+        if not self.spark.catalog.tableExists(quoted_name(table)):
+            return True
+        return table_property(self.spark, table, self.PROPERTY) != "off"
+
+
 def logged(log: DataFrame, switch: AuditSwitch, table: str) -> DataFrame:
     """The log of a change, or no rows if the table's audit is switched off just now."""
     return log if switch.is_on(table) else log.limit(0)
@@ -124,23 +191,63 @@ def read_log(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
     return spark.read.schema(with_folders).parquet(base).select(*schema.names)
 
 
+#: Table property: the run that made the current snapshot, and whether it is logged.
+RUN_AUDITED = "run_audited"
+
+
 def run_audited_change(
     spark: SparkSession,
     table: str,
     base: str,
     run: str,
-    change: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame], DataFrame | Statement],
     key: str,
     log_base: str,
     stamp: Column,
-    switch: AuditSwitch,
+    switch: AuditSwitch | TableSwitch,
     previous: str | None = None,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Change a table, then log the change under the same run.
 
-    A run that failed in between can be repeated: it finds the change done and logs it.
+    A change that returns a ``Statement`` is logged by the rows it names; of one that returns the
+    new content alone, the snapshots are compared by ``key``. ``shape`` makes stored rows of log
+    rows, such as those of the audit table.
+
+    Whether the run is logged is decided when it commits, and noted with the commit. A run that
+    failed in between can be repeated: it finds the change done and does as was decided.
     """
-    old, new = run_change(spark, table, base, run, change, previous)
-    if switch.is_on(table):
-        append_log(snapshot_log(old, new, key, stamp), log_base, run)
+
+    def content(old: DataFrame) -> DataFrame:
+        made = change(old)
+        return made.content if isinstance(made, Statement) else made
+
+    yes, no = f"yes: {run}", f"no: {run}"
+    decision = yes if switch.is_on(table) else no
+    old, new = run_change(spark, table, base, run, content, previous, {RUN_AUDITED: decision})
+    noted = table_property(spark, table, RUN_AUDITED)
+    if (noted if noted in (yes, no) else decision) == yes:
+        made = change(old)
+        if isinstance(made, Statement):
+            log = row_sets_log(made.inserted, made.deleted, stamp)
+        else:
+            log = snapshot_log(old, new, key, stamp)
+        append_log(shape(log) if shape else log, log_base, run)
     return new
+
+
+def product_log(
+    spark: SparkSession, log_base: str, run: str
+) -> Callable[[DataFrame], DataFrame]:
+    """The shape of a product change's log: the audit table's columns, with ids above those that
+    other runs of the log have."""
+
+    def shape(log: DataFrame) -> DataFrame:
+        none = spark.sql("SELECT CAST(NULL AS BIGINT) AS id").limit(0)
+        try:
+            stored = spark.read.option("basePath", log_base).parquet(log_base)
+        except AnalysisException:  # no run has been logged yet
+            stored = none.withColumn(RUN, F.lit(""))
+        return product_audit(log, stored.filter(F.col(RUN) != run).select("id"))
+
+    return shape

@@ -78,10 +78,21 @@ def current_location(spark: SparkSession, table: str) -> str | None:
     return detail.filter(F.col("col_name") == "Location").first()["data_type"]
 
 
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {quoted_name(table)}")
+    row = properties.filter(F.col("key") == key).first()
+    return row and row["value"]
+
+
+def set_table_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(
+        f"ALTER TABLE {quoted_name(table)} SET TBLPROPERTIES ({_text(key)} = {_text(value)})"
+    )
+
+
 def _previous_location(spark: SparkSession, table: str) -> str:
     """Folder of the snapshot that a table's current one was made from."""
-    properties = spark.sql(f"SHOW TBLPROPERTIES {quoted_name(table)}")
-    return properties.filter(F.col("key") == PREVIOUS).first()["value"]
+    return table_property(spark, table, PREVIOUS)
 
 
 def _same_place(one: str, other: str) -> bool:
@@ -93,11 +104,26 @@ def _text(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def publish(spark: SparkSession, table: str, location: str, previous: str) -> None:
-    """Make the snapshot at ``location`` the table's content, and note what it was made from."""
+def publish(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    previous: str,
+    notes: dict[str, str] | None = None,
+) -> None:
+    """Make the snapshot at ``location`` the table's content, and note what it was made from.
+
+    A table that is not at ``previous`` any more is left alone: another run has changed it while
+    this one wrote, and would be undone. The catalogue cannot compare and set in one step, so
+    there must be one writer per table; this finds a second one that came in between.
+    """
     name = quoted_name(table)
-    note = f"TBLPROPERTIES ('{PREVIOUS}' = {_text(previous)})"
-    if spark.catalog.tableExists(name):
+    noted = {PREVIOUS: previous, **(notes or {})}
+    note = f"TBLPROPERTIES ({', '.join(f'{_text(k)} = {_text(v)}' for k, v in noted.items())})"
+    current = current_location(spark, table)
+    if current and not _same_place(current, previous):
+        raise ValueError(f"{table} has moved on to {current}")
+    if current:
         spark.sql(f"ALTER TABLE {name} SET {note}")
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(location)}")
         spark.catalog.refreshTable(name)
@@ -112,6 +138,7 @@ def run_change(
     run: str,
     change: Callable[[DataFrame], DataFrame],
     previous: str | None = None,
+    notes: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Change a table in one repeatable run, and return its old and new content.
 
@@ -135,5 +162,5 @@ def run_change(
         old = spark.read.parquet(previous)
         new = require_schema(change(old), old.schema)
         new.write.mode("overwrite").parquet(location)
-        publish(spark, table, location, previous)
+        publish(spark, table, location, previous, notes)
     return spark.read.parquet(previous), spark.read.parquet(location)

@@ -25,17 +25,37 @@ def _distinct_keys(right: DataFrame, keys: Keys) -> DataFrame:
 
 
 def with_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
-    """Rows of ``left`` that match some row of ``right`` (EXISTS, IN)."""
+    """Rows of ``left`` that match some row of ``right`` (EXISTS, IN).
+
+    ``left`` must have no hot key, such as a key that is unique there: the aggregate on the right
+    keeps Spark from splitting it. See ``rows_with_match``.
+    """
     found = _distinct_keys(right, keys)
     return left.join(found, equal_keys(left, found, keys), "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
-    """Rows of ``left`` that match no row of ``right``; a NULL key matches nothing."""
+    """Rows of ``left`` that match no row of ``right``; a NULL key matches nothing.
+
+    ``left`` must have no hot key, as for ``with_match``. See ``rows_without_match``.
+    """
     found = _distinct_keys(right, keys)
     return left.join(found, equal_keys(left, found, keys), "left_anti")
 
 
+def rows_with_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
+    """``with_match`` for a ``left`` with any number of rows of one key, and a ``right`` with few:
+    its keys are read as they are, so that a hot partition on the left can be split."""
+    found = right.select(*[b for _, b in keys])
+    return left.join(found, equal_keys(left, found, keys), "left_semi")
+
+
+def rows_without_match(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
+    """``without_match`` for a ``left`` with any number of rows of one key."""
+    found = right.select(*[b for _, b in keys])
+    return left.join(found, equal_keys(left, found, keys), "left_anti")
+
+
 def inner(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
     return left.join(right, equal_keys(left, right, keys), "inner")
 

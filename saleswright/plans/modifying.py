@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from saleswright.functions.scalar import money
 from saleswright.operators.audit import (
     AuditSwitch,
+    Statement,
+    TableSwitch,
     append_log,
+    both,
+    deleting,
+    inserting,
     logged,
     product_audit,
+    product_log,
     read_log,
     row_sets_log,
+    run_audited_change,
     snapshot_log,
 )
 from saleswright.operators.changes import (
@@ -22,8 +29,10 @@ from saleswright.operators.changes import (
     delete_through_view,
     insert_rows,
     insert_through_view,
+    run_change,
     update_rows,
 )
+from saleswright.operators.inserting import insert_run
 from saleswright.operators.numbering import assign_ids
 from saleswright.operators.quality import (
     duplicate_keys,
@@ -34,8 +43,8 @@ from saleswright.operators.quality import (
 )
 from saleswright.plans.registry import query
 from saleswright.session import scratch_path
-from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, complete_rows
-from saleswright.sources.tables import read_table
+from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, PRODUCT, complete_rows
+from saleswright.sources.tables import drop_table, load_rows, read_table
 from saleswright.streaming.audit_stream import audit_rows, read_changes, start_audit
 
 # --- row changes ----------------------------------------------------------------------
@@ -223,7 +232,8 @@ def audit_schema(spark: SparkSession, folder: str) -> DataFrame:
     )
     large = F.col("SupplierId") > 25
     log = row_sets_log(product.filter(large), product.filter(~large), _stamp())
-    return product_audit(log, spark.createDataFrame([], AUDIT.schema))
+    none = spark.range(0).select(F.col("id").cast("long").alias("id"))
+    return product_audit(log, none)
 
 
 @query("SELECT p_partkey, 'INS' AS operation FROM part WHERE p_size > 20")
@@ -255,6 +265,102 @@ def audit_read(spark: SparkSession, folder: str) -> DataFrame:
     return read_log(spark, base, log.schema).select("p_partkey", "operation")
 
 
+def _as_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts under the declared columns of the product table."""
+    return read_table(spark, folder, "part").select(
+        F.col("p_partkey").cast("long").alias("Id"),
+        F.col("p_name").alias("ProductName"),
+        F.col("p_size").cast("long").alias("SupplierId"),
+        money("p_retailprice").alias("UnitPrice"),
+        F.col("p_type").alias("Package"),
+        (F.col("p_size") > 40).alias("IsDiscontinued"),
+    )
+
+
+_PRODUCTS = """
+    SELECT CAST(p_partkey AS BIGINT) AS "Id", p_name AS "ProductName",
+           CAST(p_size AS BIGINT) AS "SupplierId",
+           CAST(p_retailprice AS DECIMAL(12,2)) AS "UnitPrice", p_type AS "Package",
+           p_size > 40 AS "IsDiscontinued" FROM part
+"""
+
+
+@query(
+    f"""
+    SELECT * FROM ({_PRODUCTS})
+    UNION ALL
+    SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY s_name, s_nationkey), s_name,
+           CAST(s_nationkey AS BIGINT), CAST(0 AS DECIMAL(12,2)), NULL, false FROM supplier
+    """
+)
+def insert_with_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """All suppliers become products without key, price, package and flag; the table that they
+    are appended to has all parts."""
+    base = scratch_path(spark, "products")
+    load_rows(_as_products(spark, folder), PRODUCT, base, "1")
+    rows = read_table(spark, folder, "supplier").select(
+        F.col("s_name").alias("ProductName"),
+        F.col("s_nationkey").cast("long").alias("SupplierId"),
+    )
+    parents = read_table(spark, folder, "nation").select(F.col("n_nationkey").alias("Id"))
+    return insert_run(
+        spark,
+        base,
+        "2",
+        rows,
+        PRODUCT,
+        [F.asc("ProductName"), F.asc("SupplierId")],
+        {"Supplier": parents},
+    )
+
+
+def _published(spark: SparkSession, folder: str, label: str) -> tuple[str, str]:
+    """The parts as a published table of products: its name, and the folder of its snapshots."""
+    base = scratch_path(spark, label)
+    name = base.rsplit("/", 1)[1].replace("-", "_")
+    _as_products(spark, folder).write.parquet(f"{base}/first")
+    run_change(spark, name, base, "0", lambda old: old, f"{base}/first")
+    return name, base
+
+
+@query(
+    f"""
+    SELECT row_number() OVER (ORDER BY "Id", operation) AS id, "Id" AS productid,
+           "ProductName" AS productname, "SupplierId", "UnitPrice", "Package" AS package,
+           "IsDiscontinued", TIMESTAMP '2024-05-06 07:08:09' AS updatedat, operation
+    FROM (SELECT *, 'DEL' AS operation FROM ({_PRODUCTS}) WHERE "SupplierId" > 25
+          UNION ALL SELECT * REPLACE ('again' AS "ProductName"), 'INS'
+          FROM ({_PRODUCTS}) WHERE "SupplierId" > 25)
+    """
+)
+def audited_change(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the products are deleted and come back under the same keys; the log has both."""
+    name, base = _published(spark, folder, "audited")
+    large = F.col("SupplierId") > 25
+    log = f"{base}/log"
+
+    def change(old: DataFrame) -> Statement:
+        back = old.filter(large).withColumn("ProductName", F.lit("again"))
+        return both(deleting(old, large), lambda left: inserting(left, back, PRODUCT))
+
+    run_audited_change(
+        spark, name, base, "1", change, "Id", log, _stamp(), TableSwitch(spark),
+        shape=product_log(spark, log, "1"),
+    )
+    drop_table(spark, name)
+    return read_log(spark, log, AUDIT.schema)
+
+
+@query(f"""SELECT * REPLACE ("SupplierId" + 1 AS "SupplierId") FROM ({_PRODUCTS})""")
+def update_published(spark: SparkSession, folder: str) -> DataFrame:
+    """A published table after an update of all its rows."""
+    name, base = _published(spark, folder, "updated")
+    change = {"SupplierId": F.col("SupplierId") + 1}
+    _, new = run_change(spark, name, base, "1", lambda old: update_rows(old, change))
+    drop_table(spark, name)
+    return new
+
+
 # --- checks ---------------------------------------------------------------------------
 
 

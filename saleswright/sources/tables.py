@@ -72,9 +72,10 @@ def _from_text(f: StructField) -> Column:
 def load_rows(rows: DataFrame, spec: TableSpec, target: str, load: str) -> DataFrame:
     """Append rows of any source, such as ``spark.read.jdbc``, and return the table.
 
-    Rows bring their own keys; columns they lack become NULL. A repeated load replaces itself.
+    Rows bring their own keys; columns they lack take their defaults, or NULL where none is
+    declared. A repeated load replaces itself.
     """
-    write_run(complete_rows(rows, spec.schema), target, load)
+    write_run(complete_rows(rows, spec.schema, spec.defaults), target, load)
     return read_runs(rows.sparkSession, target, spec.schema)
 
 
