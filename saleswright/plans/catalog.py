@@ -3,6 +3,7 @@
 from saleswright.plans import (  # noqa: F401
     combining,
     datasets,
+    declared,
     expressions,
     modifying,
     rows,
