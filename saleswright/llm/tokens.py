@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a worker process keeps the ids of; beyond it starts anew.
-KEPT_WORDS = 800_000
+#: Words that a worker process keeps the ids of, twice: when they are as many, they become the
+#: older ones, of which those that occur again are kept on.
+KEPT_WORDS = 700_000
 
 _TAIL = ".,!?;:"
 _END_OF_WORD = "</w>"
@@ -27,7 +28,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -38,7 +39,17 @@ class Encoder:
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(_END_OF_WORD)]] = True
+        # For words of Latin-1 letters: composed as they are, and of one lower case.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text ends in it. Null is empty."""
@@ -67,44 +78,65 @@ class Encoder:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of each part. What is new is cut into a word and the marks after it."""
-        known = self.known
-        if len(known) + len(words) > KEPT_WORDS:
-            known.clear()
+        if len(self.known) + len(words) > KEPT_WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         new = [word for word in words if word not in known]
-        stems = [word.rstrip(_TAIL) for word in new]
-        tails = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
-        for i, stem in enumerate(stems):
-            if tails[i] and not stem.isalpha():
-                stems[i], tails[i] = new[i], ""
-        self._learn(list((set(stems) | set(tails)).difference(known)))
-        for word, stem, tail in zip(new, stems, tails, strict=True):
-            known[word] = known[stem] + known[tail]
+        again = [word for word in new if word in older]
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        if len(again) < len(new):
+            new = [word for word in new if word not in known]
+            stems = [word.rstrip(_TAIL) for word in new]
+            for i, stem in enumerate(stems):
+                if not stem.isalpha():
+                    stems[i] = new[i]
+            tails = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
+            self._learn(list((set(stems) | set(tails)).difference(known)))
+            for word, stem, tail in zip(new, stems, tails, strict=True):
+                if tail:
+                    known[word] = known[stem] + known[tail]
         return list(map(known.__getitem__, words))
 
     def _learn(self, words: list[str]) -> None:
         """Letters alone are one piece, which ends in one end-of-word token: many go at once."""
-        plain = [w for w in words if w.isalpha()]
-        rest = [w for w in words if not w.isalpha()]
-        for start in range(0, len(plain), 1000):
-            some = plain[start : start + 1000]
-            joined = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(joined[0].ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some):
-                starts = [0, *ends[:-1].tolist()]
-                self.known.update(
-                    (w, ids[a:b].tobytes())
-                    for w, a, b in zip(some, starts, ends.tolist(), strict=True)
-                )
+        older = self.older
+        self.known.update((word, older[word]) for word in words if word in older)
+        words = [word for word in words if word not in self.known]
+        plain, others, rest = [], [], []
+        for word in words:
+            if not word.isalpha():
+                rest.append(word)
+            elif word.isascii() or max(word) < "\u0100":
+                plain.append(word)
             else:
-                rest += some
+                others.append(word)
+        rest += self._learn_joined(self.plain, [word.lower() for word in plain], plain)
+        rest += self._learn_joined(self.tokenizer, others, others)
         for start in range(0, len(rest), 1000):
             some = rest[start : start + 1000]
             found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             self.known.update(
-                (w, np.array(x.ids, dtype=np.uint32).tobytes()) for w, x in zip(some, found, strict=True)
+                (w, np.array(x.ids, dtype=np.uint32).tobytes())
+                for w, x in zip(some, found, strict=True)
             )
 
+    def _learn_joined(self, tokenizer, words: list[str], names: list[str]) -> list[str]:
+        """Learn words from texts of many; returns those that did not come out one by one."""
+        failed = []
+        for start in range(0, len(words), 1000):
+            some, keys = words[start : start + 1000], names[start : start + 1000]
+            joined = tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(joined[0].ids, dtype=np.uint32)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(ends) == len(some):
+                data, at = ids.tobytes(), 0
+                for key, end in zip(keys, ends.tolist(), strict=True):
+                    self.known[key] = data[at:end]
+                    at = end
+            else:
+                failed += keys
+        return failed
+
 
 _encoders: dict[str, Encoder] = {}
 
