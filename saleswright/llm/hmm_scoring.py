@@ -175,12 +175,14 @@ def train(rows: DataFrame, symbols: Symbols, states: int, rounds: int) -> Hmm:
     frequent = min(COMPANY, symbols.tail)
 
     def company(table: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        table[frequent, 0] += len(ends)
+        if not frequent:
+            return
         doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         some = ids < frequent
         has = np.zeros((len(ends), frequent), dtype=np.float32)
         has[doc[some], ids[some]] = 1
         table[:frequent] += has.T @ has
-        table[frequent, 0] += len(ends)
 
     together = _summed(rows, company, max(frequent, 1), frequent + 1)
     groups = (
