@@ -6,7 +6,7 @@ up single weights cannot tell from either alone.
 
 Terms, words and how they begin, are hashed. How many toxic and other texts each has is counted over all labelled training
 texts; the ``TERMS`` that tell the classes apart best are the machine's input. It is fitted on
-the driver to at most ``MOST_ROWS`` training texts of each class, taken by a hash of their
+the driver to about ``MOST_ROWS`` training texts of each class, taken by a hash of their
 text and weighted up to all of them, so its memory does not grow with the labels. Scoring is one
 pass over the texts.
 """
@@ -32,6 +32,8 @@ TERMS = 4096
 MOST_ROWS = 10_000
 #: Least chi-square of a term with the classes: one that a few million terms do not reach by chance.
 LEAST_CHI2 = 40.0
+#: Training texts whose digests every task may hold; more are joined to the documents by a shuffle.
+BROADCAST_LABELS = 1_000_000
 FACTORS = 8
 STEPS = 300
 
@@ -147,9 +149,9 @@ def fit(
     return machine
 
 
-def _telling_terms(labelled: DataFrame) -> np.ndarray:
+def _telling_terms(labelled: DataFrame, sizes: dict[int, int]) -> np.ndarray:
     """The hashed terms whose occurrence goes with the class, counted over all labelled texts
-    (text, toxic); at most ``TERMS`` come to the driver."""
+    (text, toxic), of which there are ``sizes``; at most ``TERMS`` come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -168,10 +170,7 @@ def _telling_terms(labelled: DataFrame) -> np.ndarray:
     summed = found.groupBy("term").agg(
         F.sum("others").cast("double").alias("b"), F.sum("toxics").cast("double").alias("a")
     )
-    sizes = labelled.agg(
-        F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")
-    ).first()
-    toxic, other = float(sizes["t"]), float(sizes["n"] - sizes["t"])
+    toxic, other = float(sizes.get(1, 0)), float(sizes.get(0, 0))
     if not toxic or not other:
         return np.empty(0, dtype=np.int64)
     a, b = F.col("a"), F.col("b")
@@ -188,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
     column ``learns`` holds.
 
     Of a doc_id's several labels the toxic one counts; null labels and doc_ids do not. Equal texts
-    are one training text, toxic if any is. Without texts of both classes the machine has no
+    are one training text, toxic if any is; a row that repeats both doc_id and text counts again. Without texts of both classes the machine has no
     terms and scores every text by the share of toxic ones, below a half.
     """
     marks = (
@@ -198,20 +197,24 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    each = kept(texts.join(marks, "doc_id"), "labelled")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text")
+    )
     first, second = digest(F.col("text"))
-    each = each.withColumns({"d1": first, "d2": second})
-    # One row of each text: equal texts meet as digests only.
-    chosen = each.groupBy("d1", "d2").agg(
-        F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")
+    texts = texts.withColumns({"d1": first, "d2": second})
+    # One row of each text: equal texts meet as digests, and no text is shuffled for it.
+    chosen = (
+        texts.drop("text")
+        .join(marks, "doc_id")
+        .groupBy("d1", "d2")
+        .agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
     )
     chosen = kept(chosen, "training-texts")
-    labelled = each.select("doc_id", "d1", "d2", "text").join(chosen, ["d1", "d2", "doc_id"])
-    labelled = labelled.dropDuplicates(["d1", "d2", "doc_id"]).select("text", "toxic", "d1")
-    labelled = kept(labelled, "training-rows")
-    terms = _telling_terms(labelled)
-    sizes = {row["toxic"]: row["count"] for row in labelled.groupBy("toxic").count().collect()}
+    sizes = {row["toxic"]: row["count"] for row in chosen.groupBy("toxic").count().collect()}
+    few = sum(sizes.values()) <= BROADCAST_LABELS
+    labelled = texts.join(F.broadcast(chosen) if few else chosen, ["doc_id", "d1", "d2"])
+    labelled = labelled.select("text", "toxic", "d1")
+    terms = _telling_terms(labelled, sizes)
     span = 1 << 30
     share = {label: min(1.0, MOST_ROWS / n) for label, n in sizes.items()}
     limit = F.when(F.col("toxic") == 1, int(share.get(1, 0) * span)).otherwise(
