@@ -326,6 +326,11 @@ def _registered(name: str, ask: Callable[[Sales], DataFrame], sql: str) -> None:
         return ask(declared_tables(spark, folder))
 
 
+for _table in TABLES:
+    _QUERIES[f"schema_{_table.lower()}"] = (
+        lambda s, table=_table: s.by_name()[table],
+        f"SELECT * FROM the_{_table}",
+    )
 for _name, (_ask, _sql) in _QUERIES.items():
     _registered(_name, _ask, _sql)
 

@@ -389,7 +389,7 @@ class Sales:
         value = discounted("Quantity", "UnitPrice", F.lit(rate))
         return (
             self.order_item.groupBy("Id")
-            .agg(F.sum(value).alias("final_sale_value"))
+            .agg(money_sum(value).alias("final_sale_value"))
             .orderBy(F.desc("final_sale_value"), "Id")
         )
 

@@ -7,9 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+from saleswright.plans.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +63,8 @@ def test_only_the_undetermined_query_has_no_sql():
 
 
 def test_entry(spark):
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
     df = entry_point.entry(spark)
     assert df.columns == ["c_name", "total"]
     assert df.count() > 0

@@ -5,20 +5,20 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from helpers import plan
 from saleswright.operators.joins import (
     inner,
     outer_one_to_many,
     outer_where_null,
+    rows_with_match,
+    rows_without_match,
     with_match,
     without_match,
 )
 from saleswright.operators.quality import orphans
+from saleswright.plans.catalog import QUERIES
 from saleswright.plans.views import by_day, sales_lines, salesday
 
-QUERIES = entry_point.queries()
-
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_workers_cross_joins_or_windows_over_rows(spark, data, name):
@@ -188,6 +188,17 @@ def test_orphans_splits_the_hot_key(hot_tables, cluster_like):
     assert "skew=true" in text
 
 
+@pytest.mark.parametrize("form", [rows_with_match, rows_without_match])
+def test_matches_of_rows_split_the_hot_key(hot_tables, cluster_like, form):
+    child, parent = hot_tables
+    some = parent.filter("pk <> 8" if form is rows_with_match else f"pk <> {HOT}")
+    rows, text = final_plan(form(child, some, [("fk", "pk")]))
+    kind = "left_semi" if form is rows_with_match else "left_anti"
+    plain = child.join(some, F.col("fk") == F.col("pk"), kind)
+    assert len(rows) == plain.count()
+    assert "skew=true" in text
+
+
 def test_outer_join_splits_the_hot_key_where_the_plain_form_cannot(hot_tables, cluster_like):
     child, parent = hot_tables
     rows, text = final_plan(outer_one_to_many(parent, child, [("pk", "fk")]))
