@@ -42,7 +42,9 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     starts = "sequence(1, greatest(size(w) - {0} + 1, 1))".format(size)
     cut = f"transform(if(size(w) = 0, array(), {starts}), i -> slice(w, i, {size}))"
     return (
-        benchmark.select(benchmark["item_id"].cast("string").alias("item"), words(benchmark["text"]).alias("w"))
+        benchmark.select(
+            benchmark["item_id"].cast("string").alias("item"), words(benchmark["text"]).alias("w")
+        )
         .select("item", F.explode(F.expr(cut)).alias("words"))
         .groupBy("words")
         .agg(F.collect_set("item").alias("items"))
@@ -57,7 +59,8 @@ def _scan(texts: DataFrame, block: list) -> DataFrame:
         by_length.setdefault(row["len"], []).append(row["hash"])
     found = []
     for length, hashes in sorted(by_length.items()):
-        known = ",".join(f"{h}L" if h != -(1 << 63) else "bigint(-9223372036854775808)" for h in hashes)
+        lowest = "bigint(-9223372036854775808)"  # as a literal its digits alone are too large
+        known = ",".join(lowest if h == -(1 << 63) else f"{h}L" for h in hashes)
         here = f"slice(w, i, {length})"
         starts = f"if(size(w) < {length}, array(), sequence(1, size(w) - {length} + 1))"
         hits = f"filter({starts}, i -> xxhash64({here}) IN ({known}))"
@@ -87,8 +90,10 @@ def find_hits(texts: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
     if len(known) <= BLOCK_WINDOWS:
         windows = F.broadcast(windows)
     scans = union_all([_scan(texts, block) for block in blocks])
-    found = scans.select("rid", "doc_id", F.col("s.n").alias("n"), F.explode_outer("s.found").alias("f"))
-    named = found.select("rid", "doc_id", "n", F.col("f.at").alias("at"), F.col("f.words").alias("words"))
+    found = scans.select(
+        "rid", "doc_id", F.col("s.n").alias("n"), F.explode_outer("s.found").alias("f")
+    )
+    named = found.select("rid", "doc_id", "n", "f.at", "f.words")
     verified = named.join(windows.select("words", "len", "items"), "words", "left")
     span = F.when(F.col("len").isNotNull(), F.sequence("at", F.col("at") + F.col("len") - 1))
     return (
@@ -128,5 +133,6 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         "(part, i) -> concat(if(i = 0 or array_contains(x.h, i), '', x.w[i - 1]), part)), ''))[0]"
     )
     cut = rows.join(spans, "rid").select("row", parts.alias("p"), found.alias("w"), "hits")
-    cleaned = cut.select(F.struct(*[left.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]).alias("row"))
+    columns = [left.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    cleaned = cut.select(F.struct(*columns).alias("row"))
     return rows.join(spans, "rid", "left_anti").select("row").unionAll(cleaned).select("row.*")

@@ -184,7 +184,9 @@ def _row_digests(docs: DataFrame) -> list:
     ]
 
 
-def dedup_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, keep: str = "none") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_docs: int, min_chars: int = 1, keep: str = "none"
+) -> DataFrame:
     """Drop lines whose key occurs in at least ``min_docs`` rows of ``docs``.
 
     Texts are cut at \\n; a null or empty text is one empty line. A line's key is the line
