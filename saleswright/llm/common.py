@@ -50,12 +50,22 @@ def text_or_empty(df: DataFrame) -> Column:
     return F.coalesce(df["text"], F.lit(""))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores before it until no column of ``df`` has it (case ignored)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+def largest(df: DataFrame, value: str, n: int) -> DataFrame:
+    """The rows with the largest positive ``value``, at most ``n``: all above a threshold.
+
+    The threshold comes from counts of rows by 64ths of an octave, a few thousand at most, so no
+    task sends its own ``n`` rows anywhere. Fewer than ``n`` rows are left where the next step
+    would be too many. ``df`` is read twice and should be a kept table.
+    """
+    step = F.floor(F.log2(value) * 64).cast("int")
+    counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    least, total = None, 0
+    for row in sorted(counts, key=lambda r: -r["step"]):
+        total += row["rows"]
+        if total > n:
+            break
+        least = row["step"]
+    return df.limit(0) if least is None else df.filter(step >= least)
 
 
 def digest(column: Column) -> list[Column]:

@@ -1,7 +1,7 @@
 """Scoring of texts by a hidden Markov language model trained on the corpus.
 
-Words are counted over all training texts. The most frequent ``HEAD`` (of those seen three times)
-are symbols of the model; all others are one symbol, ``tail``, times the word's own share among them, with one count more
+Words are counted over all training texts. The most frequent, ``HEAD`` at most and seen three
+times at least, are symbols of the model; all others are one symbol, ``tail``, times the word's own share among them, with one count more
 for a word never seen. That share does not depend on the state, so the likelihood of a text is
 that of its symbols times the shares of its tail words, and stays exact. So the model keeps
 one size, while the counts of all words stay in a table and are joined to the tail words.
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import binary_rows, kept, pieces_of, text_or_empty
+from saleswright.llm.common import binary_rows, kept, largest, pieces_of, text_or_empty
 from saleswright.llm.hmm_model import (
     Counts,
     Hmm,
@@ -242,8 +242,8 @@ def score_texts(
     ).first()
     tokens, distinct = int(total["n"]), int(total["v"])
     words = counts.filter(F.col("word") != END)
-    often = words.filter(F.col("c") >= LEAST_COUNT)
-    top = often.orderBy(F.col("c").desc(), "word").limit(head).collect()  # at most ``head``
+    top = largest(words.filter(F.col("c") >= LEAST_COUNT), "c", head).collect()
+    top.sort(key=lambda row: (-row["c"], row["word"]))
     head_counts = np.array([row["c"] for row in top], dtype=np.int64)
     n_ends = int(total["ends"])
     tail_tokens = tokens - n_ends - int(head_counts.sum())

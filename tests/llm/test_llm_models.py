@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from llm_helpers import texts_of
 from saleswright.llm import hmm_scoring, toxicity
-from saleswright.llm.common import documents
+from saleswright.llm.common import documents, kept, largest
 from saleswright.llm.hmm_model import Counts, Hmm, add_expected, log10_likelihood, refined
 from saleswright.llm.hmm_scoring import fold, score_texts
 
@@ -210,3 +210,12 @@ def test_odd_rows_and_labels(spark, odd, no_rows):
     none = labels.limit(0)
     scores = toxicity.score(odd, toxicity.train(odd, none, learns)).collect()
     assert {r["predicted"] for r in scores} == {0}
+
+
+@pytest.mark.parametrize("n", [0, 1, 10, 499, 500])
+def test_largest_rows_are_those_above_a_threshold(spark, n):
+    values = [float(1 + i * i % 997) for i in range(500)]
+    table = kept(spark.createDataFrame([(v,) for v in values], "v double"), "values")
+    got = sorted(r["v"] for r in largest(table, "v", n).collect())
+    assert len(got) <= n and got == sorted(values)[len(values) - len(got) :]
+    assert n < 10 or len(got) >= 0.8 * n
