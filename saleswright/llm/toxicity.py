@@ -4,8 +4,8 @@ Besides a weight per term the machine learns a vector per term; the product of t
 is the weight of their meeting in one text, such as an insult and a group's name, which adding
 up single weights cannot tell from either alone.
 
-Terms, words and how they begin, are hashed. How many toxic and other texts each has is counted over all labelled training
-texts; the ``TERMS`` that tell the classes apart best are the machine's input. It is fitted on
+Terms, words and how they begin, are hashed. How many toxic and other texts each has is counted
+over all labelled training texts; the ``TERMS`` that tell the classes apart best are the machine's input. It is fitted on
 the driver to about ``MOST_ROWS`` training texts of each class, taken by a hash of their
 text and weighted up to all of them, so its memory does not grow with the labels. Scoring is one
 pass over the texts.
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import digest, kept, pieces_of, text_or_empty
+from saleswright.llm.common import digest, kept, largest, pieces_of, text_or_empty
 
 #: Hashed terms there can be, those that the machine sees, and training texts of each class.
 SPACE_BITS = 26
@@ -35,7 +35,7 @@ LEAST_CHI2 = 40.0
 #: Training texts whose digests every task may hold; more are joined to the documents by a shuffle.
 BROADCAST_LABELS = 1_000_000
 FACTORS = 8
-STEPS = 300
+STEPS = 200
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -72,7 +72,8 @@ def _in_rows(
     n = per[codes]
     first = (np.cumsum(per) - per)[codes]
     place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    keys = np.unique(np.repeat(rows, n) << SPACE_BITS | values[place])
+    keys = np.sort(np.repeat(rows, n) << SPACE_BITS | values[place])
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
     return keys >> SPACE_BITS, keys & ((1 << SPACE_BITS) - 1)
 
 
@@ -114,39 +115,51 @@ def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 def fit(
     terms: np.ndarray, rows: np.ndarray, places: np.ndarray, toxic: np.ndarray, weight: np.ndarray
 ) -> Machine:
-    """Weighted logistic loss, all rows in each step (Adam), weights and vectors kept small."""
+    """Weighted logistic loss, all rows in each step (Adam), weights and vectors kept small.
+
+    ``rows`` ascend. Sums over a row's or a term's entries are taken over runs of sorted entries.
+    """
     n, m = len(toxic), len(terms)
     share = (float((weight * toxic).sum()) + 0.5) / (float(weight.sum()) + 2)
     rng = np.random.default_rng(11)
-    machine = Machine(
-        terms, float(np.log(share / (1 - share))), np.zeros(m), rng.normal(0, 0.01, (m, FACTORS))
-    )
-    if not m or not n:
-        return machine
+    bias = float(np.log(share / (1 - share)))
+    if not m or not len(rows):
+        return Machine(terms, bias, np.zeros(m), np.zeros((m, FACTORS)))
     weight = weight / weight.sum()
-    moments = [np.zeros(1 + m + m * FACTORS) for _ in range(2)]
+    has, first = np.unique(rows, return_index=True)
+    order = np.argsort(places, kind="stable")
+    used, start = np.unique(places[order], return_index=True)
+    of_row = np.searchsorted(has, rows)
+    # A term's weight and vector are a column; the bias is the last column's weight.
+    values = np.zeros((1 + FACTORS, m + 1), dtype=np.float32)
+    values[1:, :m] = rng.normal(0, 0.01, (FACTORS, m))
+    values[0, m] = bias
+    keep_small = np.full_like(values, 1e-3)
+    keep_small[0] = 1e-6
+    keep_small[:, m] = 0
+    rate = np.full_like(values, 0.02)
+    rate[0] = 0.1
+    mean, square = np.zeros_like(values), np.zeros_like(values)
     for step in range(1, STEPS + 1):
-        vectors = machine.vectors[places]
-        total = _by_row(rows, vectors, n)
-        margin = machine.margins(rows, places, n)
-        error = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic)
-        each = error[rows]
-        pull = each[:, None] * (total[rows] - vectors)
-        gradient = np.concatenate(
-            (
-                [error.sum()],
-                np.bincount(places, each, m) + 1e-6 * machine.weights,
-                (_by_row(places, pull, m) + 1e-3 * machine.vectors).ravel(),
-            )
-        )
-        moments[0] = 0.9 * moments[0] + 0.1 * gradient
-        moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
-        move = moments[0] / (1 - 0.9**step) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-9)
-        move *= 0.1
-        machine.bias -= move[0]
-        machine.weights -= move[1 : 1 + m]
-        machine.vectors -= 0.2 * move[1 + m :].reshape(m, FACTORS)
-    return machine
+        entries = values.take(places, axis=1)
+        sums = np.add.reduceat(entries, first, axis=1)
+        own = np.add.reduceat((entries[1:] ** 2).sum(axis=0), first)
+        margin = np.full(n, values[0, m])
+        margin[has] += sums[0] + 0.5 * ((sums[1:] ** 2).sum(axis=0) - own)
+        error = (weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic)).astype(np.float32)
+        pull = sums.take(of_row, axis=1)
+        pull[0] = 1
+        pull[1:] -= entries[1:]
+        pull *= error.take(rows)
+        gradient = keep_small * values
+        gradient[:, used] += np.add.reduceat(pull.take(order, axis=1), start, axis=1)
+        gradient[0, m] += error.sum()
+        mean += 0.1 * (gradient - mean)
+        square += 0.001 * (gradient**2 - square)
+        scaled = np.sqrt(square / (1 - 0.999**step)) + 1e-9
+        values -= rate * mean / (1 - 0.9**step) / scaled
+    values = values.T.astype(np.float64)
+    return Machine(terms, float(values[m, 0]), values[:m, 0], values[:m, 1:])
 
 
 def _telling_terms(labelled: DataFrame, sizes: dict[int, int]) -> np.ndarray:
@@ -158,9 +171,13 @@ def _telling_terms(labelled: DataFrame, sizes: dict[int, int]) -> np.ndarray:
             words, rows, codes = _words(batch.column(0))
             rows, terms = _in_rows(rows, codes, len(words), *_hashed(words))
             toxic = batch.column(1).to_numpy()[rows] == 1
-            used, place = np.unique(terms, return_inverse=True)
-            toxics = np.bincount(place[toxic], minlength=len(used))
-            others = np.bincount(place[~toxic], minlength=len(used))
+            order = np.argsort(terms, kind="stable")
+            terms, toxic = terms[order], toxic[order]
+            first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])[: len(terms)])
+            used, n = terms[first], np.diff(np.append(first, len(terms)))
+            before = np.concatenate(([0], np.cumsum(toxic)))
+            toxics = np.diff(before[np.append(first, len(terms))])
+            others = n - toxics
             columns = [pa.array(x, pa.int64()) for x in (used, others, toxics)]
             yield pa.RecordBatch.from_arrays(columns, ["term", "others", "toxics"])
 
@@ -178,7 +195,7 @@ def _telling_terms(labelled: DataFrame, sizes: dict[int, int]) -> np.ndarray:
     n = toxic + other
     chi2 = F.lit(n) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * toxic * other)
     best = summed.filter((c + d) > 0).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-    rows = best.orderBy(F.col("chi2").desc(), "term").limit(TERMS).collect()
+    rows = largest(kept(best, "terms"), "chi2", TERMS).collect()
     return np.sort(np.array([row["term"] for row in rows], dtype=np.int64))
 
 
@@ -187,8 +204,8 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
     column ``learns`` holds.
 
     Of a doc_id's several labels the toxic one counts; null labels and doc_ids do not. Equal texts
-    are one training text, toxic if any is; a row that repeats both doc_id and text counts again. Without texts of both classes the machine has no
-    terms and scores every text by the share of toxic ones, below a half.
+    are one training text, toxic if any is; a row that repeats both doc_id and text counts again.
+    Without texts of both classes the machine has no terms and scores every text by the share of toxic ones, below a half.
     """
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int"))
@@ -227,10 +244,13 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
         for batch in pieces_of(batches):
             rows, places = empty.features(batch.column(0))
             ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(batch)))))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places, pa.int32()))
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(places, pa.int32())
+            )
             yield pa.RecordBatch.from_arrays([lists, batch.column(1)], ["places", "toxic"])
 
-    got = sample.select("text", "toxic").mapInArrow(features, "places array<int>, toxic int").toArrow()
+    schema = "places array<int>, toxic int"
+    got = sample.select("text", "toxic").mapInArrow(features, schema).toArrow()
     places = got["places"].combine_chunks()
     toxic = got["toxic"].to_numpy().astype(np.float64)
     each_row = np.repeat(np.arange(len(toxic)), pc.list_value_length(places).to_numpy())
