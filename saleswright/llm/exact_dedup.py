@@ -21,6 +21,9 @@ from saleswright.llm.common import SPACE, kept, text_or_empty
 
 #: Different texts in a bucket, on average: what one task builds a filter of.
 BUCKET_ROWS = 200_000
+#: Remainders of digests by which texts are sorted out that no comparison asks for, before any
+#: text is shuffled: the most rows that are broadcast.
+PLACES = 1 << 20
 
 _FILTER = "bucket int, seed long, segment long, segments long, prints binary"
 
@@ -215,7 +218,10 @@ def duplicates(docs: DataFrame, batch: Column | None = None) -> DataFrame:
     )
     found = kept(found, "candidates")
     norm = F.translate(F.coalesce(F.col("row.text"), F.lit("")), SPACE, "")
-    bytes_of = rows.select("rid", "batch", norm.alias("norm"))
+    place = F.pmod("digest", F.lit(PLACES))
+    places = F.broadcast(hits.select(place.alias("place")).distinct())  # at most PLACES rows
+    few = rows.join(places, place == F.col("place"), "left_semi")
+    bytes_of = few.select("rid", "batch", norm.alias("norm"))
     theirs = bytes_of.filter("batch = 1").select(F.col("rid").alias("new_rid"), F.col("norm"))
     ours = bytes_of.filter("batch = 0").select(
         F.col("rid").alias("old_rid"), F.col("norm").alias("old_norm")
