@@ -151,7 +151,7 @@ def pattern_key(two_words: Column) -> Column:
 
 def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """How often each pattern occurs, whatever follows: pattern, ``n_all``. All pairs of
-    neighbouring words are looked up; they are summed before they are shuffled."""
+    neighbouring words are counted, in part by each task, and the counts are looked up."""
     words = F.split(F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))), " ")
     pairs = F.expr(
         "transform(array(w), v -> if(size(v) < 2, array(), "
@@ -159,7 +159,8 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     )
     each = texts.select(words.alias("w")).select(F.explode(pairs).alias("hash"))
     wanted = patterns.select("pattern", F.xxhash64("pattern").alias("hash"))
-    return each.join(wanted, "hash").groupBy("pattern").agg(F.count("*").alias("n_all"))
+    counts = each.groupBy("hash").agg(F.count("*").alias("n_all"))
+    return counts.join(wanted, "hash").select("pattern", "n_all")
 
 
 def context_spans(texts: DataFrame, base: DataFrame) -> DataFrame:
@@ -225,7 +226,9 @@ def find_personal_data(texts: DataFrame) -> DataFrame:
     span = F.struct(place.alias("p"), "start", "end", "kind")
     by_text = spans.groupBy("rid").agg(F.array_sort(F.collect_list(span)).alias("s"))
     counts = [
-        F.expr(f"size(filter(coalesce(s, array()), x -> x.kind = '{kind}'))").cast("long").alias(f"n_{kind}")
+        F.expr(f"size(filter(coalesce(s, array()), x -> x.kind = '{kind}'))")
+        .cast("long")
+        .alias(f"n_{kind}")
         for kind in FORMS
     ]
     return (
