@@ -4,11 +4,12 @@ Besides a weight per term the machine learns a vector per term; the product of t
 is the weight of their meeting in one text, such as an insult and a group's name, which adding
 up single weights cannot tell from either alone.
 
-Terms, words and how they begin, are hashed. How many toxic and other texts each has is counted
-over all labelled training texts; the ``TERMS`` that tell the classes apart best are the machine's input. It is fitted on
-the driver to about ``MOST_ROWS`` training texts of each class, taken by a hash of their
-text and weighted up to all of them, so its memory does not grow with the labels. Scoring is one
-pass over the texts.
+Terms, words and how they begin, are hashed into a fixed space, and every term of the texts that
+the machine is fitted to is its input, but those of a single one of these texts. None is chosen
+by how it goes with the class by itself: a term may tell nothing alone and much beside another.
+The machine is fitted on the driver to about ``MOST_ROWS`` training texts of each class, taken by
+a hash of their text and weighted up to all of them, so its memory does not grow with the labels.
+Scoring is one pass over the texts.
 """
 
 from __future__ import annotations
@@ -23,19 +24,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import digest, kept, largest, pieces_of, text_or_empty
+from saleswright.llm.common import digest, kept, pieces_of, text_or_empty
 
-#: Hashed terms there can be, those that the machine sees, and training texts of each class.
-SPACE_BITS = 26
+#: Hashed terms there can be, and training texts of each class.
+SPACE_BITS = 22
 BEGINNINGS = (4, 5, 6)
-TERMS = 4096
 MOST_ROWS = 10_000
-#: Least chi-square of a term with the classes: one that a few million terms do not reach by chance.
-LEAST_CHI2 = 40.0
+#: Texts of the fit that a term must be in: of one alone it can only tell that text.
+LEAST_TEXTS = 2
 #: Training texts whose digests every task may hold; more are joined to the documents by a shuffle.
 BROADCAST_LABELS = 1_000_000
 FACTORS = 8
+#: Steps at least, texts of a step, and times that each text is seen at least.
 STEPS = 200
+STEP_ROWS = 1024
+ROUNDS = 8
+#: Terms of a text up to which steps are of full size.
+CALM = 60
+#: Times its deviation by chance that a term's pull must be to move a weight from 0, and that a
+#: pair's must be to make vectors grow; weights beyond ``SURE`` are hardly held back any more.
+WEIGHT_DOUBT = 3.0
+VECTOR_DOUBT = 0.2
+SURE = 0.1
+
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -97,27 +108,23 @@ class Machine:
         return _in_rows(rows, codes, len(words), place[some], at[some])
 
     def margins(self, rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
-        linear = np.bincount(rows, self.weights[places], n)
-        vectors = self.vectors[places]
-        own = np.bincount(rows, (vectors**2).sum(axis=1), n)
-        total = _by_row(rows, vectors, n)
-        return self.bias + linear + 0.5 * ((total**2).sum(axis=1) - own)
+        pairs = -np.bincount(rows, (self.vectors**2).sum(axis=1)[places], n)
+        for factor in self.vectors.T:
+            pairs += np.bincount(rows, factor[places], n) ** 2
+        return self.bias + np.bincount(rows, self.weights[places], n) + 0.5 * pairs
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         rows, places = self.features(texts)
         return 1 / (1 + np.exp(-np.clip(self.margins(rows, places, len(texts)), -30, 30)))
 
 
-def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(rows, x, n) for x in values.T], axis=1)
-
-
 def fit(
     terms: np.ndarray, rows: np.ndarray, places: np.ndarray, toxic: np.ndarray, weight: np.ndarray
 ) -> Machine:
-    """Weighted logistic loss, all rows in each step (Adam), weights and vectors kept small.
+    """Weighted logistic loss, ``STEP_ROWS`` rows in a step (Adam), weights and vectors kept small.
 
     ``rows`` ascend. Sums over a row's or a term's entries are taken over runs of sorted entries.
+    Rows take turns in an order drawn once; few rows are all in each step.
     """
     n, m = len(toxic), len(terms)
     share = (float((weight * toxic).sum()) + 0.5) / (float(weight.sum()) + 2)
@@ -125,78 +132,74 @@ def fit(
     bias = float(np.log(share / (1 - share)))
     if not m or not len(rows):
         return Machine(terms, bias, np.zeros(m), np.zeros((m, FACTORS)))
-    weight = weight / weight.sum()
-    has, first = np.unique(rows, return_index=True)
-    order = np.argsort(places, kind="stable")
-    used, start = np.unique(places[order], return_index=True)
-    of_row = np.searchsorted(has, rows)
+    parts = -(-n // STEP_ROWS)
+    weight = weight * (parts / weight.sum())
+    # Texts of many terms take smaller steps: all of a text's terms move its margin together.
+    calm = max(1.0, float(np.median(np.bincount(rows, minlength=n))) / CALM)
     # A term's weight and vector are a column; the bias is the last column's weight.
     values = np.zeros((1 + FACTORS, m + 1), dtype=np.float32)
     values[1:, :m] = rng.normal(0, 0.01, (FACTORS, m))
     values[0, m] = bias
-    keep_small = np.full_like(values, 1e-3)
-    keep_small[0] = 1e-6
-    keep_small[:, m] = 0
-    rate = np.full_like(values, 0.02)
-    rate[0] = 0.1
+    # How much a term's gradient is off by chance: less than a few times that moves nothing.
+    chance = np.zeros(m + 1, dtype=np.float32)
+    chance[:m] = _by_chance(places, rows, weight / parts, m, share)
+    # A vector's pull is off by as much for each of the terms beside it.
+    beside = np.zeros(m + 1, dtype=np.float32)
+    beside[:m] = _by_chance(places, rows, weight * np.bincount(rows, minlength=n) / parts, m, share)
+    keep_small = np.maximum(VECTOR_DOUBT * beside, 1e-3)
+    first_rate = np.array([[0.1 / calm], *[[0.02 / calm]] * FACTORS], dtype=np.float32)
     mean, square = np.zeros_like(values), np.zeros_like(values)
-    for step in range(1, STEPS + 1):
-        entries = values.take(places, axis=1)
-        sums = np.add.reduceat(entries, first, axis=1)
-        own = np.add.reduceat((entries[1:] ** 2).sum(axis=0), first)
-        margin = np.full(n, values[0, m])
-        margin[has] += sums[0] + 0.5 * ((sums[1:] ** 2).sum(axis=0) - own)
-        error = (weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic)).astype(np.float32)
-        pull = sums.take(of_row, axis=1)
-        pull[0] = 1
-        pull[1:] -= entries[1:]
-        pull *= error.take(rows)
+    ends = np.searchsorted(rows, np.arange(n + 1))
+    order = rng.permutation(n)
+    steps = max(STEPS, ROUNDS * parts)
+    for step in range(1, steps + 1):
+        rate = first_rate * min(1.0, 2 * (1 - (step - 1) / steps))
+        some = np.sort(order[(step - 1) % parts :: parts])
+        at, per = _runs(ends[some], ends[some + 1])
+        has, first = np.flatnonzero(per), (np.cumsum(per) - per)[per > 0]
+        here, of_row = places[at], np.repeat(np.arange(len(some)), per)
+        by_term = np.argsort(here, kind="stable")
+        used, start = np.unique(here[by_term], return_index=True)
+        entries = values.take(here, axis=1)
+        sums = np.zeros((1 + FACTORS, len(some)), dtype=np.float32)
+        own = np.zeros(len(some), dtype=np.float32)
+        if len(has):
+            sums[:, has] = np.add.reduceat(entries, first, axis=1)
+            own[has] = np.add.reduceat((entries[1:] ** 2).sum(axis=0), first)
+        margin = values[0, m] + sums[0] + 0.5 * ((sums[1:] ** 2).sum(axis=0) - own)
+        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[some]
+        error = (weight[some] * error).astype(np.float32)
         gradient = keep_small * values
-        gradient[:, used] += np.add.reduceat(pull.take(order, axis=1), start, axis=1)
+        gradient[0] = 0
+        gradient[:, m] = 0
+        if len(has):
+            pull = sums.take(of_row, axis=1)
+            pull[0] = 1
+            pull[1:] -= entries[1:]
+            pull *= error.take(of_row)
+            gradient[:, used] += np.add.reduceat(pull.take(by_term, axis=1), start, axis=1)
         gradient[0, m] += error.sum()
         mean += 0.1 * (gradient - mean)
         square += 0.001 * (gradient**2 - square)
         scaled = np.sqrt(square / (1 - 0.999**step)) + 1e-9
         values -= rate * mean / (1 - 0.9**step) / scaled
-    values = values.T.astype(np.float64)
-    return Machine(terms, float(values[m, 0]), values[:m, 0], values[:m, 1:])
+        doubt = WEIGHT_DOUBT * chance / (1 + (values[0] / SURE) ** 2)
+        over = np.abs(values[0]) - doubt * rate[0] / scaled[0]
+        values[0] = np.copysign(np.maximum(over, 0), values[0])
+    return Machine(terms, float(values[0, m]), values[0, :m].copy(), values[1:, :m].T)
 
 
-def _telling_terms(labelled: DataFrame, sizes: dict[int, int]) -> np.ndarray:
-    """The hashed terms whose occurrence goes with the class, counted over all labelled texts
-    (text, toxic), of which there are ``sizes``; at most ``TERMS`` come to the driver."""
+def _by_chance(
+    places: np.ndarray, rows: np.ndarray, weight: np.ndarray, m: int, share: float
+) -> np.ndarray:
+    """The deviation of each term's gradient over texts whose classes are drawn by ``share``."""
+    return np.sqrt(np.bincount(places, (weight**2)[rows], m) * share * (1 - share))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches):
-            words, rows, codes = _words(batch.column(0))
-            rows, terms = _in_rows(rows, codes, len(words), *_hashed(words))
-            toxic = batch.column(1).to_numpy()[rows] == 1
-            order = np.argsort(terms, kind="stable")
-            terms, toxic = terms[order], toxic[order]
-            first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])[: len(terms)])
-            used, n = terms[first], np.diff(np.append(first, len(terms)))
-            before = np.concatenate(([0], np.cumsum(toxic)))
-            toxics = np.diff(before[np.append(first, len(terms))])
-            others = n - toxics
-            columns = [pa.array(x, pa.int64()) for x in (used, others, toxics)]
-            yield pa.RecordBatch.from_arrays(columns, ["term", "others", "toxics"])
-
-    found = labelled.select("text", "toxic").mapInArrow(
-        count, "term long, others long, toxics long"
-    )
-    summed = found.groupBy("term").agg(
-        F.sum("others").cast("double").alias("b"), F.sum("toxics").cast("double").alias("a")
-    )
-    toxic, other = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    if not toxic or not other:
-        return np.empty(0, dtype=np.int64)
-    a, b = F.col("a"), F.col("b")
-    c, d = F.lit(toxic) - a, F.lit(other) - b
-    n = toxic + other
-    chi2 = F.lit(n) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * toxic * other)
-    best = summed.filter((c + d) > 0).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-    rows = largest(kept(best, "terms"), "chi2", TERMS).collect()
-    return np.sort(np.array([row["term"] for row in rows], dtype=np.int64))
+
+def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each start to its end, one run after another, and the runs' lengths."""
+    per = ends - starts
+    return np.arange(int(per.sum())) + np.repeat(starts - (np.cumsum(per) - per), per), per
 
 
 def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
@@ -231,31 +234,36 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
     few = sum(sizes.values()) <= BROADCAST_LABELS
     labelled = texts.join(F.broadcast(chosen) if few else chosen, ["doc_id", "d1", "d2"])
     labelled = labelled.select("text", "toxic", "d1")
-    terms = _telling_terms(labelled, sizes)
     span = 1 << 30
     share = {label: min(1.0, MOST_ROWS / n) for label, n in sizes.items()}
     limit = F.when(F.col("toxic") == 1, int(share.get(1, 0) * span)).otherwise(
         int(share.get(0, 0) * span)
     )
     sample = labelled.filter(F.pmod("d1", F.lit(span)) < limit)
-    empty = Machine(terms, 0.0, np.zeros(len(terms)), np.zeros((len(terms), 1)))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            rows, places = empty.features(batch.column(0))
+            words, rows, codes = _words(batch.column(0))
+            rows, terms = _in_rows(rows, codes, len(words), *_hashed(words))
             ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(batch)))))
             lists = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(places, pa.int32())
+                pa.array(ends, pa.int32()), pa.array(terms, pa.int32())
             )
-            yield pa.RecordBatch.from_arrays([lists, batch.column(1)], ["places", "toxic"])
+            yield pa.RecordBatch.from_arrays([lists, batch.column(1)], ["terms", "toxic"])
 
-    schema = "places array<int>, toxic int"
+    schema = "terms array<int>, toxic int"
     got = sample.select("text", "toxic").mapInArrow(features, schema).toArrow()
-    places = got["places"].combine_chunks()
     toxic = got["toxic"].to_numpy().astype(np.float64)
-    each_row = np.repeat(np.arange(len(toxic)), pc.list_value_length(places).to_numpy())
+    lists = got["terms"].combine_chunks()
+    del got
+    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), pc.list_value_length(lists).to_numpy())
+    entries = lists.flatten().to_numpy()
+    texts = np.bincount(entries, minlength=1 << SPACE_BITS)
+    terms = np.flatnonzero(texts >= LEAST_TEXTS)
+    some = (texts >= LEAST_TEXTS)[entries]
+    places = np.searchsorted(terms, entries[some]).astype(np.int32)
     weight = np.where(toxic == 1, 1 / max(share.get(1, 1), 1e-9), 1 / max(share.get(0, 1), 1e-9))
-    return fit(terms, each_row, places.flatten().to_numpy(), toxic, weight)
+    return fit(terms, rows[some], places, toxic, weight)
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:

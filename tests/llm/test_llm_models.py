@@ -194,6 +194,41 @@ def test_held_out_texts_are_told_apart(spark, monkeypatch):
     assert left.count() == sum(r["predicted"] == 0 for r in got.values())
 
 
+def test_pairs_of_terms_that_tell_nothing_alone_reach_the_machine(spark):
+    rnd = random.Random(3)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for i in range(2000):
+        one, other = rnd.random() < 0.5, rnd.random() < 0.5
+        w = rnd.choices(vocabulary, k=6) + ["harbour"] * one + ["kindly"] * other
+        rnd.shuffle(w)
+        rows.append((i, " ".join(w), int(one != other)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    got = {r["row"]["doc_id"]: r["predicted"] for r in toxicity.score(docs, machine).collect()}
+    held = [r for r in rows if by_crc(5, 0)(r[0])]
+    assert sum(got[i] == toxic for i, _, toxic in held) >= 0.95 * len(held)
+
+
+def test_near_copies_do_not_crowd_out_other_terms(spark):
+    """Many toxic near copies of one long text, and toxic texts of another word."""
+    rnd = random.Random(4)
+    long = ["".join(rnd.choice("ijklmnop") for _ in range(7)) for _ in range(2500)]
+    rows = toxic_rows(600, 1)
+    for i in range(100):
+        w = list(long)
+        for _ in range(3):
+            w[rnd.randrange(len(w))] = "".join(rnd.choice("qrstuv") for _ in range(7))
+        rows.append((1000 + i, " ".join(w), 1))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    got = {r["row"]["doc_id"]: r["predicted"] for r in toxicity.score(docs, machine).collect()}
+    held = [r for r in rows if by_crc(5, 0)(r[0])]
+    assert sum(got[i] != toxic for i, _, toxic in held) <= 0.05 * len(held)
+
+
 def test_odd_rows_and_labels(spark, odd, no_rows):
     labels = spark.createDataFrame(
         [(1, 0), (1, 1), (2, 0), (None, 1), (3, None), (6, 1), (7, 0), (77, 1)],
