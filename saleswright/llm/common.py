@@ -51,21 +51,34 @@ def text_or_empty(df: DataFrame) -> Column:
 
 
 def largest(df: DataFrame, value: str, n: int) -> DataFrame:
-    """The rows with the largest positive ``value``, at most ``n``: all above a threshold.
+    """The ``n`` rows with the largest positive ``value``, or all if there are fewer.
 
-    The threshold comes from counts of rows by 64ths of an octave, a few thousand at most, so no
-    task sends its own ``n`` rows anywhere. Fewer than ``n`` rows are left where the next step
-    would be too many. ``df`` is read twice and should be a kept table.
+    Rows rank by 2^18ths of an octave, and equal ones by a hash of all columns. The place where
+    ``n`` rows are full is found from counts, first by 64ths of an octave, then within one of
+    these, then by hash, so no task sends its own ``n`` rows anywhere; only the last few rows, equal
+    in all three, are sorted. ``df`` is read up to five times and should be a kept table.
     """
-    step = F.floor(F.log2(value) * 64).cast("int")
-    counts = df.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
-    least, total = None, 0
-    for row in sorted(counts, key=lambda r: -r["step"]):
-        total += row["rows"]
-        if total > n:
-            break
-        least = row["step"]
-    return df.limit(0) if least is None else df.filter(step >= least)
+    if n <= 0:
+        return df.limit(0)
+    octave = F.log2(value) * 64
+    finer = F.floor((octave - F.floor(octave)) * 4096)
+    ranks = [-F.floor(octave), -finer, F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16))]
+    chosen, level, left = F.lit(False), F.lit(True), n
+    for rank in ranks:
+        counts = df.filter(level).groupBy(rank.alias("rank")).agg(F.count("*").alias("rows"))
+        last = None
+        for row in sorted(counts.collect(), key=lambda r: r["rank"]):
+            if row["rows"] > left:
+                last = row["rank"]
+                break
+            left -= row["rows"]
+        if last is None:
+            return df.filter(chosen | level)
+        chosen, level = chosen | (level & (rank < last)), level & (rank == last)
+        if not left:
+            return df.filter(chosen)
+    rest = df.filter(level).orderBy(F.desc(value), *df.columns).limit(left)
+    return df.filter(chosen).unionAll(rest)
 
 
 def digest(column: Column) -> list[Column]:

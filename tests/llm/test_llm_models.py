@@ -254,3 +254,16 @@ def test_largest_rows_are_those_above_a_threshold(spark, n):
     got = sorted(r["v"] for r in largest(table, "v", n).collect())
     assert len(got) <= n and got == sorted(values)[len(values) - len(got) :]
     assert n < 10 or len(got) >= 0.8 * n
+
+
+@pytest.mark.parametrize("n", [1, 20, 300, 499, 600])
+def test_largest_fills_up_from_a_tie_larger_than_n(spark, n):
+    rows = [(f"w{i}", 7.0 if i < 450 else 9.0 if i < 460 else 2.0) for i in range(500)]
+    table = kept(spark.createDataFrame(rows, "w string, v double").repartition(3), "ties")
+    got = sorted((r["v"], r["w"]) for r in largest(table, "v", n).collect())
+    assert [v for v, _ in got] == sorted(v for _, v in rows)[max(0, 500 - n) :]
+    assert len(set(got)) == min(n, 500)
+    again = largest(table.repartition(5), "v", n).collect()
+    assert sorted((r["v"], r["w"]) for r in again) == got
+    same = kept(spark.createDataFrame([(5.0,)] * 50, "v double"), "same")
+    assert largest(same, "v", n).count() == min(n, 50)
