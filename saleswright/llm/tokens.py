@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,14 @@ _TAIL = ".,!?;:"
 _END_OF_WORD = "</w>"
 
 
+def _cuts_cleanly(stem: str) -> bool:
+    """Whether marks after the stem are pieces of their own. They are not after letters that
+    composing or lower case takes apart into a letter and a mark, which joins them."""
+    if not stem.isalpha():
+        return False
+    return stem.isascii() or max(stem) < "\u0100" or normalize("NFC", stem).lower().isalpha()
+
+
 class Encoder:
     """Ids of texts. One per process and file: see ``encoder``."""
 
@@ -88,7 +97,7 @@ class Encoder:
             new = [word for word in new if word not in known]
             stems = [word.rstrip(_TAIL) for word in new]
             for i, stem in enumerate(stems):
-                if not stem.isalpha():
+                if not _cuts_cleanly(stem):
                     stems[i] = new[i]
             tails = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
             self._learn(list((set(stems) | set(tails)).difference(known)))

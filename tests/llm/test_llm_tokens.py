@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from llm_helpers import texts_of
 from saleswright.llm.huffman import CHECKPOINT, Code, code_lengths
@@ -52,6 +53,16 @@ def test_ids_are_the_librarys(texts):
         start = end
 
 
+def test_letters_that_come_apart_before_marks():
+    fresh = Tokenizer.from_file(PATH)
+    letters = ["\u092a" + chr(c) for c in (*range(0x958, 0x960), *range(0x9DC, 0x9E0))]
+    letters += ["AL\u0130", "\u0130", "al\u0131", "caf\u00e9", "\u65e5\u672c", "\ufb1d", "\u0958a"]
+    texts = [f"x {word}{tail} y" for word in letters for tail in (",", ".", "?!", "")]
+    ids, ends = Encoder(PATH).encode(pa.array(texts))
+    got = [x.tolist() for x in np.split(ids, ends[:-1])]
+    assert got == [fresh.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_words_that_fall_out_are_learned_again(encoder, monkeypatch):
     monkeypatch.setattr("saleswright.llm.tokens.KEPT_WORDS", 3)
     texts = ["alpha beta, gamma", "beta delta", "alpha! epsilon zeta's", "<|endoftext|> zeta"]
