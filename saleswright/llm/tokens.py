@@ -40,7 +40,6 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.drops_space = spec["model"].get("end_of_word_suffix") == _END_OF_WORD

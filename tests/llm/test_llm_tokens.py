@@ -63,6 +63,16 @@ def test_letters_that_come_apart_before_marks():
     assert got == [fresh.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_in_texts_are_the_librarys(name):
+    fresh = Tokenizer.from_file(vocabulary_path(name))
+    texts = ["a <|endoftext|> b", "x<|startoftext|>y, z", "<|endoftext|>.", "end<|endoftext|><|endoftext|>!",
+             "<|ENDOFTEXT|> <|endoftext |>", "<|endoftext|>\n<|startoftext|>\té <|endoftext|>\u0130,"]
+    ids, ends = Encoder(vocabulary_path(name)).encode(pa.array(texts))
+    got = [x.tolist() for x in np.split(ids, ends[:-1])]
+    assert got == [fresh.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_words_that_fall_out_are_learned_again(encoder, monkeypatch):
     monkeypatch.setattr("saleswright.llm.tokens.KEPT_WORDS", 3)
     texts = ["alpha beta, gamma", "beta delta", "alpha! epsilon zeta's", "<|endoftext|> zeta"]
