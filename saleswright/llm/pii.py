@@ -38,6 +38,10 @@ FOUND = "context"
 #: A token that may be an identifier: no blanks, a digit or an at sign, from a token's start.
 _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 _MARKS = r"[\"'`.,;:!?()\[\]{}<>|#*]"
+#: The two words before an entity, in what is between it and the last match; marks may open it.
+_WORD = r"[^\s0-9@]{1,40}"
+_BEFORE = rf"(?<!\S)({_WORD}\s{{1,3}}{_WORD})\s{{1,3}}{_MARKS}{{0,10}}$"
+_BEFORE_LENGTH = 97
 
 MIN_DIGITS = 4
 ROUNDS = 3
@@ -76,15 +80,22 @@ def _holds(kind: str) -> Column:
 
 def _matches(texts: DataFrame, kind: str, form: str, needs: str | None) -> DataFrame:
     """All matches of a form: rid, kind, i (from 0), gap (code points before it, from the last
-    one's end), match, and the words around it."""
+    one's end), match, and words (the two before it, empty where there are none)."""
     rows = texts.filter(F.contains("text", F.lit(needs))) if needs else texts
     rows = rows.filter(F.col("text").rlike("[0-9@]"))
-    gaps = F.transform(F.split("text", form, -1), F.length)
+
+    def before(piece: Column, i: Column) -> Column:
+        # A word that the last match cuts is none: the 0 in its place is not part of any word.
+        whole = F.when(i == 0, piece).otherwise(F.concat(F.lit("0"), piece))
+        words = F.regexp_extract(F.right(whole, F.lit(_BEFORE_LENGTH)), _BEFORE, 1)
+        return F.struct(F.length(piece).alias("gap"), words.alias("words"))
+
+    gaps = F.transform(F.split("text", form, -1), before)
     found = F.regexp_extract_all("text", F.lit(form), F.lit(0))
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("match"))
+    pairs = F.arrays_zip(gaps.alias("b"), found.alias("match"))
     each = rows.filter(F.col("text").rlike(form)).select("rid", F.posexplode(pairs).alias("i", "x"))
     return each.filter("x.match IS NOT NULL").select(
-        "rid", F.lit(kind).alias("kind"), "i", "x.gap", "x.match"
+        "rid", F.lit(kind).alias("kind"), "i", "x.b.gap", "x.match", "x.b.words"
     )
 
 
@@ -100,7 +111,7 @@ def _placed(matches: DataFrame) -> DataFrame:
 
 
 def base_spans(texts: DataFrame) -> DataFrame:
-    """The entities of the fixed kinds in rows (rid, text): rid, kind, start, end, match.
+    """The entities of the fixed kinds in rows (rid, text): rid, kind, start, end, match, words.
 
     For each kind the leftmost matches that do not overlap, longest as the form goes; those that
     fail the kind's rule are dropped and not tried otherwise."""
@@ -108,7 +119,7 @@ def base_spans(texts: DataFrame) -> DataFrame:
     rule = F.lit(False)
     for kind in FORMS:
         rule = F.when(F.col("kind") == kind, _holds(kind)).otherwise(rule)
-    return _placed(found).filter(rule).select("rid", "kind", "start", "end", "match")
+    return _placed(found).filter(rule).select("rid", "kind", "start", "end", "match", "words")
 
 
 def _candidates(texts: DataFrame) -> DataFrame:
@@ -165,16 +176,21 @@ def _occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def context_spans(texts: DataFrame, base: DataFrame) -> DataFrame:
     """Identifiers that patterns of the base entities lead to: rid, kind, start, end."""
+    # Entities are seeds, whole; of those that start together the longest. Tokens within are none.
+    firsts = base.groupBy("rid", "start").agg(F.max_by(F.struct("match", "words"), "end").alias("x"))
+    seeds = firsts.filter("x.words != ''").select(
+        pattern_key(F.col("x.words")).alias("pattern"),
+        F.lower("x.match").alias("instance"),
+        F.lit(True).alias("seed"),
+    )
     tokens = _candidates(texts)
-    # A token is a seed where an entity starts, and else may be part of one.
     by_text = base.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("base"))
-    marked = tokens.join(by_text, "rid", "left").select(
-        *tokens.columns,
-        F.expr("coalesce(exists(base, b -> b.start < end AND start < b.end), false)").alias("in"),
-        F.expr("coalesce(exists(base, b -> b.start = start), false)").alias("seed"),
+    marked = tokens.join(by_text, "rid", "left").filter(
+        "NOT coalesce(exists(base, b -> b.start < end AND start < b.end), false)"
     )
-    marked = kept(marked.filter("seed OR NOT in").filter("pattern IS NOT NULL"), "candidates")
-    edges = marked.groupBy("pattern", "instance").agg(
+    marked = kept(marked.filter("pattern IS NOT NULL").select(*tokens.columns), "candidates")
+    every = seeds.unionAll(marked.select("pattern", "instance", F.lit(False).alias("seed")))
+    edges = every.groupBy("pattern", "instance").agg(
         F.count("*").alias("n"), F.max("seed").alias("seed")
     )
     edges = kept(edges, "edges")
@@ -204,9 +220,7 @@ def context_spans(texts: DataFrame, base: DataFrame) -> DataFrame:
         )
     good = good.select("pattern")
     return (
-        marked.filter("NOT seed")
-        .join(good, "pattern", "left_semi")
-        .select("rid", F.lit(FOUND).alias("kind"), "start", "end")
+        marked.join(good, "pattern", "left_semi").select("rid", F.lit(FOUND).alias("kind"), "start", "end")
     )
 
 

@@ -126,3 +126,36 @@ def test_found_instances_teach_further_patterns(spark):
         patch.setattr(pii, "MIN_CONFIDENCE", 0.4)
         found = {r["doc_id"] for r in find_personal_data(rows).filter(F.size("found") > 0).collect()}
     assert set(range(6, 12)) <= found and len(texts) - 1 in found
+
+
+def contexts(spark, texts):
+    rows = spark.createDataFrame(
+        [(i, i, t) for i, t in enumerate(texts)], "rid long, doc_id long, text string"
+    )
+    return {
+        r["doc_id"]: [texts[r["doc_id"]][x["start"] : x["end"]] for x in r["found"]]
+        for r in find_personal_data(rows).filter(F.size("found") > 0).collect()
+    }
+
+
+def test_phones_and_grouped_cards_teach_patterns(spark):
+    texts = [f"you may call me at +1 (017) 555-77{i}3 today" for i in range(8)]
+    # Cards of one issuer: the same first groups, and another end that passes the check.
+    ends = [e for e in range(1000, 1100) if holds("card", f"411111111111{e}")][:8]
+    texts += [f"pay by bank card ({'4111 1111 1111 '}{e}) now" for e in ends]
+    texts += ["please call me at desk-7714x soon", "with bank card zz99881."]
+    assert contexts(spark, texts) == {16: ["desk-7714x"], 17: ["zz99881"]}
+
+
+def test_words_before_an_entity(spark):
+    texts = [
+        "ab5cd my 4111111111111111",
+        "5 card no 4111-1111-1111-1111",
+        "Write  To <user@x.com>,then to u2@x.com",
+        "x call +1 (017) 555-7713",
+        "a" * 41 + " b +1 (017) 555-7713",
+        "+1 (017) 555-7713",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    got = sorted((r["rid"], r["start"], r["words"]) for r in base_spans(rows).collect())
+    assert [words for *_, words in got] == ["", "card no", "Write  To", "", "x call", "", ""]
