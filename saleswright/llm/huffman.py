@@ -78,14 +78,15 @@ class Code:
         return bits, starts[::CHECKPOINT].astype(np.int64)
 
     def decode(self, blocks: list[tuple[bytes, np.ndarray, int]]) -> list[np.ndarray]:
-        """Ids of blocks (bits, checkpoints, number of ids), all checkpoints' runs side by side."""
+        """Ids of blocks (bits, checkpoints, number of ids), all checkpoints' runs side by side.
+        No blocks give no ids."""
         stream = np.frombuffer(b"".join(x[0] for x in blocks) + bytes(12), dtype=">u4")
         stream = stream.astype(np.uint64)
         pairs = (stream[:-1] << np.uint64(32)) | stream[1:]
-        base = np.cumsum([0, *(len(x[0]) * 8 for x in blocks)])
+        base = np.cumsum([0, *(len(x[0]) * 8 for x in blocks)], dtype=np.int64)
         at = np.concatenate([np.empty(0, np.int64), *(b + x[1] for b, x in zip(base, blocks))])
-        lanes = [-(-x[2] // CHECKPOINT) for x in blocks]
-        if [len(x[1]) for x in blocks] != lanes:
+        lanes = np.array([-(-x[2] // CHECKPOINT) for x in blocks], dtype=np.int64)
+        if [len(x[1]) for x in blocks] != lanes.tolist():
             raise ValueError("checkpoints do not fit the number of ids")
         counts = np.array([x[2] for x in blocks], dtype=np.int64)
         out = np.zeros((len(at), CHECKPOINT), dtype=np.uint32)
