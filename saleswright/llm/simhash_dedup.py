@@ -120,7 +120,8 @@ def bucket_links(fps: np.ndarray, bits: int) -> np.ndarray:
             near = np.abs(table[a, i] - table[b, i]) <= bits
             a, b = a[near], b[near]
         near = np.bitwise_count(fps[a] ^ fps[b]) <= bits
-        for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
+        for pair in zip(a[near].tolist(), b[near].tolist(), strict=True):
+            x, y = pair
             while parent[x] != x:
                 parent[x] = parent[parent[x]]
                 x = parent[x]
@@ -129,7 +130,7 @@ def bucket_links(fps: np.ndarray, bits: int) -> np.ndarray:
                 y = parent[y]
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                links.append((x, y))
+                links.append(pair)
         parent = _roots(parent)
         start = stop
     pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
