@@ -1,5 +1,7 @@
 """Encoding, Huffman codes, token files, packing and the length histogram."""
 
+import functools
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -97,11 +99,34 @@ def test_code_lengths_are_a_code_and_limited(counts, limit):
     assert sum(2.0**-x for x in lengths) <= 1
 
 
+def least_bits(counts, limit):
+    """The fewest bits of any prefix code with no code above ``limit`` bits: rarer symbols never
+    have shorter codes, so all non-increasing lengths that Kraft's sum allows are tried."""
+    counts = sorted(counts)
+
+    @functools.cache
+    def rest(i, longest, room):
+        if i == len(counts):
+            return 0
+        sizes = [x for x in range(1, longest + 1) if (1 << limit - x) <= room]
+        left = (rest(i + 1, x, room - (1 << limit - x)) + x * counts[i] for x in sizes)
+        return min(left, default=math.inf)
+
+    return rest(0, limit, 1 << limit)
+
+
 def test_code_lengths_are_optimal():
     counts = np.array([1, 1, 2, 3, 5, 8, 13, 21])
     assert (counts * code_lengths(counts, 18)).sum() == 132  # Huffman's
     limited = code_lengths(counts, 4)
-    assert limited.max() == 4 and (counts * limited).sum() == 137
+    assert limited.max() == 4 and (counts * limited).sum() == least_bits(counts.tolist(), 4)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=2, max_size=9), st.integers(4, 7))
+def test_no_code_is_shorter(counts, limit):
+    lengths = code_lengths(np.array(counts), limit)
+    assert (np.array(counts) * lengths).sum() == least_bits(counts, limit)
 
 
 @settings(max_examples=100, deadline=None)
@@ -153,12 +178,60 @@ def lay_out(counts, capacity):
     return made
 
 
+def least_sequences(pieces, capacity):
+    """The fewest sequences that hold a few pieces, by trying every way to fill them."""
+    best = len(pieces)
+
+    def place(i, gaps):
+        nonlocal best
+        if len(gaps) >= best:
+            return
+        if i == len(pieces):
+            best = len(gaps)
+            return
+        for gap in {g for g in gaps if g >= pieces[i]}:
+            rest = list(gaps)
+            rest.remove(gap)
+            place(i + 1, [*rest, gap - pieces[i]])
+        place(i + 1, [*gaps, capacity - pieces[i]])
+
+    pieces = sorted(pieces, reverse=True)
+    place(0, [])
+    return best
+
+
+def sequences_of_large(counts, capacity):
+    """The fewest sequences for the pieces above a third alone: the least goes with the largest if
+    it fits there at all, since then it fits with any other too."""
+    large = sorted(x for x, n in counts.items() for _ in range(n) if 3 * x > capacity)
+    made, low, high = 0, 0, len(large) - 1
+    while low <= high:
+        low += low < high and large[low] + large[high] <= capacity
+        high -= 1
+        made += 1
+    return made
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), max_size=12))
 def test_plan_lays_every_piece_once(counts):
     made = lay_out(counts, 30)
-    least = -(-sum(x * n for x, n in counts.items()) // 30)
-    assert least <= len(made) <= max(least, 1.25 * least + 1, sum(2 * x > 30 for x in made))
+    total = sum(x * n for x, n in counts.items())
+    large = sequences_of_large(counts, 30)
+    assert len(made) >= max(large, -(-total // 30))
+    # A small piece starts a sequence only where all others have under a third of room left.
+    assert len(made) <= max(large, 1.5 * total / 30 + 1)
+    assert len(lay_out({x: n for x, n in counts.items() if 3 * x > 30}, 30)) == large
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=9))
+def test_plan_of_few_pieces_against_all_plans(pieces):
+    made = lay_out(dict(Counter(pieces)), 30)
+    least = least_sequences(pieces, 30)
+    assert least <= len(made) <= least + 1
+    if all(3 * x > 30 for x in pieces):
+        assert len(made) == least
 
 
 def test_large_pieces_are_matched_as_often_as_can_be():
