@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import pieces_of, text_or_empty
+from saleswright.llm.common import kept, pieces_of, text_or_empty
 from saleswright.llm.tokens import encoder
 
 #: Lengths that one group of the running sums spans.
@@ -45,7 +45,10 @@ def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     but for the one over spans: as many rows as the longest document has thousands of tokens.
     """
     length = F.coalesce(F.col(column), F.lit(0)).cast("long")
-    counted = lengths.groupBy(length.alias("length")).agg(F.count("*").alias("n_docs"))
+    # Written, since both the spans and the rows are made of it: the texts are encoded once.
+    counted = kept(
+        lengths.groupBy(length.alias("length")).agg(F.count("*").alias("n_docs")), "lengths"
+    )
     counted = counted.withColumns(
         {"n_tokens": F.col("length") * F.col("n_docs"), "_span": F.expr(f"length div {SPAN}")}
     )
