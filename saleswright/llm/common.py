@@ -38,6 +38,17 @@ def documents(spark: SparkSession, folder: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def stored_row_id() -> Column:
+    """An id of a row read from Parquet files: 16 bytes made of its file and its place there.
+
+    It is the same in every job and however the scan is cut, so that results of several scans can
+    meet on it. ``monotonically_increasing_id()`` is not: Spark cuts files by the number of cores,
+    which can change between two jobs.
+    """
+    place = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return F.unhex(F.md5(place))
+
+
 def kept(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lost executor costs no more than
     the tasks it ran, and what comes after sees one fixed copy."""

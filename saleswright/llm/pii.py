@@ -229,7 +229,8 @@ def find_personal_data(texts: DataFrame) -> DataFrame:
     ``n_card``, ``n_phone``, ``base`` and ``found`` (kind, start, end; in code points, end
     exclusive; by kind as listed, then start). ``found`` are those that patterns add.
 
-    A null text is empty. Repeated rows are rows of their own; ``rid`` numbers them. Counts are
+    A null text is empty. Repeated rows are rows of their own; ``rid`` tells them apart and must be
+    the same in every scan of ``texts``, as that of a written table or ``stored_row_id`` is. Counts are
     of the fixed kinds. Texts that are equal have equal spans.
     """
     rows = texts.select("rid", "doc_id", F.coalesce("text", F.lit("")).alias("text"))

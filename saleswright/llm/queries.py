@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import documents, workers_import_package
+from saleswright.llm.common import documents, stored_row_id, workers_import_package
 from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.hmm_scoring import fold, score_texts
@@ -130,9 +130,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 )
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """All documents against all windows of the benchmark."""
-    texts = documents(spark, folder).select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
-    )
+    texts = documents(spark, folder).select(stored_row_id().alias("rid"), "doc_id", "text")
     found = find_hits(texts, documents(spark, folder, "benchmark"))
     return found.select(
         "doc_id",
@@ -194,9 +192,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' personal data. No SQL: scoring goes in rounds."""
-    texts = documents(spark, folder).select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "text"
-    )
+    texts = documents(spark, folder).select(stored_row_id().alias("rid"), "doc_id", "text")
     found = find_personal_data(texts)
     every = F.concat("base", "found")
     return found.select(

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import texts_of
-from saleswright.llm import pii
+from saleswright.llm import decontamination, pii
+from saleswright.llm.common import kept
 from saleswright.llm.pii import base_spans, find_personal_data, spelled
+from saleswright.llm.queries import QUERIES
 
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -159,3 +161,30 @@ def test_words_before_an_entity(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
     got = sorted((r["rid"], r["start"], r["words"]) for r in base_spans(rows).collect())
     assert [words for *_, words in got] == ["", "card no", "Write  To", "", "x call", "", ""]
+
+
+@pytest.mark.parametrize("name", ["op9_personal_data", "op4_decontamination"])
+def test_results_do_not_follow_how_the_scan_is_cut(spark, set_conf, tmp_path, monkeypatch, name):
+    """As when executors come or go during the query: every written step is followed by a scan
+    that is cut otherwise."""
+    rows = [(i, f"mail user{i}@x.com or 10.0.0.{i} " + "one two three " * (i % 5)) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame([(1, "one two three one two three")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    wanted = sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()))
+    steps = iter(range(100))
+
+    def changing(df, *args):
+        out = kept(df, *args)
+        set_conf(
+            spark__sql__files__minPartitionNum=str([1, 6, 3, 2][next(steps) % 4]),
+            spark__sql__files__openCostInBytes=str([1, 4 << 20][next(steps) % 2]),
+        )
+        return out
+
+    monkeypatch.setattr(pii, "kept", changing)
+    monkeypatch.setattr(decontamination, "kept", changing)
+    assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == wanted
