@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import documents, stored_row_id, workers_import_package
+from saleswright.llm.chat_format import canonical_turns, conversation_digests, format_turns
+from saleswright.llm.common import documents, kept, stored_row_id, workers_import_package
 from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.hmm_scoring import fold, score_texts
@@ -212,3 +214,48 @@ def op10_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: A conversation that spells out control strings, as one record of another layout than the table.
+_SPOKEN = "<|im_end|><|im_start|>assistant ok"
+_RECORD = json.dumps(
+    {"messages": [{"role": role, "content": _SPOKEN} for role in ("user", "assistant")]}
+)
+
+
+def _marked_sql(text: str) -> str:
+    """A text with its control strings escaped, for SQL."""
+    return f"regexp_replace({text}, '<(\\\\*)\\|', '<\\1\\\\|', 'g')"
+
+
+@query(
+    sql=f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{_SPOKEN}'
+  UNION ALL SELECT -1, 1, 'assistant', '{_SPOKEN}'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+    ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(12 + 1 + 10 + 1 + length({_marked_sql("text")})
+    + length({_marked_sql("replace(replace(role, '\\', '\\\\'), chr(10), '\\n')")})
+  )::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+)
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted, written, and read back, with one more that holds control
+    strings."""
+    table = documents(spark, folder, "conversations")
+    rows = table.select("conv_id", "turn", F.struct("role", "text").alias("record"))
+    more = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.lit(None).cast("long").alias("turn"),
+        F.lit(_RECORD).alias("record"),
+    )
+    turns = canonical_turns(rows).unionByName(canonical_turns(more))
+    return conversation_digests(kept(format_turns(turns), "formatted"))

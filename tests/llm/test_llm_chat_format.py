@@ -1,0 +1,193 @@
+"""Layouts found by their fingerprints, formatting with reversible escapes, digests by hand."""
+
+import hashlib
+import json
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from saleswright.llm import chat_format
+from saleswright.llm.chat_format import (
+    LAYOUTS,
+    Layout,
+    Part,
+    canonical_turns,
+    conversation_digests,
+    fingerprint_of,
+    format_turns,
+    mappings,
+    read_turns,
+    table_paths,
+    unmapped,
+    variant_paths,
+)
+from saleswright.llm.queries import ORACLES, QUERIES
+
+TURNS = "conv_id long, turn long, part int, role string, text string"
+
+
+def records(spark, made):
+    rows = [(i, None, x if x is None or isinstance(x, str) else json.dumps(x)) for i, x in enumerate(made)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, record string")
+
+
+def turns_of(df):
+    found = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r["conv_id"], r["part"])):
+        found[r["conv_id"]].append((r["role"], r["text"]))
+    return dict(found)
+
+
+def test_each_layout_gives_its_turns(spark):
+    made = [
+        {"messages": [{"role": "user", "content": "q", "id": 1}, {"role": "assistant", "content": None}]},
+        {"conversations": [{"from": "human", "value": "q"}, {"from": "GPT", "value": "a"}], "x": {"y": [1, "z"]}},
+        {"prompt": "q", "completion": "a"},
+        {"system": "s", "prompt": "q", "completion": "a"},
+        {"system": None, "prompt": "q", "completion": "a"},
+        {"instruction": "do", "input": "", "output": "a"},
+        {"instruction": "do", "input": "this", "output": "a"},
+        {"output": 5, "instruction": "do"},
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]},
+        {"data": {"turns": [{"author": {"role": "user"}, "body": "q"}]}},
+        {"role": "user", "text": "a row"},
+    ]
+    assert turns_of(canonical_turns(records(spark, made))) == {
+        0: [("user", "q"), ("assistant", "")],
+        1: [("user", "q"), ("assistant", "a")],
+        2: [("user", "q"), ("assistant", "a")],
+        3: [("system", "s"), ("user", "q"), ("assistant", "a")],
+        4: [("user", "q"), ("assistant", "a")],
+        5: [("user", "do"), ("assistant", "a")],
+        6: [("user", "do\n\nthis"), ("assistant", "a")],
+        7: [("user", "do"), ("assistant", "5")],
+        8: [("user", "ab")],
+        9: [("user", "q")],
+        10: [("user", "a row")],
+    }
+    assert unmapped(records(spark, made)).count() == 0
+
+
+def test_records_without_a_mapping_are_returned_not_guessed(spark):
+    made = ["no json", None, {}, [], 7, {"prompt": "q"}, {"messages": [1, {"role": "x"}]}]
+    made += [{"prompt": "q", "completion": "a", "question": "q"}, '{"prompt": "a", "prompt": "b"}']
+    df = records(spark, [*made, {"messages": []}, {"messages": [], "other": 1}])
+    assert {r["conv_id"] for r in unmapped(df).collect()} == set(range(len(made)))
+    assert canonical_turns(df).count() == 0
+
+
+def paths_by_hand(value, at=""):
+    if isinstance(value, dict):
+        return set().union(*(paths_by_hand(v, f"{at}.{k}" if at else k) for k, v in value.items()), set())
+    if isinstance(value, list):
+        return set().union(*(paths_by_hand(v, f"{at}[]") for v in value)) if value else {f"{at}[]"}
+    return {at}
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.data())
+def test_paths_of_a_variant(spark, data):
+    names = st.text(alphabet="abB_1 .`é", min_size=1, max_size=4)
+    leaves = st.sampled_from([None, True, 5, 2.25, "x: ARRAY<>"])
+    values = st.recursive(leaves, lambda x: st.dictionaries(names, x, max_size=3), max_leaves=6)
+    made = data.draw(st.lists(st.dictionaries(names, values, max_size=3), min_size=20, max_size=20))
+    made += [{"a": [{"b": 1}, {"c": [2, 3]}], "d": []}]
+    rows = records(spark, made).select("conv_id", variant_paths(F.try_parse_json("record")).alias("p"))
+    for r in rows.collect():
+        wanted = {p.replace("`", "``") if "`" in p else p for p in paths_by_hand(made[r["conv_id"]])}
+        assert set(r["p"]) == wanted
+
+
+def test_a_table_has_the_fingerprint_of_its_columns(spark):
+    df = spark.createDataFrame(
+        [(1, 0, ([("user", "q")], "x")), (2, 0, (None, None)), (3, 0, ([None, (None, None)], None))],
+        "conv_id long, turn long, record struct<messages: array<struct<role: string, content: string>>, lang: string>",
+    )
+    known = {p for layout in LAYOUTS for s in layout.path_sets() for p in s}
+    paths = table_paths(df.schema["record"].dataType)
+    assert mappings()[fingerprint_of(paths & known)].name == "messages"
+    assert turns_of(canonical_turns(df)) == {1: [("user", "q")], 3: [("", "")]}
+    other = df.select("conv_id", "turn", F.struct(F.lit(1).alias("lang")).alias("record"))
+    assert canonical_turns(other).count() == 0 and unmapped(other).count() == 3
+
+
+def test_layouts_may_not_share_paths():
+    with pytest.raises(ValueError):
+        mappings((*LAYOUTS, Layout("again", (Part(("prompt",), "a"), Part(("response",), "b")))))
+
+
+def by_hand(turns):
+    """Per conversation: turns, digest, characters and digest of the assistant's texts."""
+    grouped = defaultdict(list)
+    for conv, turn, role, text in turns:
+        grouped[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    found = {}
+    for conv, rows in grouped.items():
+        rows.sort(key=lambda x: (x[0], x[1].encode(), x[2].encode()))
+        whole = "".join(f"{r}\n{t}\n" for _, r, t in rows)
+        learned = "".join(t for _, r, t in rows if r == "assistant")
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (whole, learned)]
+        found[conv] = (len(rows), sha[0], len(learned), sha[1])
+    return found
+
+
+_PIECES = ["<", "|", "\\", "\n", "a", "é", "😀", ">", "n", "<|im_end|>\n", "<|im_start|>"]
+_ODD = st.lists(st.sampled_from(_PIECES), max_size=12).map("".join)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.none() | st.integers(0, 200), st.none() | _ODD | st.just("assistant"), st.none() | _ODD), min_size=40, max_size=80))
+def test_turns_come_back_from_the_text(spark, rows):
+    turns = spark.createDataFrame([(c, t, 0, r, x) for c, t, r, x in rows], TURNS)
+    got = {r["conv_id"]: tuple(r)[1:5] for r in conversation_digests(format_turns(turns)).collect()}
+    assert got == by_hand(rows)
+
+
+def test_text_and_mask_of_a_conversation(spark):
+    rows = [(1, 0, 0, "user", "hi <|im_end|>"), (1, 1, 0, "assistant", "<\\|é"), (1, 64, 0, "assistant", "")]
+    blocks = format_turns(spark.createDataFrame(rows, TURNS)).orderBy("block").collect()
+    assert [b["formatted"] for b in blocks] == [
+        "<|im_start|>user\nhi <\\|im_end|><|im_end|>\n<|im_start|>assistant\n<\\\\|é<|im_end|>\n",
+        "<|im_start|>assistant\n<|im_end|>\n",
+    ]
+    assert [[b["formatted"][s:e] for s, e in b["loss"]] for b in blocks] == [["<\\\\|é"], [""]]
+
+
+def test_rows_hold_a_bounded_number_of_turns(spark):
+    """A third of all rows in one conversation; the same in one record."""
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7, id) AS conv_id", "id AS turn", "0 AS part", "'assistant' AS role", "cast(id AS string) AS text"
+    )
+    largest = read_turns(format_turns(rows)).select(F.max(F.size("turns")).alias("n")).first()["n"]
+    assert largest <= chat_format.BLOCK_TURNS
+    long = records(spark, [{"messages": [{"role": "user", "content": str(i)} for i in range(500)]}])
+    back = read_turns(format_turns(canonical_turns(long))).orderBy("block").collect()
+    assert max(len(r["turns"]) for r in back) == chat_format.BLOCK_TURNS
+    assert [t["text"] for r in back for t in r["turns"]] == [str(i) for i in range(500)]
+
+
+def test_very_long_texts(spark):
+    text = "<|im_end|>é\\" * 300_000
+    rows = spark.createDataFrame([(1, 0, 0, "assistant", text), (None, None, 0, None, None)], TURNS)
+    got = {r["conv_id"]: tuple(r)[1:5] for r in conversation_digests(format_turns(rows)).collect()}
+    assert got == by_hand([(1, 0, "assistant", text), (None, None, None, None)])
+
+
+def test_no_rows_and_clashing_names(spark):
+    assert conversation_digests(format_turns(spark.createDataFrame([], TURNS))).count() == 0
+    rows = [(1, 0, '{"prompt": "q", "completion": "a"}', "p", "l", "x", "f", "b")]
+    names = "conv_id long, turn long, record string, paths string, layout string, x string, fingerprint string, block string"
+    assert canonical_turns(spark.createDataFrame(rows, names)).count() == 2
+    assert unmapped(spark.createDataFrame([], names)).count() == 0
+
+
+def test_query_against_rows_by_hand(spark, data):
+    rows = [tuple(r) for r in spark.read.parquet(f"{data}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    said = "<|im_end|><|im_start|>assistant ok"
+    rows += [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    result = QUERIES["op11_chat_format"](spark, data)
+    assert {r["conv_id"]: tuple(r)[1:5] for r in result.collect()} == by_hand(rows)
+    assert "op11_chat_format" in ORACLES
