@@ -14,6 +14,7 @@ from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
 from saleswright.llm.hmm_scoring import fold, score_texts
 from saleswright.llm.line_dedup import dedup_lines
+from saleswright.llm.merkle import folded, leaf, merkle_manifest, proof_digest
 from saleswright.llm.packing import pack
 from saleswright.llm.pii import FORMS, find_personal_data, spelled
 from saleswright.llm.simhash_dedup import near_duplicates
@@ -259,3 +260,101 @@ def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = canonical_turns(rows).unionByName(canonical_turns(more))
     return conversation_digests(kept(format_turns(turns), "formatted"))
+
+
+def _leaf_sql(text: str) -> str:
+    """A document's leaf, for SQL: its values, each after its number of bytes."""
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    spelled = [f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values]
+    return f"sha256({' || '.join(spelled)})"
+
+
+def _tree_sql(name: str, keyed: str, levels: int) -> str:
+    """Levels of the trees of ``keyed`` (k, i, h), and each leaf's way up: p, f and s (siblings)."""
+    run = f"{name}_r{{0}} AS MATERIALIZED (SELECT k, i // 3 AS i, list(h ORDER BY i) AS hs, any_value(n) AS n " \
+        f"FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM {name}_l{{0}}) GROUP BY k, i // 3)"
+    up = f"{name}_l{{1}} AS MATERIALIZED (SELECT k, i, CASE WHEN n = 1 THEN hs[1] " \
+        f"ELSE sha256(array_to_string(hs, '')) END AS h FROM {name}_r{{0}})"
+    step = (
+        f"{name}_w{{1}} AS MATERIALIZED (SELECT w.k, w.j, w.p // 3 AS p, "
+        "w.s || array_to_string(hs[1:w.p % 3], '') || array_to_string(hs[w.p % 3 + 2:], '') AS s, "
+        "CASE WHEN n = 1 THEN w.f ELSE sha256(array_to_string(hs[1:w.p % 3], '') || w.f "
+        "|| array_to_string(hs[w.p % 3 + 2:], '')) END AS f "
+        f"FROM {name}_w{{0}} w JOIN {name}_r{{0}} r ON w.k = r.k AND w.p // 3 = r.i)"
+    )
+    parts = [
+        f"{name}_l0 AS MATERIALIZED (SELECT k, i, h FROM {keyed})",
+        f"{name}_w0 AS MATERIALIZED (SELECT k, i AS j, i AS p, '' AS s, f FROM {keyed})",
+    ]
+    for x in range(levels):
+        parts += [t.format(x, x + 1) for t in (run, up, step)]
+    return ",\n".join(parts)
+
+
+#: Levels that the SQL spells out: trees of up to 3 ** 13 leaves.
+_SQL_LEVELS = 13
+
+
+@query(
+    sql=f"""
+WITH docs AS (
+  SELECT *, CASE WHEN doc_id IS NULL THEN false ELSE list_reduce(
+      list_concat([4294967295::BIGINT], flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''),
+        lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END
+    ) % 2 = 1 END AS touched
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '-') AS k, {_leaf_sql("text")} AS h,
+    CASE WHEN touched THEN {_leaf_sql("replace(text, chr(10), '')")}
+      ELSE {_leaf_sql("text")} END AS f
+  FROM docs
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM leaves
+), {_tree_sql("a", "placed", _SQL_LEVELS)}, sources AS (
+  SELECT k AS source, h, h AS f, row_number() OVER (ORDER BY k) - 1 AS i, 0 AS k
+  FROM a_l{_SQL_LEVELS}
+), {_tree_sql("b", "sources", _SQL_LEVELS)}, joined AS (
+  SELECT p.doc_id, p.h AS leaf, x.h AS subroot, t.h AS root, w.s || u.s AS proof, w.f, x.i
+  FROM placed p JOIN a_w{_SQL_LEVELS} w ON p.k = w.k AND p.i = w.j
+  JOIN sources x ON x.source = p.k JOIN b_w{_SQL_LEVELS} u ON u.j = x.i
+  CROSS JOIN b_l{_SQL_LEVELS} t
+), {_tree_sql("c", "(SELECT 0 AS k, i, h, '' AS f FROM sources)", _SQL_LEVELS)}, up0 AS (
+  SELECT *, i AS p, f AS g FROM joined
+), {", ".join(
+    f"up{x + 1} AS MATERIALIZED (SELECT u.* EXCLUDE (p, g), u.p // 3 AS p, CASE WHEN r.n = 1 THEN u.g ELSE "
+    f"sha256(array_to_string(hs[1:u.p % 3], '') || u.g || array_to_string(hs[u.p % 3 + 2:], '')) "
+    f"END AS g FROM up{x} u JOIN c_r{x} r ON u.p // 3 = r.i)" for x in range(_SQL_LEVELS)
+)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, g AS folded_root,
+  g = root AS verified
+FROM up{_SQL_LEVELS}
+"""
+)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in one tree by source; half of them, by a hash, are verified without their
+    line feeds."""
+    docs = documents(spark, folder)
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = leaf(*fields[:-1], F.replace("text", F.lit("\n"), F.lit("")))
+    touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    rows = docs.select(
+        F.col("source").alias("group"),
+        F.col("doc_id").alias("place"),
+        leaf(*fields).alias("leaf"),
+        F.struct("doc_id", F.when(touched, tampered).alias("tampered")).alias("row"),
+    )
+    seen = F.coalesce("row.tampered", "leaf")
+    return (
+        merkle_manifest(rows)
+        .select(
+            "row.doc_id",
+            "leaf",
+            "subroot",
+            "root",
+            proof_digest(F.col("proof")).alias("proof_sha256"),
+            folded(seen, F.col("proof")).alias("folded_root"),
+        )
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+    )
