@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleswright.session import scratch_path
@@ -57,6 +57,37 @@ def kept(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# monotonically_increasing_id() keeps the partition above bit 33, the place in it below.
+_PLACE_BITS = 33
+
+
+def positions(rows: DataFrame, keys: list[str], order: list[Column], label: str) -> DataFrame:
+    """``rows`` with ``idx``, their position among the rows of one key from 0, and ``n``, how many
+    the key has. Keys may not be null.
+
+    The rows are range-partitioned and sorted once and written with partition and place, so that
+    the numbers cannot change, and one hot key spreads over many tasks; only counts per partition
+    and key are added up. Rows that are alike in all of ``order`` are spread by a salt.
+    """
+    names = rows.columns
+    by = [*keys, *order, F.col("_salt")]
+    salted = rows.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    marked = salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("_salt")
+    marked = kept(marked.withColumn("_mark", F.monotonically_increasing_id()), label)
+    marked = marked.withColumn("_part", F.shiftright("_mark", _PLACE_BITS))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = marked.groupBy(*keys, "_part").agg(F.min("_mark").alias("_first"), F.count("*").alias("_n"))
+    runs = runs.select(
+        *keys,
+        "_part",
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("n"),
+    )
+    return marked.join(runs, [*keys, "_part"]).select(
+        *names, (F.col("_mark") + F.col("_shift")).alias("idx"), "n"
+    )
+
+
 def text_or_empty(df: DataFrame) -> Column:
     return F.coalesce(df["text"], F.lit(""))
 

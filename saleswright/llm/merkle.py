@@ -12,16 +12,15 @@ range partition and counts, and blocks are grouped by their number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import kept
+from saleswright.llm.common import kept, positions
 
 ARITY = 3
 #: Levels that a block goes up.
 BLOCK_LEVELS = 6
 _WIDTH = 64
-_PLACE_BITS = 33
 _PROOF = "array<struct<left: string, right: string>>"
 
 
@@ -47,32 +46,9 @@ def group_key(column: Column) -> Column:
 
 
 def _positions(rows: DataFrame) -> DataFrame:
-    """Rows (key, place, digest, row) with ``idx``, their position in the key from 0 by place and
-    digest, and ``n``, the key's rows.
-
-    The rows are range-partitioned and sorted once and written with partition and place, so that
-    the numbers cannot change; only counts per partition and key are added up. Rows that are alike
-    in all are spread by a salt, as any order of theirs gives the same tree.
-    """
-    salt = F.xxhash64(F.monotonically_increasing_id())
-    order = ["key", F.col("place").asc_nulls_first(), "digest", "_salt"]
-    salted = rows.withColumn("_salt", salt)
-    marked = salted.repartitionByRange(*order).sortWithinPartitions(*order).drop("_salt")
-    marked = kept(marked.withColumn("_mark", F.monotonically_increasing_id()), "tree-order")
-    part = F.shiftright("_mark", _PLACE_BITS)
-    marked = marked.withColumn("_part", part)
-    before = Window.partitionBy("key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("key")
-    runs = marked.groupBy("key", "_part").agg(F.min("_mark").alias("_first"), F.count("*").alias("_n"))
-    runs = runs.select(
-        "key",
-        "_part",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(whole).alias("n"),
-    )
-    return marked.join(runs, ["key", "_part"]).select(
-        "key", (F.col("_mark") + F.col("_shift")).alias("idx"), "n", "digest", "row"
-    )
+    """Rows (key, place, digest, row) with their position in the key by place and digest."""
+    order = [F.col("place").asc_nulls_first(), F.col("digest").asc()]
+    return positions(rows, ["key"], order, "tree-order")
 
 
 def _levels(digests: Column, n: Column) -> Column:

@@ -12,6 +12,7 @@ from saleswright.llm.chat_format import canonical_turns, conversation_digests, f
 from saleswright.llm.common import documents, kept, stored_row_id, workers_import_package
 from saleswright.llm.decontamination import find_hits
 from saleswright.llm.exact_dedup import duplicates
+from saleswright.llm.hard_negatives import hard_negatives
 from saleswright.llm.hmm_scoring import fold, score_texts
 from saleswright.llm.line_dedup import dedup_lines
 from saleswright.llm.merkle import folded, leaf, merkle_manifest, proof_digest
@@ -358,3 +359,42 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         )
         .withColumn("verified", F.col("folded_root") == F.col("root"))
     )
+
+
+@query(
+    sql="""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.r <> b.r WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, n.vec_id AS negative_id, positive_score, score AS negative_score,
+  (row_number() OVER (PARTITION BY p.r, positive_id, positive_score
+    ORDER BY score DESC, n.vec_id))::INTEGER AS rank
+FROM p JOIN scored n ON n.r = p.r AND NOT n.same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.r, positive_id, positive_score
+  ORDER BY score DESC, n.vec_id) <= 3
+"""
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth row among all rows."""
+    table = documents(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table.select(
+        "vec_id",
+        F.col("embedding").alias("vector"),
+        moved.alias("label"),
+        (F.col("vec_id") % 50 == 0).alias("anchor"),
+    )
+    return hard_negatives(rows, positives=5, negatives=3, least=50, most=95, scale=256)
