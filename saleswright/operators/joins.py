@@ -2,9 +2,9 @@
 
 Inner joins need nothing here: Spark broadcasts a side that its size estimate shows to be
 small, and otherwise adaptive execution splits a hot partition on either side. It cannot
-split the right side of a left outer, semi or anti join. There the forms below bring a
-right side with many rows per key down to its distinct keys, which partial aggregation
-does before the shuffle.
+split the right side of a left outer, semi or anti join. For semi and anti joins the forms below
+bring a right side with many rows per key down to its distinct keys, which partial aggregation
+does before the shuffle; for an outer join they deal the rows of a hot key over slices.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from saleswright.operators.hot_keys import hot_keys
 
 Keys = list[tuple[str, str]]
 
@@ -63,9 +66,31 @@ def inner(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
 def outer_one_to_many(one: DataFrame, many: DataFrame, keys: Keys) -> DataFrame:
     """``one LEFT JOIN many``; ``keys`` pairs columns of ``one`` with columns of ``many``.
 
-    The matched rows come from an inner join and the others from an anti join, so ``many``
-    may hold any number of rows for one key. Column names of the two must differ.
+    ``many`` may hold any number of rows for one key; column names of the two must differ. Hot
+    values of the key are found by a sketch. Rows of ``many`` that have one are dealt
+    over as many slices as its share asks for, and ``one``'s rows of that value are repeated for
+    each slice. Both tables are read once; without a hot key it is the plain join.
     """
+    left, right = keys[0]
+    hot = hot_keys(many, right)
+    if not hot.counts:
+        return one.join(many, equal_keys(one, many, keys), "left")
+    if len(keys) > 1:
+        return _by_inner_and_anti(one, many, keys)
+    slices = F.sequence(F.lit(0), hot.slices(F.col(left)) - 1)
+    repeated = one.withColumn("_slice", F.explode(slices))
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), hot.slices(F.col(right)))
+    dealt = many.withColumns({"_part": part.cast("int"), "_met": F.lit(True)})
+    sliced = equal_keys(repeated, dealt, keys) & (repeated["_slice"] == dealt["_part"])
+    # A hot value has matches, though perhaps not in every slice: a slice without any is no row.
+    real = F.col("_met").isNotNull() | ~hot.holds(F.col(left))
+    met = repeated.join(dealt, sliced, "left").filter(real)
+    return met.drop("_slice", "_part", "_met")
+
+
+def _by_inner_and_anti(one: DataFrame, many: DataFrame, keys: Keys) -> DataFrame:
+    """The same where a hot value of the first column may still lack a match by the others: matched
+    rows by an inner join, which Spark can split, and the others by an anti join."""
     return inner(one, many, keys).unionByName(
         without_match(one, many, keys), allowMissingColumns=True
     )

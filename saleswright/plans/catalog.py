@@ -5,6 +5,7 @@ from saleswright.plans import (  # noqa: F401
     datasets,
     declared,
     expressions,
+    layouts,
     modifying,
     rows,
     summaries,

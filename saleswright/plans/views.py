@@ -2,8 +2,8 @@
 
 The inputs come under these names: orders (order_id, order_date, customer_id), items (order_id,
 line_id, product_id, quantity, unit_price) and products (product_id, product_name). The price is
-the line's own. Totals need no more of a product than that there is one: lines are summed per
-product and period or customer first, and only the sums meet the products.
+the line's own. Totals need no more of a product than that there is one. For a year, lines are
+summed per product first and only the sums meet the products.
 """
 
 from __future__ import annotations
@@ -67,11 +67,13 @@ def _named(keys: dict[str, Column]) -> list[Column]:
 
 
 def sales_by_month(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    keys = {"y": F.year("order_date"), "m": F.month("order_date")}
+    """Lines meet the products' keys and are summed once: a product sells too seldom in a month for
+    sums per product to be fewer than its lines."""
     return (
-        _summed(orders, items, products, keys)
+        sales_lines(orders, items, products.select("product_id"))
+        .select(F.year("order_date").alias("y"), F.month("order_date").alias("m"), line_sale())
         .groupBy("y", "m")
-        .agg(F.sum("_total").cast("decimal(38,2)").alias("sales_month"))
+        .agg(F.sum("sales").cast("decimal(38,2)").alias("sales_month"))
     )
 
 

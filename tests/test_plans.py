@@ -201,11 +201,31 @@ def test_matches_of_rows_split_the_hot_key(hot_tables, cluster_like, form):
 
 def test_outer_join_splits_the_hot_key_where_the_plain_form_cannot(hot_tables, cluster_like):
     child, parent = hot_tables
-    rows, text = final_plan(outer_one_to_many(parent, child, [("pk", "fk")]))
-    assert "skew=true" in text
-    plain, plain_text = final_plan(parent.join(child, F.col("pk") == F.col("fk"), "left"))
-    assert "skew=true" not in plain_text
-    assert pairs(rows) == pairs(plain)
+    joined = outer_one_to_many(parent, child, [("pk", "fk")])
+    rows, text = final_plan(joined)
+    final = text.split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 2 and final.count("Exchange hashpartitioning") == 2
+    assert re.search(r"Exchange hashpartitioning\(fk#\d+L, _part#\d+", final)
+    plain = parent.join(child, F.col("pk") == F.col("fk"), "left")
+    assert pairs(rows) == pairs(plain.collect())
+    sizes = [
+        max(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        for df in (joined, plain)
+    ]
+    assert sizes[0] < 30000 / 6 and sizes[1] >= 10000
+
+
+def test_outer_join_without_a_hot_key_is_the_plain_join(hot_tables, cluster_like):
+    child, parent = hot_tables
+    even = child.filter(f"fk <> {HOT}")
+    rows, text = final_plan(outer_one_to_many(parent, even, [("pk", "fk")]))
+    assert "_part" not in text and text.split("Initial Plan")[0].count("Scan parquet") == 2
+    assert pairs(rows) == pairs(parent.join(even, F.col("pk") == F.col("fk"), "left").collect())
+
+
+def test_outer_join_reads_each_table_once(spark, data, cluster_like):
+    text = final_plan(QUERIES["join_left"](spark, data))[1].split("Initial Plan")[0]
+    assert text.count("Scan parquet") == 2
 
 
 def test_outer_where_null_equals_the_plain_form(hot_tables, cluster_like):

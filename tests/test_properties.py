@@ -1,17 +1,21 @@
 """The rewritten joins and aggregates against their plain forms, on random rows."""
 
+from collections import Counter
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from saleswright.operators import joins
 from saleswright.operators.aggregates import (
     count_per_parent,
     joined_in_parts,
     mean_per_name_between,
     total_per_name,
 )
+from saleswright.operators.hot_keys import HotKeys
 from saleswright.operators.joins import (
     outer_one_to_many,
     outer_where_null,
@@ -47,6 +51,20 @@ def same(left, right):
     assert rows(left) == rows(right)
 
 
+@some_examples
+@given(parents, facts, st.integers(1, 3))
+def test_outer_join_with_slices(spark, parent_rows, fact_rows, share):
+    """Every key counts as hot from one row on, or from a share of the rows."""
+    parent, fact = frames(spark, parent_rows, fact_rows)
+    counts = Counter(k for k, _ in fact_rows if k is not None)
+    rows = sum(counts.values())
+    hot = HotKeys(rows, {k: n for k, n in counts.items() if n * share >= rows})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(joins, "hot_keys", lambda df, column: hot)
+        found = outer_one_to_many(parent, fact, [("pk", "fk")])
+    same(found, parent.join(fact, F.col("pk") == F.col("fk"), "left"))
+
+
 @some_examples
 @given(parents, facts)
 def test_joins(spark, parent_rows, fact_rows):
