@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from saleswright.operators.changes import (
-    delete_rows,
+    Statement,
+    content_folder,
+    current_location,
+    read_statement,
     run_change,
+    same_place,
     set_table_property,
+    statement_path,
     table_property,
 )
 from saleswright.operators.numbering import assign_ids
+from saleswright.operators.rules import TableRules
 from saleswright.session import scratch_path
 from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, TableSpec, complete_rows
 from saleswright.sources.tables import RUN, quoted_name, write_run
@@ -52,8 +57,9 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def snapshot_log(old: DataFrame, new: DataFrame, key: str, stamp: Column) -> DataFrame:
     """The log of a change that something else made, from the table before and after it.
 
-    A change of one's own knows its rows: see ``Statement``. Here a key only in ``new`` was inserted and one only in ``old`` was deleted. A row whose other
-    columns changed is an update, which is not logged; nor is a row that replaces one of its key.
+    A change of one's own knows its rows: see ``Statement``. Here a key only in ``new`` was
+    inserted and one only in ``old`` was deleted. A row whose other columns changed is an update,
+    which is not logged; nor is a row that replaces one of its key.
 
     Only keys are shuffled to find the changes. They are written to the shared folder, so that
     their size is known when the rows are fetched: few changes are broadcast, and the
@@ -81,65 +87,28 @@ def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
     return complete_rows(assign_ids(rows, existing, AUDIT.key, order), AUDIT.schema)
 
 
-@dataclass
-class Statement:
-    """What a change makes of a table: its new content, and the rows it inserted and deleted."""
-
-    content: DataFrame
-    inserted: DataFrame
-    deleted: DataFrame
-
-
-def inserting(old: DataFrame, rows: DataFrame, spec: TableSpec | None = None) -> Statement:
+def inserting(
+    old: DataFrame | Statement, rows: DataFrame, spec: TableSpec | None = None
+) -> Statement:
     """INSERT: all the rows are logged, whatever their keys."""
-    added = complete_rows(rows, old.schema, spec.defaults if spec else None)
-    return Statement(old.unionByName(added), added, old.limit(0))
+    return Statement.of(old).insert(rows, spec.defaults if spec else None)
 
 
-def deleting(old: DataFrame, where: Column) -> Statement:
+def deleting(old: DataFrame | Statement, where: Column) -> Statement:
     """DELETE: the rows that the condition selects are logged."""
-    return Statement(delete_rows(old, where), old.limit(0), old.filter(where))
-
-
-def both(first: Statement, then: Callable[[DataFrame], Statement]) -> Statement:
-    """One change of two statements, each logged by its own rows."""
-    second = then(first.content)
-    return Statement(
-        second.content,
-        first.inserted.unionByName(second.inserted),
-        first.deleted.unionByName(second.deleted),
-    )
+    return Statement.of(old).delete(where)
 
 
-@dataclass
-class AuditSwitch:
-    """Which tables are audited: all of them, until some or all are switched off."""
+def updating(
+    old: DataFrame | Statement, values: dict[str, Column], where: Column | None = None
+) -> Statement:
+    """UPDATE: not logged, but its rows are checked against the rules."""
+    return Statement.of(old).update(values, where)
 
-    default: bool = True
-    others: set[str] = field(default_factory=set)
 
-    def disable(self, table: str) -> None:
-        self._set(table, False)
-
-    def enable(self, table: str) -> None:
-        self._set(table, True)
-
-    def disable_all(self) -> None:
-        self.default = False
-        self.others.clear()
-
-    def enable_all(self) -> None:
-        self.default = True
-        self.others.clear()
-
-    def is_on(self, table: str) -> bool:
-        return self.default != (table in self.others)
-
-    def _set(self, table: str, on: bool) -> None:
-        if on == self.default:
-            self.others.discard(table)
-        else:
-            self.others.add(table)
+def both(first: Statement, then: Callable[[Statement], Statement]) -> Statement:
+    """One change of two statements, each logged by its own rows."""
+    return then(first)
 
 
 class TableSwitch:
@@ -172,7 +141,7 @@ class TableSwitch:
         return table_property(self.spark, table, self.PROPERTY) != "off"
 
 
-def logged(log: DataFrame, switch: AuditSwitch, table: str) -> DataFrame:
+def logged(log: DataFrame, switch: TableSwitch, table: str) -> DataFrame:
     """The log of a change, or no rows if the table's audit is switched off just now."""
     return log if switch.is_on(table) else log.limit(0)
 
@@ -204,31 +173,30 @@ def run_audited_change(
     key: str,
     log_base: str,
     stamp: Column,
-    switch: AuditSwitch | TableSwitch,
+    switch: TableSwitch,
     previous: str | None = None,
     shape: Callable[[DataFrame], DataFrame] | None = None,
+    rules: TableRules | None = None,
 ) -> DataFrame:
     """Change a table, then log the change under the same run.
 
-    A change that returns a ``Statement`` is logged by the rows it names; of one that returns the
-    new content alone, the snapshots are compared by ``key``. ``shape`` makes stored rows of log
-    rows, such as those of the audit table.
+    A change that returns a ``Statement`` is logged by the rows it has written; of one that returns
+    the new content alone, the snapshots are compared by ``key``. ``change`` is called once, and not
+    at all if the run is already committed. ``shape`` makes stored rows of log rows, such as those of
+    the audit table. ``rules`` are checked before the commit.
 
     Whether the run is logged is decided when it commits, and noted with the commit. A run that
     failed in between can be repeated: it finds the change done and does as was decided.
     """
-
-    def content(old: DataFrame) -> DataFrame:
-        made = change(old)
-        return made.content if isinstance(made, Statement) else made
-
     yes, no = f"yes: {run}", f"no: {run}"
     decision = yes if switch.is_on(table) else no
-    old, new = run_change(spark, table, base, run, content, previous, {RUN_AUDITED: decision})
+    notes = {RUN_AUDITED: decision}
+    old, new = run_change(spark, table, base, run, change, previous, notes, rules)
     noted = table_property(spark, table, RUN_AUDITED)
     if (noted if noted in (yes, no) else decision) == yes:
-        made = change(old)
-        if isinstance(made, Statement):
+        path = statement_path(base, run)
+        if same_place(current_location(spark, table), content_folder(path)):
+            made = read_statement(spark, path, old.schema)
             log = row_sets_log(made.inserted, made.deleted, stamp)
         else:
             log = snapshot_log(old, new, key, stamp)

@@ -3,6 +3,10 @@
 Each operator takes a table and returns the changed table. ``run_change`` writes the result
 beside the old one and then moves the table to it; a run that fails before that has
 changed nothing.
+
+A ``Statement`` is a change that also knows its rows: those it inserts, deletes, and updates, before
+and after. Content and row sets are one DataFrame, evaluated and written once, so they always agree;
+rules are then checked on the rows that changed, and the audit log is made of them.
 """
 
 from __future__ import annotations
@@ -12,7 +16,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from saleswright.operators.rules import TableRules
 from saleswright.sources.schemas import complete_rows, require_schema
 from saleswright.sources.tables import quoted_name
 
@@ -65,6 +71,107 @@ def delete_through_view(df: DataFrame, view: Column, where: Column | None = None
     return delete_rows(df, view if where is None else view & where)
 
 
+# --- statements -----------------------------------------------------------------------
+
+ROW_SET = "row_set"
+#: The row sets of a statement: what the table holds after it, and the rows it changed.
+CONTENT, INSERTED, DELETED, BEFORE, AFTER = "content", "inserted", "deleted", "before", "after"
+
+
+class Statement:
+    """What a change makes of a table, as rows marked with the set they belong to.
+
+    ``insert``, ``update`` and ``delete`` can follow one another; each sees the content that the
+    ones before have left, and adds its rows to the sets.
+    """
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows = rows
+        self.columns = [c for c in rows.columns if c != ROW_SET]
+
+    @staticmethod
+    def of(table: DataFrame | Statement) -> Statement:
+        """A statement that has changed nothing yet."""
+        if isinstance(table, Statement):
+            return table
+        return Statement(table.withColumn(ROW_SET, F.lit(CONTENT)))
+
+    def insert(self, rows: DataFrame, defaults: dict[str, object] | None = None) -> Statement:
+        """INSERT: columns left out take their defaults, or NULL."""
+        added = complete_rows(rows, self.rows.select(*self.columns).schema, defaults)
+        sets = F.explode(F.array(F.lit(CONTENT), F.lit(INSERTED)))
+        return Statement(self.rows.unionByName(added.withColumn(ROW_SET, sets)))
+
+    def update(self, values: dict[str, Column], where: Column | None = None) -> Statement:
+        """UPDATE as ``update_rows`` does it."""
+        hit = self._in_content(F.lit(True) if where is None else where)
+        old = F.struct(*[F.col(c) for c in self.columns])
+        kinds = StructType([StructField(c, self.rows.schema[c].dataType) for c in self.columns])
+        unknown = [name for name in values if name not in self.columns]
+        if unknown:
+            raise ValueError(f"columns not in the table: {unknown}")
+        new = F.struct(
+            *[values[c].cast(kinds[c].dataType).alias(c) if c in values else F.col(c) for c in self.columns]
+        )
+
+        def entry(name: Column, row: Column) -> Column:
+            return F.struct(name.alias("set"), row.cast(kinds).alias("row"))
+
+        made = [(CONTENT, new), (BEFORE, old), (AFTER, new)]
+        changed = F.array(*[entry(F.lit(name), row) for name, row in made])
+        entries = F.when(hit, changed).otherwise(F.array(entry(F.col(ROW_SET), old)))
+        each = self.rows.select(F.explode(entries).alias("e"))
+        return Statement(each.select("e.row.*", F.col("e.set").alias(ROW_SET)))
+
+    def delete(self, where: Column | None = None) -> Statement:
+        """DELETE of the rows where ``where`` is TRUE, or of all."""
+        hit = self._in_content(F.lit(True) if where is None else where)
+        moved = F.when(hit, F.lit(DELETED)).otherwise(F.col(ROW_SET))
+        return Statement(self.rows.withColumn(ROW_SET, moved))
+
+    def without(self, *columns: str) -> Statement:
+        """Without columns that only a condition needed."""
+        return Statement(self.rows.drop(*columns))
+
+    def row_set(self, name: str) -> DataFrame:
+        return self.rows.filter(F.col(ROW_SET) == name).select(*self.columns)
+
+    @property
+    def content(self) -> DataFrame:
+        return self.row_set(CONTENT)
+
+    @property
+    def inserted(self) -> DataFrame:
+        return self.row_set(INSERTED)
+
+    @property
+    def deleted(self) -> DataFrame:
+        return self.row_set(DELETED)
+
+    def written(self, path: str) -> Statement:
+        """The same, written once to ``path`` with a folder for each set."""
+        spark, schema = self.rows.sparkSession, self.rows.schema
+        self.rows.write.mode("overwrite").partitionBy(ROW_SET).parquet(path)
+        # The content is read by its own folder, which must be there even without rows.
+        plain = StructType([StructField(c, schema[c].dataType) for c in self.columns])
+        spark.createDataFrame([], plain).write.mode("append").parquet(content_folder(path))
+        return Statement(spark.read.schema(schema).parquet(path))
+
+    def _in_content(self, where: Column) -> Column:
+        return (F.col(ROW_SET) == CONTENT) & selected(where)
+
+
+def content_folder(path: str) -> str:
+    return f"{path}/{ROW_SET}={CONTENT}"
+
+
+def read_statement(spark: SparkSession, path: str, schema: StructType) -> Statement:
+    """A statement that ``written`` has left at ``path``, over a table with ``schema``."""
+    return Statement(
+        spark.read.schema(StructType([*schema.fields, StructField(ROW_SET, StringType())])).parquet(path)
+    )
+
+
 # --- publishing -----------------------------------------------------------------------
 
 PREVIOUS = "previous_snapshot"
@@ -95,7 +202,7 @@ def _previous_location(spark: SparkSession, table: str) -> str:
     return table_property(spark, table, PREVIOUS)
 
 
-def _same_place(one: str, other: str) -> bool:
+def same_place(one: str, other: str) -> bool:
     a, b = urlparse(one), urlparse(other)
     return (a.netloc, a.path.rstrip("/")) == (b.netloc, b.path.rstrip("/"))
 
@@ -121,7 +228,7 @@ def publish(
     noted = {PREVIOUS: previous, **(notes or {})}
     note = f"TBLPROPERTIES ({', '.join(f'{_text(k)} = {_text(v)}' for k, v in noted.items())})"
     current = current_location(spark, table)
-    if current and not _same_place(current, previous):
+    if current and not same_place(current, previous):
         raise ValueError(f"{table} has moved on to {current}")
     if current:
         spark.sql(f"ALTER TABLE {name} SET {note}")
@@ -131,14 +238,20 @@ def publish(
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_text(location)} {note}")
 
 
+def statement_path(base: str, run: str) -> str:
+    """Where a run writes the row sets of its statement."""
+    return f"{base}/statement-{run}"
+
+
 def run_change(
     spark: SparkSession,
     table: str,
     base: str,
     run: str,
-    change: Callable[[DataFrame], DataFrame],
+    change: Callable[[DataFrame], DataFrame | Statement],
     previous: str | None = None,
     notes: dict[str, str] | None = None,
+    rules: TableRules | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Change a table in one repeatable run, and return its old and new content.
 
@@ -146,21 +259,36 @@ def run_change(
     changed rows to its own folder; moving the table there is the commit. A run that is
     already committed is not done again. A table that another run has moved on from
     ``previous`` is left alone.
+
+    ``rules`` are checked before the commit, and a broken one ends the run: those of a
+    ``Statement`` on the rows it changed, those of any other change on its whole result.
     """
-    location = f"{base}/snapshot-{run}"
-    if previous and _same_place(location, previous):
+    places = [f"{base}/snapshot-{run}", content_folder(statement_path(base, run))]
+    if previous and any(same_place(place, previous) for place in places):
         raise ValueError(f"run {run!r} would overwrite the snapshot it reads")
     current = current_location(spark, table)
-    if current and _same_place(current, location):
+    done = [place for place in places if current and same_place(current, place)]
+    if done:
+        location = done[0]
         previous = _previous_location(spark, table)
     else:
-        if current and previous and not _same_place(current, previous):
+        if current and previous and not same_place(current, previous):
             raise ValueError(f"{table} has moved on to {current}")
         previous = previous or current
         if previous is None:
             raise ValueError(f"there is no table {table}, so the first snapshot must be given")
         old = spark.read.parquet(previous)
-        new = require_schema(change(old), old.schema)
-        new.write.mode("overwrite").parquet(location)
+        made = change(old)
+        if isinstance(made, Statement):
+            location = places[1]
+            require_schema(made.content, old.schema)
+            made = made.written(statement_path(base, run))
+            if rules:
+                rules.require(rules.faults_of(made))
+        else:
+            location = places[0]
+            require_schema(made, old.schema).write.mode("overwrite").parquet(location)
+            if rules:
+                rules.require(rules.faults_between(old, spark.read.parquet(location)))
         publish(spark, table, location, previous, notes)
     return spark.read.parquet(previous), spark.read.parquet(location)

@@ -2,6 +2,7 @@
 
 from saleswright.plans import (  # noqa: F401
     combining,
+    constrained,
     datasets,
     declared,
     expressions,

@@ -100,6 +100,13 @@ def _as_sql() -> str:
 
 
 _WITH = _as_sql()
+
+
+def declared_sql(text: str) -> str:
+    """SQL over the tables under the declared schemas, each named ``the_`` and its name."""
+    return _WITH + text
+
+
 _PLACE = "FirstName, LastName, City, Country"
 _MET = "the_Order o JOIN the_Customer c ON CustomerId = c.Id"
 _OPEN = "the_Customer c LEFT JOIN the_Order o ON CustomerId = c.Id"

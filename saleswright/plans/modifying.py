@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from saleswright.functions.scalar import money
 from saleswright.operators.audit import (
-    AuditSwitch,
-    Statement,
     TableSwitch,
     append_log,
     both,
     deleting,
     inserting,
-    logged,
     product_audit,
     product_log,
     read_log,
@@ -25,6 +22,7 @@ from saleswright.operators.audit import (
     snapshot_log,
 )
 from saleswright.operators.changes import (
+    Statement,
     delete_rows,
     delete_through_view,
     insert_rows,
@@ -236,22 +234,6 @@ def audit_schema(spark: SparkSession, folder: str) -> DataFrame:
     return product_audit(log, none)
 
 
-@query("SELECT p_partkey, 'INS' AS operation FROM part WHERE p_size > 20")
-def audit_switch(spark: SparkSession, folder: str) -> DataFrame:
-    """Two batches of inserts; the audit is switched off for the first one."""
-    part = read_table(spark, folder, "part")
-    switch = AuditSwitch()
-    logs = []
-    for batch, audited in (("p_size <= 20", False), ("p_size > 20", True)):
-        if audited:
-            switch.enable("part")
-        else:
-            switch.disable("part")
-        log = row_sets_log(part.filter(batch), part.limit(0), _stamp())
-        logs.append(logged(log, switch, "part"))
-    return logs[0].unionByName(logs[1]).select("p_partkey", "operation")
-
-
 @query(
     """
     SELECT p_partkey, CASE WHEN p_size > 25 THEN 'INS' ELSE 'DEL' END AS operation FROM part
@@ -351,6 +333,29 @@ def audited_change(spark: SparkSession, folder: str) -> DataFrame:
     return read_log(spark, log, AUDIT.schema)
 
 
+@query("SELECT p_partkey, 'INS' AS operation FROM part WHERE p_size > 20")
+def audit_switch(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs of inserts into an empty table; its audit is switched off during the first one, by a
+    property that stays with the table."""
+    base = scratch_path(spark, "switched")
+    name = base.rsplit("/", 1)[1].replace("-", "_")
+    products = _as_products(spark, folder)
+    products.limit(0).write.parquet(f"{base}/first")
+    run_change(spark, name, base, "0", lambda old: old, f"{base}/first")
+    switch, log = TableSwitch(spark), f"{base}/log"
+    switch.disable(name)
+    for run, batch in (("1", "SupplierId <= 20"), ("2", "SupplierId > 20")):
+        run_audited_change(
+            spark, name, base, run, lambda old, b=batch: inserting(old, products.filter(b)), "Id",
+            log, _stamp(), switch, shape=product_log(spark, log, run),
+        )
+        switch.enable(name)
+    drop_table(spark, name)
+    return read_log(spark, log, AUDIT.schema).select(
+        F.col("productid").alias("p_partkey"), "operation"
+    )
+
+
 @query(f"""SELECT * REPLACE ("SupplierId" + 1 AS "SupplierId") FROM ({_PRODUCTS})""")
 def update_published(spark: SparkSession, folder: str) -> DataFrame:
     """A published table after an update of all its rows."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import D, as_set, frame, plan, small_sales, tuples
 from saleswright.operators.audit import (
-    AuditSwitch,
+    TableSwitch,
     append_log,
     logged,
     read_log,
@@ -294,22 +294,21 @@ def test_replaying_the_log_gives_the_new_keys(spark, old, new):
     assert keys == new
 
 
-def test_the_switch(spark):
+def test_the_switch(spark, published):
+    name, _ = published
     product = small_sales(spark).product
     log = row_sets_log(product, product.limit(0), stamp())
-    switch = AuditSwitch()
-    assert logged(log, switch, "product").count() == 5
-    switch.disable("product")
-    assert logged(log, switch, "product").count() == 0
+    switch = TableSwitch(spark)
+    assert logged(log, switch, name).count() == 5
+    switch.disable(name)
+    assert logged(log, TableSwitch(spark), name).count() == 0
     assert logged(log, switch, "order").count() == 5
-    switch.enable("product")
-    assert switch.is_on("product")
-    switch.disable_all()
-    assert not switch.is_on("product") and not switch.is_on("order")
-    switch.enable("product")
-    assert switch.is_on("product") and not switch.is_on("order")
-    switch.enable_all()
-    assert switch.is_on("product") and switch.is_on("order")
+    switch.enable(name)
+    assert switch.is_on(name)
+    switch.disable_all([name])
+    assert not switch.is_on(name)
+    switch.enable_all([name])
+    assert switch.is_on(name)
 
 
 def test_log_files_are_read_by_operation(spark, tmp_path):
@@ -329,7 +328,7 @@ def test_log_files_are_read_by_operation(spark, tmp_path):
 def test_a_change_and_its_log_can_be_repeated(spark, published):
     name, base = published
     log_base = f"{base}/log"
-    switch = AuditSwitch()
+    switch = TableSwitch(spark)
     row = spark.sql(
         "SELECT 9 AS Id, 'PRODUCT X' AS ProductName, 1 AS SupplierId, 1240 AS UnitPrice,"
         " '1' AS Package, 0 AS IsDiscontinued"
