@@ -78,11 +78,16 @@ def snapshot_log(old: DataFrame, new: DataFrame, key: str, stamp: Column) -> Dat
     return row_sets_log(rows(new, INSERTED), rows(old, DELETED), stamp)
 
 
-def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
-    """A log of product rows under the audit table's schema, with ids above the existing ones."""
-    rows = log.withColumnsRenamed(
+def product_columns(log: DataFrame) -> DataFrame:
+    """A log of product rows under the audit table's names."""
+    return log.withColumnsRenamed(
         {"Id": "productid", "ProductName": "productname", "Package": "package"}
     )
+
+
+def product_audit(log: DataFrame, existing: DataFrame) -> DataFrame:
+    """A log of product rows under the audit table's schema, with ids above the existing ones."""
+    rows = product_columns(log)
     order = [F.asc("productid"), F.asc(OPERATION)]
     return complete_rows(assign_ids(rows, existing, AUDIT.key, order), AUDIT.schema)
 

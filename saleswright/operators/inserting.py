@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from saleswright.operators.numbering import assign_ids
+from saleswright.operators.key_ranges import with_reserved_keys
 from saleswright.operators.quality import broken_references, duplicate_keys, fault_counts
 from saleswright.session import scratch_path
 from saleswright.sources.schemas import TableSpec, complete_rows
@@ -14,13 +14,20 @@ from saleswright.sources.tables import RUN, read_runs, write_run
 
 
 def new_rows(
-    rows: DataFrame, existing: DataFrame, spec: TableSpec, order: list[Column]
+    rows: DataFrame,
+    existing: DataFrame,
+    spec: TableSpec,
+    order: list[Column],
+    base: str,
+    run: str,
 ) -> DataFrame:
-    """Rows under the declared schema: a key left out is given, above the highest of
-    ``existing`` and in ``order`` (which ends in a unique column), and any other column left out
-    takes its default, or NULL. Keys that come with the rows are kept."""
+    """Rows under the declared schema: a key left out is given, from a range that the run reserves
+    above the highest of ``existing``, in ``order`` (which ends in a unique column), and any other
+    column left out takes its default, or NULL. Keys that come with the rows are kept."""
     if spec.key not in rows.columns:
-        rows = assign_ids(rows, existing, spec.key, order)
+        rows = with_reserved_keys(
+            rows, base, run, spec.key, order, lambda: existing.agg(F.max(spec.key)).first()[0] or 0
+        )
     return complete_rows(rows, spec.schema, spec.defaults)
 
 
@@ -60,13 +67,13 @@ def insert_run(
     No row that is there already is read in full or written again: the highest key and the keys
     that the new rows bring are looked up, and the new rows become a run of their own. Rows that
     break a rule stop the run before anything is appended. A run that is repeated replaces
-    itself, with the same keys as long as no later run is there. One writer per table.
+    itself, with the same keys whatever runs came later. One writer per table.
     """
     with_run = StructType([*spec.schema.fields, StructField(RUN, StringType())])
     stored = spark.read.schema(with_run).parquet(base)
     others = stored.filter(F.col(RUN) != run).select(*spec.schema.names)
     prepared = scratch_path(spark, "insert")
-    new_rows(rows, others, spec, order).write.parquet(prepared)
+    new_rows(rows, others, spec, order, base, run).write.parquet(prepared)
     ready = spark.read.schema(spec.schema).parquet(prepared)
     faults = rule_faults(ready, others, spec, parents or {}).collect()  # one row per rule
     if faults:

@@ -43,7 +43,7 @@ from saleswright.plans.registry import query
 from saleswright.session import scratch_path
 from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, PRODUCT, complete_rows
 from saleswright.sources.tables import drop_table, load_rows, read_table
-from saleswright.streaming.audit_stream import audit_rows, read_changes, start_audit
+from saleswright.streaming.audit_stream import audit_rows, read_changes, start_product_audit
 
 # --- row changes ----------------------------------------------------------------------
 
@@ -441,17 +441,29 @@ def check_domain(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, CASE WHEN event_type = 'error' THEN 'DEL' ELSE 'INS' END AS operation
-    FROM events
+    SELECT row_number() OVER (ORDER BY productid, operation) AS id, * FROM (
+        SELECT event_id AS productid, event_type AS productname, user_id AS "SupplierId",
+               CAST(value AS DECIMAL(12,2)) AS "UnitPrice", props AS package,
+               value > 10 AS "IsDiscontinued", TIMESTAMP '2024-05-06 07:08:09' AS updatedat,
+               CASE WHEN event_type = 'error' THEN 'DEL' ELSE 'INS' END AS operation
+        FROM events)
     """
 )
 def stream_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as change rows, read as a stream into a log, and the log read back."""
+    """The events as change rows of products, read as a stream into the audit table."""
     events = read_table(spark, folder, "events")
     # A pattern, as a stream takes a folder or a pattern but not the path of one file.
     changes = read_changes(spark, f"{folder}/{{events.parquet}}", events.schema)
-    operation = F.when(F.col("event_type") == "error", DELETED).otherwise(INSERTED)
-    rows = audit_rows(changes.select("event_id", "event_type"), operation, _stamp())
+    products = changes.select(
+        F.col("event_id").alias("Id"),
+        F.col("event_type").alias("ProductName"),
+        F.col("user_id").alias("SupplierId"),
+        money("value").alias("UnitPrice"),
+        F.col("props").alias("Package"),
+        (F.col("value") > 10).alias("IsDiscontinued"),
+    )
+    operation = F.when(F.col("ProductName") == "error", DELETED).otherwise(INSERTED)
     log = scratch_path(spark, "event-audit")
-    start_audit(rows, log, f"{log}-checkpoint").awaitTermination()
-    return spark.read.parquet(log).select("event_id", "operation")
+    rows = audit_rows(products, operation, _stamp())
+    start_product_audit(rows, log, f"{log}-checkpoint").awaitTermination()
+    return read_log(spark, log, AUDIT.schema)

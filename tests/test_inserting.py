@@ -24,6 +24,7 @@ from saleswright.operators.changes import (
     table_property,
 )
 from saleswright.operators.inserting import insert_run
+from saleswright.operators.key_ranges import read_ranges
 from saleswright.operators.joins import rows_with_match, rows_without_match
 from saleswright.sources.schemas import AUDIT, PRODUCT
 from saleswright.sources.tables import drop_table, load_rows
@@ -62,6 +63,28 @@ def test_keys_and_defaults_are_given(spark, stored):
     assert insert(spark, stored, "2", [("c", 3)]).agg(F.max("Id")).first()[0] == 8
 
 
+def test_a_repeated_run_keeps_its_keys_after_a_later_one(spark, stored):
+    insert(spark, stored, "1", [("a", 1)])
+    insert(spark, stored, "2", [("c", 2), ("b", 1)])
+    table = sorted(tuples(insert(spark, stored, "3", [("d", 3), ("e", 1), ("f", 1)])))
+    assert [row[:2] for row in table[-6:]] == [(6, "a"), (7, "b"), (8, "c"), (9, "d"), (10, "e"), (11, "f")]
+    assert sorted(tuples(insert(spark, stored, "2", [("c", 2), ("b", 1)]))) == table
+    assert sorted(tuples(insert(spark, stored, "1", [("a", 1)]))) == table
+
+
+def test_a_range_that_a_failed_run_reserved_is_its_own(spark, stored):
+    with pytest.raises(ValueError, match="FK_PRODUCT"):
+        insert(spark, stored, "1", [("a", 1), ("b", 99)])
+    assert sorted(r["Id"] for r in insert(spark, stored, "2", [("c", 1)]).collect())[-1] == 8
+    mended = insert(spark, stored, "1", [("a", 1), ("b", 2)])
+    assert {r["Id"]: r["ProductName"] for r in mended.filter("Id > 5").collect()} == {6: "a", 7: "b", 8: "c"}
+    # More rows than were reserved need a range of their own.
+    more = insert(spark, stored, "1", [("a", 1), ("b", 2), ("x", 2)])
+    assert sorted(r["Id"] for r in more.filter("Id > 5").collect()) == [8, 9, 10, 11]
+    ranges = read_ranges(spark, stored[0]).collect()
+    assert sorted((r["run_id"], r["first_key"], r["n_keys"]) for r in ranges) == [("1", 9, 3), ("2", 8, 1)]
+
+
 @pytest.mark.parametrize(
     "rows, columns, message",
     [
