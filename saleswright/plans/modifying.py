@@ -32,6 +32,11 @@ from saleswright.operators.changes import (
 )
 from saleswright.operators.inserting import insert_run
 from saleswright.operators.numbering import assign_ids
+from saleswright.operators.partitioned import (
+    create_partitioned,
+    read_partitioned,
+    run_partition_change,
+)
 from saleswright.operators.quality import (
     duplicate_keys,
     null_counts,
@@ -366,6 +371,34 @@ def update_published(spark: SparkSession, folder: str) -> DataFrame:
     return new
 
 
+@query(
+    f"""
+    SELECT * REPLACE (CASE WHEN "Id" BETWEEN 91 AND 300 THEN 'moved' ELSE "Package" END AS "Package")
+    FROM ({_PRODUCTS}) WHERE NOT "Id" BETWEEN 79 AND 90
+    UNION ALL
+    SELECT CAST(100000000 + s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT),
+           CAST(NULL AS DECIMAL(12,2)), NULL, NULL FROM supplier
+    """
+)
+def update_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Products in partitions of 100 keys after a delete, an update and an insert, each a run of its
+    own that leaves all other partitions where they are."""
+    base = scratch_path(spark, "partitions")
+    name = base.rsplit("/", 1)[1].replace("-", "_")
+    create_partitioned(spark, name, _as_products(spark, folder), base, "Id", 100)
+    gone, moved = F.col("Id").between(79, 90), F.col("Id").between(91, 300)
+    run_partition_change(spark, name, base, "1", lambda s: s.delete(gone), gone)
+    change = {"Package": F.lit("moved")}
+    run_partition_change(spark, name, base, "2", lambda s: s.update(change, moved), moved)
+    added = read_table(spark, folder, "supplier").select(
+        (F.col("s_suppkey") + 100000000).cast("long").alias("Id"),
+        F.col("s_name").alias("ProductName"),
+        F.col("s_nationkey").cast("long").alias("SupplierId"),
+    )
+    run_partition_change(spark, name, base, "3", lambda s: s, added=added)
+    return read_partitioned(spark, name)
+
+
 # --- checks ---------------------------------------------------------------------------
 
 
