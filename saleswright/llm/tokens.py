@@ -32,6 +32,22 @@ def _cuts_cleanly(stem: str) -> bool:
     return stem.isascii() or max(stem) < "\u0100" or normalize("NFC", stem).lower().isalpha()
 
 
+_SPECIAL = "<|"
+
+
+def _keeps_case(texts: pa.Array) -> bool:
+    """Whether some text may hold a special token, or a mark of U+0300 to U+036F (whose first byte is
+    CC or CD), with which a small letter may be composed and its capital not."""
+    if pc.any(pc.match_substring(texts, _SPECIAL)).as_py():
+        return True
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(texts.buffers()[1], wide)[texts.offset : texts.offset + len(texts) + 1]
+    if not len(texts) or ends[0] == ends[-1]:
+        return False
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    return bool((data == 0xCC).any() or (data == 0xCD).any())
+
+
 class Encoder:
     """Ids of texts. One per process and file: see ``encoder``."""
 
@@ -43,6 +59,11 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.drops_space = spec["model"].get("end_of_word_suffix") == _END_OF_WORD
+        # A-Z can be lowered before words are told apart, as the file's own rules do it later: but for
+        # special tokens, which all begin alike, and letters that a mark is composed with.
+        steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        marks = [x["content"].startswith(_SPECIAL) for x in spec["added_tokens"]]
+        self.lowers = "Lowercase" in steps and all(marks)
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, dtype=bool)
@@ -67,6 +88,8 @@ class Encoder:
             ids = [np.array(x.ids, dtype=np.uint32) for x in found]
             lengths = np.array([len(x) for x in ids], dtype=np.int64)
             return np.concatenate([np.empty(0, np.uint32), *ids]), np.cumsum(lengths)
+        if self.lowers and not _keeps_case(texts):
+            texts = pc.ascii_lower(texts)
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = parts.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()

@@ -99,6 +99,17 @@ def test_code_lengths_are_a_code_and_limited(counts, limit):
     assert sum(2.0**-x for x in lengths) <= 1
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_capitals_encode_as_the_library_does(encoder, kind):
+    """Small letters are composed with some marks with which their capitals are not."""
+    marked = [a + m + b for a in "HJTWYAZ" for m in "\u0301\u0308\u030a\u030c\u0331\u0344" for b in ("", "x")]
+    special = ["a <|endoftext|> b", "a <|ENDOFTEXT|> B", "A<|EndOfText|>B", "<|Z", "İI ΣAΣ Straẞe"]
+    for texts in (["Plain Words, AND Ǝ ÉT", None, ""], marked, special, ["T\u0308 T"], [*marked, *special]):
+        ids, ends = encoder.encode(pa.array([None, *texts, "Last"], kind).slice(1))
+        whole = [plain(encoder, t or "") for t in [*texts, "Last"]]
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == whole
+
+
 def least_bits(counts, limit):
     """The fewest bits of any prefix code with no code above ``limit`` bits: rarer symbols never
     have shorter codes, so all non-increasing lengths that Kraft's sum allows are tried."""
