@@ -25,7 +25,10 @@ from saleswright.llm.tokens import encoder
 #: Ids in a block, but that a document is not cut.
 BLOCK_IDS = 1 << 16
 
-_RAW = "part int, block int, n_ids long, doc_ids array<long>, lengths array<int>, ids binary"
+_RAW = (
+    "part int, block int, n_ids long, doc_ids array<long>, lengths array<int>, ids binary, "
+    "counts binary"
+)
 _BLOCK = (
     "part int, block int, start long, n_ids long, doc_ids array<long>, lengths array<int>, "
     "bits binary, checkpoints array<long>"
@@ -37,15 +40,20 @@ def _lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
 
 
 def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Raw blocks, in order of doc_id over the partitions and in them."""
+    """Raw blocks, in order of doc_id over the partitions and in them. The last row of a partition
+    is no block (its number is -1) but has the counts of all its ids."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, block = TaskContext.get().partitionId(), 0
+        counts = np.zeros(0, dtype=np.int64)
         for batch in pieces_of(batches):
             ids, ends = encoder(vocabulary).encode(batch.column(1))
             ids = np.insert(ids, ends, end_id).astype("<u4")
+            found = np.bincount(ids, minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
             lengths = np.diff(ends, prepend=0) + 1
             ends = np.cumsum(lengths)
             # A block ends with the document that reaches the next multiple of its size.
@@ -60,10 +68,21 @@ def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                     _lists(batch.column(0), last),
                     _lists(pa.array(lengths, pa.int32()), last),
                     binary_rows(ids, ends[last - 1] * 4),
+                    pa.nulls(n, pa.binary()),
                 ],
-                ["part", "block", "n_ids", "doc_ids", "lengths", "ids"],
+                names,
             )
             block += n
+        used = np.flatnonzero(counts)
+        if len(used):
+            pairs = np.stack((used, counts[used]), axis=1).astype("<i8").tobytes()
+            row = [[part], [-1], [0], [[]], [[]], [b""], [pairs]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+            kinds += [pa.list_(pa.int32()), pa.binary(), pa.binary()]
+            arrays = [pa.array(x, kind) for x, kind in zip(row, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    names = ["part", "block", "n_ids", "doc_ids", "lengths", "ids", "counts"]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("t"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("t")]
@@ -73,16 +92,12 @@ def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
 def _count_ids(raw: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(counts))
-                found[: len(counts)] += counts
-                counts = found
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["id", "n"])
+            for pairs in batch.column(0):
+                ids, n = np.frombuffer(pairs.as_buffer(), "<i8").reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
 
-    counted = raw.select("ids").mapInArrow(count, "id long, n long")
+    counted = raw.select("counts").filter("counts IS NOT NULL").mapInArrow(count, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -97,13 +112,14 @@ def write_token_files(
     table is an error.
 
     The texts are sorted and encoded once, in one shuffle; the ids are kept in the shared folder
-    while they are counted (at most one row per id of the vocabulary comes to the driver, and
-    one total per partition) and then coded.
+    with each task's counts, which are added up (at most one row per id of the vocabulary comes to
+    the driver, and one total per partition), and then coded.
     """
-    raw = kept(_blocks_of_ids(docs, vocabulary, end_id), "token-ids")
+    written = kept(_blocks_of_ids(docs, vocabulary, end_id), "token-ids")
     counts = np.array(
-        [(r["id"], r["n"]) for r in _count_ids(raw).orderBy("id").collect()], dtype=np.int64
+        [(r["id"], r["n"]) for r in _count_ids(written).orderBy("id").collect()], dtype=np.int64
     ).reshape(-1, 2)
+    raw = written.filter("block >= 0").drop("counts")
     symbols, lengths = counts[:, 0], code_lengths(counts[:, 1], limit)
     spark = docs.sparkSession
     book = spark.createDataFrame(
