@@ -66,11 +66,18 @@ def stamp_as_text(stamp: Column | str) -> Column:
     )
 
 
+_STAMP_FORMAT = "MMM d yyyy hh:mm:ss:SSSa"
+
+
 def stamp_from_text(text: Column | str) -> Column:
     """Text such as ``Jul  4 2012 12:00:00:000AM`` as a stamp; one-digit days are padded."""
-    return F.to_timestamp_ntz(
-        F.regexp_replace(_column(text), " +", " "), F.lit("MMM d yyyy hh:mm:ss:SSSa")
-    )
+    return F.to_timestamp_ntz(F.regexp_replace(_column(text), " +", " "), F.lit(_STAMP_FORMAT))
+
+
+def is_stamp_text(text: Column | str) -> Column:
+    """Whether ``stamp_from_text`` can read a text."""
+    spaced = F.regexp_replace(_column(text), " +", " ")
+    return F.try_to_timestamp(spaced, F.lit(_STAMP_FORMAT)).isNotNull()
 
 
 # --- text -----------------------------------------------------------------------------

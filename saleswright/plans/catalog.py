@@ -7,6 +7,7 @@ from saleswright.plans import (  # noqa: F401
     declared,
     expressions,
     layouts,
+    loads,
     modifying,
     rows,
     summaries,
