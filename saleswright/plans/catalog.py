@@ -10,6 +10,7 @@ from saleswright.plans import (  # noqa: F401
     loads,
     modifying,
     rows,
+    statements,
     summaries,
 )
 from saleswright.plans.registry import ORACLES, QUERIES
