@@ -50,6 +50,10 @@ from saleswright.sources.schemas import AUDIT, DELETED, INSERTED, PRODUCT, compl
 from saleswright.sources.tables import drop_table, load_rows, read_table
 from saleswright.streaming.audit_stream import audit_rows, read_changes, start_product_audit
 
+# The texts that the changes below write, in Python and in SQL alike.
+OSLO, TESTE, CRAIG_SMITH, ANITA_COATS = "Oslo", "TESTE", "Craig Smith", "Anita Coats"
+
+
 # --- row changes ----------------------------------------------------------------------
 
 
@@ -61,7 +65,7 @@ from saleswright.streaming.audit_stream import audit_rows, read_changes, start_p
 )
 def update_by_key(spark: SparkSession, folder: str) -> DataFrame:
     supplier = read_table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return update_rows(supplier, {"s_name": F.lit("Oslo")}, F.col("s_suppkey") == 15)
+    return update_rows(supplier, {"s_name": F.lit(OSLO)}, F.col("s_suppkey") == 15)
 
 
 @query(
@@ -96,7 +100,7 @@ def update_all_rows(spark: SparkSession, folder: str) -> DataFrame:
 )
 def update_by_value(spark: SparkSession, folder: str) -> DataFrame:
     parts = _flagged_parts(spark, folder, "p_partkey", "p_name", "p_retailprice")
-    values = {"p_name": F.lit("TESTE"), "flag": F.lit(1)}
+    values = {"p_name": F.lit(TESTE), "flag": F.lit(1)}
     return update_rows(parts, values, F.col("p_retailprice") == 997).drop("p_retailprice")
 
 
@@ -109,7 +113,7 @@ def delete_one_part(spark: SparkSession, folder: str) -> DataFrame:
 def insert_values(spark: SparkSession, folder: str) -> DataFrame:
     supplier = read_table(spark, folder, "supplier").select("s_suppkey", "s_name")
     row = spark.range(1).select(
-        F.lit(1000000).alias("s_suppkey"), F.lit("Craig Smith").alias("s_name")
+        F.lit(1000000).alias("s_suppkey"), F.lit(CRAIG_SMITH).alias("s_name")
     )
     return insert_rows(supplier, row)
 
@@ -123,7 +127,7 @@ def insert_values(spark: SparkSession, folder: str) -> DataFrame:
 def insert_partial_rows(spark: SparkSession, folder: str) -> DataFrame:
     supplier = read_table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     rows = spark.range(5).select(
-        (F.col("id") + 1000000).alias("s_suppkey"), F.lit("Anita Coats").alias("s_name")
+        (F.col("id") + 1000000).alias("s_suppkey"), F.lit(ANITA_COATS).alias("s_name")
     )
     return insert_rows(supplier, rows)
 

@@ -54,7 +54,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application has written by ``scratch_path``, once results are consumed."""
+    """Delete what this application has written by ``scratch_path``, once results are consumed.
+
+    The application calls it, at its end: a query's result is still to be read from there when the
+    query returns, so no query can.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(
         f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
