@@ -39,7 +39,12 @@ def _lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), values)
 
 
-def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+def _kind(vocabulary: str, end_id: int) -> str:
+    """How raw ids are kept: in two bytes where all of the vocabulary's fit."""
+    return "<u2" if max(encoder(vocabulary).size - 1, end_id) < 1 << 16 else "<u4"
+
+
+def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int, kind: str) -> DataFrame:
     """Raw blocks, in order of doc_id over the partitions and in them. The last row of a partition
     is no block (its number is -1) but has the counts of all its ids."""
 
@@ -50,7 +55,7 @@ def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         counts = np.zeros(0, dtype=np.int64)
         for batch in pieces_of(batches):
             ids, ends = encoder(vocabulary).encode(batch.column(1))
-            ids = np.insert(ids, ends, end_id).astype("<u4")
+            ids = np.insert(ids, ends, end_id).astype(kind)
             found = np.bincount(ids, minlength=len(counts))
             found[: len(counts)] += counts
             counts = found
@@ -67,7 +72,7 @@ def _blocks_of_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                     pa.array(np.diff(ends[last - 1], prepend=0), pa.int64()),
                     _lists(batch.column(0), last),
                     _lists(pa.array(lengths, pa.int32()), last),
-                    binary_rows(ids, ends[last - 1] * 4),
+                    binary_rows(ids, ends[last - 1] * ids.itemsize),
                     pa.nulls(n, pa.binary()),
                 ],
                 names,
@@ -115,7 +120,8 @@ def write_token_files(
     with each task's counts, which are added up (at most one row per id of the vocabulary comes to
     the driver, and one total per partition), and then coded.
     """
-    written = kept(_blocks_of_ids(docs, vocabulary, end_id), "token-ids")
+    kind = _kind(vocabulary, end_id)
+    written = kept(_blocks_of_ids(docs, vocabulary, end_id, kind), "token-ids")
     counts = np.array(
         [(r["id"], r["n"]) for r in _count_ids(written).orderBy("id").collect()], dtype=np.int64
     ).reshape(-1, 2)
@@ -139,7 +145,7 @@ def write_token_files(
         for batch in batches:
             part = batch.column(0).to_numpy()
             coded = [
-                codes.encode(np.frombuffer(ids.as_buffer(), "<u4")) for ids in batch.column("ids")
+                codes.encode(np.frombuffer(ids.as_buffer(), kind)) for ids in batch.column("ids")
             ]
             base = np.array([starts[p] for p in part.tolist()], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -119,7 +119,7 @@ class Encoder:
             new = [word for word in new if word not in known]
             stems = [word.rstrip(_TAIL) for word in new]
             for i, stem in enumerate(stems):
-                if not _cuts_cleanly(stem):
+                if not (stem.isalpha() and stem.isascii() or _cuts_cleanly(stem)):
                     stems[i] = new[i]
             tails = [word[len(stem) :] for word, stem in zip(new, stems, strict=True)]
             self._learn(list((set(stems) | set(tails)).difference(known)))
