@@ -48,6 +48,8 @@ VECTOR_DOUBT = 0.2
 SURE = 0.1
 
 
+#: Entries that are counted at a time.
+_AT_ONCE = 1 << 20
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -135,7 +137,9 @@ def fit(
     parts = -(-n // STEP_ROWS)
     weight = weight * (parts / weight.sum())
     # Texts of many terms take smaller steps: all of a text's terms move its margin together.
-    calm = max(1.0, float(np.median(np.bincount(rows, minlength=n))) / CALM)
+    ends = np.searchsorted(rows, np.arange(n + 1, dtype=rows.dtype))
+    terms_of = np.diff(ends)
+    calm = max(1.0, float(np.median(terms_of)) / CALM)
     # A term's weight and vector are a column; the bias is the last column's weight.
     values = np.zeros((1 + FACTORS, m + 1), dtype=np.float32)
     values[1:, :m] = rng.normal(0, 0.01, (FACTORS, m))
@@ -145,11 +149,10 @@ def fit(
     chance[:m] = _by_chance(places, rows, weight / parts, m, share)
     # A vector's pull is off by as much for each of the terms beside it.
     beside = np.zeros(m + 1, dtype=np.float32)
-    beside[:m] = _by_chance(places, rows, weight * np.bincount(rows, minlength=n) / parts, m, share)
+    beside[:m] = _by_chance(places, rows, weight * terms_of / parts, m, share)
     keep_small = np.maximum(VECTOR_DOUBT * beside, 1e-3)
     first_rate = np.array([[0.1 / calm], *[[0.02 / calm]] * FACTORS], dtype=np.float32)
     mean, square = np.zeros_like(values), np.zeros_like(values)
-    ends = np.searchsorted(rows, np.arange(n + 1))
     order = rng.permutation(n)
     steps = max(STEPS, ROUNDS * parts)
     for step in range(1, steps + 1):
@@ -169,23 +172,26 @@ def fit(
         margin = values[0, m] + sums[0] + 0.5 * ((sums[1:] ** 2).sum(axis=0) - own)
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[some]
         error = (weight[some] * error).astype(np.float32)
-        gradient = keep_small * values
-        gradient[0] = 0
-        gradient[:, m] = 0
+        pulls = np.zeros((1 + FACTORS, 0), dtype=np.float32)
         if len(has):
             pull = sums.take(of_row, axis=1)
             pull[0] = 1
             pull[1:] -= entries[1:]
             pull *= error.take(of_row)
-            gradient[:, used] += np.add.reduceat(pull.take(by_term, axis=1), start, axis=1)
-        gradient[0, m] += error.sum()
-        mean += 0.1 * (gradient - mean)
-        square += 0.001 * (gradient**2 - square)
-        scaled = np.sqrt(square / (1 - 0.999**step)) + 1e-9
-        values -= rate * mean / (1 - 0.9**step) / scaled
-        doubt = WEIGHT_DOUBT * chance / (1 + (values[0] / SURE) ** 2)
-        over = np.abs(values[0]) - doubt * rate[0] / scaled[0]
-        values[0] = np.copysign(np.maximum(over, 0), values[0])
+            pulls = np.add.reduceat(pull.take(by_term, axis=1), start, axis=1)
+        # Weights and each factor in turn, so that no more than a column of all terms is made anew.
+        for f in range(1 + FACTORS):
+            gradient = keep_small * values[f] if f else np.zeros(m + 1, dtype=np.float32)
+            gradient[m] = 0 if f else error.sum()
+            gradient[used] += pulls[f]
+            mean[f] += 0.1 * (gradient - mean[f])
+            square[f] += 0.001 * (gradient**2 - square[f])
+            scaled = np.sqrt(square[f] / (1 - 0.999**step)) + 1e-9
+            values[f] -= rate[f] * mean[f] / (1 - 0.9**step) / scaled
+            if not f:
+                doubt = WEIGHT_DOUBT * chance / (1 + (values[0] / SURE) ** 2)
+                over = np.abs(values[0]) - doubt * rate[0] / scaled
+                values[0] = np.copysign(np.maximum(over, 0), values[0])
     return Machine(terms, float(values[0, m]), values[0, :m].copy(), values[1:, :m].T)
 
 
@@ -193,7 +199,10 @@ def _by_chance(
     places: np.ndarray, rows: np.ndarray, weight: np.ndarray, m: int, share: float
 ) -> np.ndarray:
     """The deviation of each term's gradient over texts whose classes are drawn by ``share``."""
-    return np.sqrt(np.bincount(places, (weight**2)[rows], m) * share * (1 - share))
+    total, squares = np.zeros(m), weight**2
+    for i in range(0, len(rows), _AT_ONCE):
+        total += np.bincount(places[i : i + _AT_ONCE], squares[rows[i : i + _AT_ONCE]], m)
+    return np.sqrt(total * share * (1 - share))
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,14 +265,30 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column) -> Machine:
     toxic = got["toxic"].to_numpy().astype(np.float64)
     lists = got["terms"].combine_chunks()
     del got
-    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), pc.list_value_length(lists).to_numpy())
+    per = pc.list_value_length(lists).to_numpy()
     entries = lists.flatten().to_numpy()
-    texts = np.bincount(entries, minlength=1 << SPACE_BITS)
-    terms = np.flatnonzero(texts >= LEAST_TEXTS)
-    some = (texts >= LEAST_TEXTS)[entries]
-    places = np.searchsorted(terms, entries[some]).astype(np.int32)
+    del lists
+    terms, places, some = _numbered(entries)
+    del entries
+    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), per)[some]
+    del some
+    pa.default_memory_pool().release_unused()
     weight = np.where(toxic == 1, 1 / max(share.get(1, 1), 1e-9), 1 / max(share.get(0, 1), 1e-9))
-    return fit(terms, rows[some], places, toxic, weight)
+    return fit(terms, rows, places, toxic, weight)
+
+
+def _numbered(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The terms that ``LEAST_TEXTS`` texts have, the place among them of each entry that is one, and
+    which entries are. Entries are taken some at a time, since numpy widens what it counts."""
+    texts = np.zeros(1 << SPACE_BITS, dtype=np.int32)
+    for i in range(0, len(entries), _AT_ONCE):
+        texts += np.bincount(entries[i : i + _AT_ONCE], minlength=len(texts)).astype(np.int32)
+    terms = np.flatnonzero(texts >= LEAST_TEXTS)
+    place = np.full(len(texts), -1, dtype=np.int32)
+    place[terms] = np.arange(len(terms), dtype=np.int32)
+    places = place[entries]
+    some = places >= 0
+    return terms, places[some], some
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
