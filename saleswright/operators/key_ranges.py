@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright.operators.numbering import number_rows
-from saleswright.session import scratch_path
 from saleswright.sources.tables import RUN
 
 _LEDGER = "first_key long, n_keys long, run_id string"
@@ -61,13 +60,10 @@ def with_reserved_keys(
     order: list[Column],
     highest: Callable[[], int],
 ) -> DataFrame:
-    """``rows`` with keys of the run's own range in ``order``, which ends in a unique column. The
-    rows are written once, so that their number and their keys are of the same rows."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, "numbered")
+    """``rows`` with keys of the run's own range in ``order``, which ends in a unique column. Their
+    number and their keys are of the same rows, which ``number_rows`` has stored."""
     numbered = number_rows(rows, order, "_number")
-    numbered.write.parquet(path)
-    numbered = spark.read.schema(numbered.schema).parquet(path)
-    first = reserve(spark, base, run, numbered.count(), highest)
+    n = numbered.agg(F.max("_number")).first()[0] or 0
+    first = reserve(rows.sparkSession, base, run, n, highest)
     keys = (F.col("_number") + F.lit(first - 1)).cast("long").alias(key)
     return numbered.select(*rows.columns, keys)
