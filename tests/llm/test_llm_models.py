@@ -164,6 +164,22 @@ def test_pairs_are_learned_that_single_weights_miss():
     assert ((scores >= 0.5) == toxic).all()
 
 
+def test_settings_are_compared_on_texts_that_the_fit_has_not_seen():
+    """Terms that tell the class by themselves are found in other folds; classes that are drawn
+    without regard to the terms are not."""
+    rng = np.random.default_rng(4)
+    has = rng.random((400, 12)) < 0.4
+    rows, places = np.nonzero(has)
+    told = has[:, 0].astype(float)
+    drawn = (rng.random(400) < 0.4).astype(float)
+    doubts = [toxicity.Doubt(), toxicity.Doubt(weight=1e6, vector=1e6)]
+    sample = (np.arange(12), rows, places)
+    seen, none = toxicity.compared((*sample, told, np.ones(400)), doubts)
+    assert seen[0] > 0.95 and seen[1] < none[1] and none[0] == 0
+    assert toxicity.compared((*sample, drawn, np.ones(400)), doubts[:1])[0][0] < 0.7
+    assert toxicity.Doubt() in toxicity.grid()
+
+
 def toxic_rows(n, seed):
     rnd = random.Random(seed)
     vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
