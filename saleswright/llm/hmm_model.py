@@ -2,6 +2,9 @@
 
 Sequences are taken side by side: one step handles the next symbol of all that are still
 running, longest first, so work is in array operations and no step is wasted on padding.
+Long sequences are taken in segments that lie side by side too. What a segment sees of the symbols
+before and after it comes from the product of each segment's steps, so expected counts are those
+of whole sequences.
 """
 
 from __future__ import annotations
@@ -10,16 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Symbols of a training segment. Training cuts sequences; scoring does not.
-SEGMENT = 128
+#: Symbols of a segment: shorter sequences are one. Changes no count.
+SEGMENT = 2048
 #: Symbols whose expected counts are held in memory at a time.
 CHUNK = 1 << 19
+#: Segments whose products are taken side by side.
+LANES = 1 << 10
 
 
 @dataclass
 class Hmm:
     start: np.ndarray  # (states): where a sequence begins
-    inside: np.ndarray  # (states): where a segment begins that is not its sequence's first
     step: np.ndarray  # (states, states): row to column
     emit: np.ndarray  # (symbols, states): columns sum to 1
 
@@ -31,13 +35,12 @@ class Hmm:
 @dataclass
 class Counts:
     start: np.ndarray
-    inside: np.ndarray
     step: np.ndarray
     emit: np.ndarray
 
     @classmethod
     def none(cls, symbols: int, states: int) -> Counts:
-        return cls(*(np.zeros(n) for n in (states, states, (states, states), (symbols, states))))
+        return cls(*(np.zeros(n) for n in (states, (states, states), (symbols, states))))
 
 
 def add_expected(model: Hmm, ids: np.ndarray, ends: np.ndarray, counts: Counts) -> None:
@@ -50,23 +53,84 @@ def add_expected(model: Hmm, ids: np.ndarray, ends: np.ndarray, counts: Counts)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)
     begin = starts[row] + nth * SEGMENT
     size = np.minimum(ends[row] - begin, SEGMENT)
+    first = nth == 0
+    before, after = _borders(model, ids, per, begin, size)
     order = np.argsort(-size, kind="stable")
-    begin, size, first = begin[order], size[order], nth[order] == 0
-    lanes = max(1, CHUNK // SEGMENT)
-    for i in range(0, len(begin), lanes):
+    i = 0
+    while i < len(order):
+        some = order[i : i + max(1, CHUNK // int(size[order[i]]))]
         _add_segments(
-            model, ids, begin[i : i + lanes], size[i : i + lanes], first[i : i + lanes], counts
+            model, ids, begin[some], size[some], first[some], before[some], after[some], counts
         )
-
-
-def _add_segments(model, ids, begin, size, first, counts) -> None:
+        i += len(some)
+
+
+def _borders(
+    model: Hmm, ids: np.ndarray, per: np.ndarray, begin: np.ndarray, size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each segment: the states' shares after all symbols before it, and how likely each
+    state at its end makes all symbols after it, times a factor that makes the end's shares
+    and these add up to 1. ``per`` counts the segments of each sequence."""
+    k = model.states
+    before, after = np.zeros((len(begin), k)), np.ones((len(begin), k))
+    first = np.cumsum(per) - per
+    first, per = first[per > 1], per[per > 1]
+    if not len(per):
+        return before, after
+    of = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
+    segment = np.repeat(first, per) + of
+    through = np.zeros((len(begin), k, k))
+    through[segment] = _products(model, ids, begin[segment], size[segment], of == 0)
+    at_end = np.zeros((len(begin), k))
+    ahead = np.tile(model.start, (len(per), 1))
+    for j in range(int(per.max())):
+        some = per > j
+        at = first[some] + j
+        before[at] = ahead[some]
+        now = np.einsum("ni,nij->nj", ahead[some], through[at])
+        ahead[some] = now / now.sum(axis=1, keepdims=True)
+        at_end[at] = ahead[some]
+    behind = np.ones((len(per), k))
+    for j in reversed(range(int(per.max()))):
+        some = per > j
+        at = first[some] + j
+        after[at] = behind[some] / (at_end[at] * behind[some]).sum(axis=1, keepdims=True)
+        now = np.einsum("nij,nj->ni", through[at], behind[some])
+        behind[some] = now / now.sum(axis=1, keepdims=True)
+    return before, after
+
+
+def _products(
+    model: Hmm, ids: np.ndarray, begin: np.ndarray, size: np.ndarray, first: np.ndarray
+) -> np.ndarray:
+    """For each segment the matrix that leads from shares before it to those at its end, but for
+    a factor; a sequence's first segment has no step before its first symbol."""
+    k = model.states
+    out = np.empty((len(begin), k, k))
+    order = np.argsort(-size, kind="stable")
+    for i in range(0, len(order), LANES):
+        some = order[i : i + LANES]
+        lengths, at = size[some], begin[some]
+        found = np.tile(np.eye(k), (len(some), 1, 1))
+        for t in range(int(lengths[0])):
+            m = int(np.searchsorted(-lengths, -t, side="left"))
+            ahead = found[:m] @ model.step
+            if t == 0:
+                ahead[first[some]] = np.eye(k)
+            ahead *= model.emit[ids[at[:m] + t]][:, None, :]
+            found[:m] = ahead / ahead.sum(axis=(1, 2), keepdims=True)
+        out[some] = found
+    return out
+
+
+def _add_segments(model, ids, begin, size, first, before, after, counts) -> None:
     n, k, steps = len(begin), model.states, int(size[0])
     live = np.searchsorted(-size, -np.arange(steps), side="left")  # lanes longer than t
     emit, step = model.emit.astype(np.float32), model.step.astype(np.float32)
     alpha = np.zeros((steps, n, k), dtype=np.float32)
     scale = np.ones((steps, n, 1), dtype=np.float32)
     seen = np.zeros((steps, n), dtype=np.int64)
-    prior = np.where(first[:, None], model.start, model.inside).astype(np.float32)
+    prior = np.where(first[:, None], model.start, before @ model.step).astype(np.float32)
     for t in range(steps):
         m = live[t]
         seen[t, :m] = ids[begin[:m] + t]
@@ -74,7 +138,7 @@ def _add_segments(model, ids, begin, size, first, counts) -> None:
         now = ahead[:m] * emit[seen[t, :m]]
         scale[t, :m] = now.sum(axis=1, keepdims=True)
         alpha[t, :m] = now / scale[t, :m]
-    beta = np.ones((n, k), dtype=np.float32)
+    beta = after.astype(np.float32)
     for t in range(steps - 1, -1, -1):
         m = live[t]
         gamma = alpha[t, :m] * beta[:m]
@@ -85,7 +149,7 @@ def _add_segments(model, ids, begin, size, first, counts) -> None:
             beta[:m] = here @ step.T
         else:
             counts.start += gamma[first].sum(axis=0)
-            counts.inside += gamma[~first].sum(axis=0)
+            counts.step += (before[~first].T @ here[~first]) * step
         alpha[t, :m] = gamma
     flat = np.concatenate([seen[t, : live[t]] for t in range(steps)])
     weight = np.concatenate([alpha[t, : live[t]] for t in range(steps)])
@@ -98,7 +162,6 @@ def _add_segments(model, ids, begin, size, first, counts) -> None:
 def refined(counts: Counts, background: np.ndarray, share: float = 0.01) -> Hmm:
     """The model of summed counts; each state emits by ``share`` as the corpus as a whole does,
     so nothing has probability 0."""
-    k = len(counts.start)
 
     def spread(x: np.ndarray) -> np.ndarray:
         return (x + 1) / (x + 1).sum(axis=-1, keepdims=True)
@@ -106,8 +169,7 @@ def refined(counts: Counts, background: np.ndarray, share: float = 0.01) -> Hmm:
     total = counts.emit.sum(axis=0)
     own = np.where(total > 0, counts.emit / np.maximum(total, 1e-300), background[:, None])
     emit = (1 - share) * own + share * background[:, None]
-    inside = counts.inside if counts.inside.sum() else np.ones(k)
-    return Hmm(spread(counts.start), spread(inside), spread(counts.step), emit)
+    return Hmm(spread(counts.start), spread(counts.step), emit)
 
 
 def log10_likelihood(model: Hmm, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -169,4 +231,4 @@ def first_model(background: np.ndarray, group: np.ndarray, states: int) -> Hmm:
     np.fill_diagonal(step, 0.95)
     step /= step.sum(axis=1, keepdims=True)
     even = np.full(states, 1 / states)
-    return Hmm(even, even, step, emit)
+    return Hmm(even, step, emit)

@@ -202,12 +202,9 @@ def train(rows: DataFrame, symbols: Symbols, states: int, rounds: int) -> Hmm:
             table[:n] += found.emit
             table[n : n + states] += found.step
             table[n + states] += found.start
-            table[n + states + 1] += found.inside
 
-        table = _summed(rows, expect, states, n + states + 2)
-        found = Counts(
-            table[n + states], table[n + states + 1], table[n : n + states], table[:n]
-        )
+        table = _summed(rows, expect, states, n + states + 1)
+        found = Counts(table[n + states], table[n : n + states], table[:n])
         model = refined(found, background)
     return model
 

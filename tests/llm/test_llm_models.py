@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_helpers import texts_of
-from saleswright.llm import hmm_scoring, toxicity
+from saleswright.llm import hmm_model, hmm_scoring, toxicity
 from saleswright.llm.common import documents, kept, largest
 from saleswright.llm.hmm_model import Counts, Hmm, add_expected, log10_likelihood, refined
 from saleswright.llm.hmm_scoring import fold, score_texts
@@ -24,7 +24,7 @@ def random_model(states, symbols, seed):
         x = rng.random(shape) + 0.05
         return x / x.sum(axis=-1, keepdims=True)
 
-    return Hmm(rows(states), rows(states), rows(states, states), rows(states, symbols).T)
+    return Hmm(rows(states), rows(states, states), rows(states, symbols).T)
 
 
 def all_paths(model, ids):
@@ -48,7 +48,9 @@ def test_likelihood_is_exact():
     assert np.isfinite(log10_likelihood(model, long, np.array([len(long)]))).all()
 
 
-def test_expected_counts_are_those_of_all_paths():
+@pytest.mark.parametrize("segment", [1, 2, 3, 2048])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, segment):
+    monkeypatch.setattr(hmm_model, "SEGMENT", segment)
     model = random_model(3, 5, 2)
     sequences = [[0, 4, 2, 1], [3], [1, 1, 1, 2, 0]]
     found = Counts.none(5, 3)
@@ -64,10 +66,29 @@ def test_expected_counts_are_those_of_all_paths():
                 wanted.emit[x, state] += p / total
             for a, b in zip(path, path[1:], strict=False):
                 wanted.step[a, b] += p / total
-    for name in ("start", "step", "emit", "inside"):
+    for name in ("start", "step", "emit"):
         assert np.allclose(getattr(found, name), getattr(wanted, name), atol=1e-4), name
 
 
+def test_segments_change_no_expected_count(monkeypatch):
+    """Texts from one symbol to many segments, in groups of few lanes."""
+    rng = np.random.default_rng(6)
+    model = random_model(4, 9, 7)
+    lengths = np.array([1, 2, 700, 64, 65, 128, 3000, 1, 63])
+    ids, ends = rng.integers(0, 9, lengths.sum()), np.cumsum(lengths)
+    found = []
+    for segment, lanes in ((4096, 1024), (64, 5)):
+        monkeypatch.setattr(hmm_model, "SEGMENT", segment)
+        monkeypatch.setattr(hmm_model, "LANES", lanes)
+        monkeypatch.setattr(hmm_model, "CHUNK", 64 * lanes)
+        found.append(Counts.none(9, 4))
+        add_expected(model, ids, ends, found[-1])
+    for name in ("start", "step", "emit"):
+        whole, cut = (getattr(x, name) for x in found)
+        assert np.allclose(whole, cut, rtol=1e-4, atol=1e-3), name
+    assert np.isclose(found[1].step.sum(), (lengths - 1).sum(), rtol=1e-5)
+
+
 def test_rounds_raise_the_likelihood():
     rng = np.random.default_rng(3)
     true = random_model(2, 6, 4)
