@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswright.operators.joins import Keys, equal_keys
+from saleswright.session import scratch_path
 from saleswright.sources.schemas import TableSpec
 
 
@@ -21,6 +22,63 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+#: Bytes of the bitmap of one bucket of places, and bytes that a key costs in a shuffle, about.
+_BITMAP_BYTES, _KEY_BYTES = 4096, 16
+
+
+def suspected_buckets(df: DataFrame, place: Column) -> DataFrame:
+    """Buckets of 32,768 places in which more rows lie than places are taken.
+
+    Every task sends one bitmap per bucket it has rows of, a bit a place, instead of its keys.
+    """
+    return (
+        df.select(place.cast("long").alias("_place"))
+        .filter("_place IS NOT NULL")
+        .groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+        .agg(
+            F.count("*").alias("_rows"),
+            F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_place"))).alias("_taken"),
+        )
+        .filter("_rows > _taken")
+        .select("_bucket")
+    )
+
+
+def bitmaps_pay(df: DataFrame, place: Column) -> bool:
+    """Whether the bitmaps of all tasks are smaller than the keys: rows that lie together in the
+    files must have places near each other. One pass over the key, summed to one row."""
+    bucket = F.bitmap_bucket_number(place.cast("long"))
+    marked = df.select(F.struct(F.spark_partition_id(), bucket).alias("bitmap"))
+    row = marked.agg(
+        F.count("*").alias("n"), F.approx_count_distinct("bitmap").alias("bitmaps")
+    ).first()
+    return row["bitmaps"] * _BITMAP_BYTES < row["n"] * _KEY_BYTES
+
+
+def screened_duplicate_keys(df: DataFrame, key: list[str], place: Column) -> DataFrame:
+    """What ``duplicate_keys`` gives, for a table stored in the order of its key.
+
+    ``place`` is a whole number made of the key alone; near keys should have near places. Keys
+    may share one: that only makes their bucket suspected. Only rows of suspected buckets, and
+    those with a NULL in the key or a NULL place, are shuffled by key, so a clean table costs
+    about a bit a row. Where the rows do not lie in the order of their places, all keys are
+    shuffled as ``duplicate_keys`` does. ``df`` is read up to three times and must be the same
+    each time, so give it a stored table.
+    """
+    if not bitmaps_pay(df, place):
+        return duplicate_keys(df, key)
+    spark = df.sparkSession
+    path = scratch_path(spark, "suspected-buckets")
+    suspected_buckets(df, place).write.parquet(path)
+    suspected = spark.read.schema("_bucket long").parquet(path)
+    keys = df.select(*key, place.cast("long").alias("_place"))
+    unknown = reduce(Column.__or__, [F.col(name).isNull() for name in [*key, "_place"]])
+    bucket = F.bitmap_bucket_number("_place").alias("_bucket")
+    known = keys.filter(~unknown).select(*key, bucket)
+    in_doubt = known.join(suspected, "_bucket", "left_semi").select(*key)
+    return duplicate_keys(in_doubt.unionAll(keys.filter(unknown).select(*key)), key)
+
+
 def orphans(child: DataFrame, parent: DataFrame, keys: Keys) -> DataFrame:
     """Child rows whose reference is NULL or has no parent; keys as (child, parent).
 

@@ -42,6 +42,7 @@ from saleswright.operators.quality import (
     null_counts,
     orphans,
     outside_domain,
+    screened_duplicate_keys,
     too_long,
 )
 from saleswright.plans.registry import query
@@ -416,6 +417,37 @@ def check_primary_key(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_keys(read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+#: Lines of an order are next to each other; an order has fewer than 8.
+_LINE_PLACE = "l_orderkey * 8 + l_linenumber"
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+    GROUP BY 1, 2 HAVING count(*) > 1
+    """
+)
+def screened_primary_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The key of order lines, by bitmaps of the places that are taken."""
+    lines = read_table(spark, folder, "lineitem")
+    return screened_duplicate_keys(lines, ["l_orderkey", "l_linenumber"], F.expr(_LINE_PLACE))
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, count(*) AS n FROM (
+        SELECT l_orderkey, l_linenumber FROM lineitem
+        UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'
+    ) GROUP BY 1, 2 HAVING count(*) > 1
+    """
+)
+def screened_resent_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys that a load has twice because it sent the returned lines again."""
+    lines = read_table(spark, folder, "lineitem")
+    sent = lines.unionAll(lines.filter("l_returnflag = 'R'"))
+    return screened_duplicate_keys(sent, ["l_orderkey", "l_linenumber"], F.expr(_LINE_PLACE))
+
+
 @query(
     """
     SELECT o_orderkey, o_custkey FROM orders

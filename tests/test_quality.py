@@ -5,13 +5,17 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from helpers import D, as_set, frame, small_sales, tuples
+from saleswright.operators import quality
 from saleswright.operators.quality import (
+    bitmaps_pay,
     broken_references,
     duplicate_keys,
     fault_counts,
     null_counts,
     orphans,
     outside_domain,
+    screened_duplicate_keys,
+    suspected_buckets,
     too_long,
 )
 from saleswright.sources.schemas import ORDER, ORDER_ITEM, PRODUCT, TABLES
@@ -27,6 +31,49 @@ def test_keys(spark):
     assert duplicate_keys(small_sales(spark).product, ["Id"]).count() == 0
 
 
+def stored(spark, folder, df):
+    df.write.parquet(str(folder))
+    return spark.read.parquet(str(folder))
+
+
+def test_a_clean_ordered_table_has_no_suspects(spark, tmp_path):
+    df = stored(spark, tmp_path / "clean", spark.range(-100_000, 900_000).toDF("k"))
+    assert bitmaps_pay(df, F.col("k")) and suspected_buckets(df, F.col("k")).count() == 0
+    assert screened_duplicate_keys(df, ["k"], F.col("k")).count() == 0
+    # What is shuffled: a bitmap for each task and bucket, under a byte a row.
+    sent = df.select(F.spark_partition_id(), F.bitmap_bucket_number("k")).distinct().count()
+    assert sent * 4096 < 1_000_000
+
+
+def test_screened_keys_are_those_of_the_whole_check(spark, tmp_path):
+    """Repeats within a file, across files, a key that a third of the rows share, NULLs in a
+    key of two columns, and different keys that share a place."""
+    ids = spark.range(0, 300_000).select("id", (F.col("id") % 3).cast("string").alias("t"))
+    again = ids.filter("id IN (7, 150000, 299999)")
+    hot = spark.range(150_000).select(F.lit(40_000).cast("long").alias("id"), F.lit("x").alias("t"))
+    nulls = spark.sql("SELECT * FROM VALUES (NULL, 'a'), (5L, NULL), (5L, NULL) n(id, t)")
+    df = stored(spark, tmp_path / "t", ids.unionAll(again).unionAll(hot).unionAll(nulls))
+    for key in (["id"], ["id", "t"]):
+        wanted = as_set(duplicate_keys(df, key))
+        assert bitmaps_pay(df, F.col("id")) and len(wanted) >= 5
+        assert as_set(screened_duplicate_keys(df, key, F.col("id"))) == wanted
+        coarse = F.expr("id div 3")
+        assert as_set(screened_duplicate_keys(df, key, coarse)) == wanted
+    suspected = {r["_bucket"] for r in suspected_buckets(df, F.col("id")).collect()}
+    assert len(suspected) <= 4  # of ten
+
+
+def test_scattered_keys_are_not_screened(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 5000).select((F.xxhash64("id")).alias("k"))
+    df = stored(spark, tmp_path / "far", df.unionAll(df.limit(3)))
+    assert not bitmaps_pay(df, F.col("k"))
+    wanted = as_set(duplicate_keys(df, ["k"]))
+    assert len(wanted) == 3 and as_set(screened_duplicate_keys(df, ["k"], F.col("k"))) == wanted
+    monkeypatch.setattr(quality, "bitmaps_pay", lambda *_: True)
+    assert as_set(screened_duplicate_keys(df, ["k"], F.col("k"))) == wanted
+    assert screened_duplicate_keys(df.limit(0), ["k"], F.col("k")).count() == 0
+
+
 def test_orphans_include_null_references(spark):
     child = spark.sql("SELECT * FROM VALUES (1, 10), (2, 99), (3, NULL) t(id, ref)")
     parent = spark.sql("SELECT * FROM VALUES (10), (10), (NULL) t(key)")
