@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Symbols of a segment: shorter sequences are one. Changes no count.
-SEGMENT = 2048
+SEGMENT = 4096
 #: Symbols whose expected counts are held in memory at a time.
 CHUNK = 1 << 19
 #: Segments whose products are taken side by side.

@@ -2,8 +2,9 @@
 
 Two fingerprints that differ in at most 4 of 64 bits agree on at least 3 of 7 blocks of bits, so
 each different fingerprint goes to the 35 buckets of its block triples (27 or 28 bits). In a
-bucket, the pivot tables come in: the Hamming distances to reference fingerprints are computed
-once per fingerprint; two fingerprints whose distances to any reference differ by more than 4
+bucket, the pivot tables come in: the Hamming distances of its fingerprints to reference
+fingerprints are computed once (again in each of a fingerprint's buckets, which costs less than
+to shuffle them); two fingerprints whose distances to any reference differ by more than 4
 cannot be linked, and only pairs that pass are verified. Distances from the references alone
 cannot make buckets: for 64 bits they lie around 32 with a deviation of 4, no wider than
 the bound itself, so cells of them would hold most of the fingerprints.
