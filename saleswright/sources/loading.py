@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,11 @@ class Files:
     file_format: str = "csv"
     options: dict[str, str] = field(default_factory=dict)
 
+    @property
+    def is_text(self) -> bool:
+        """Whether values come as texts, in whatever spelling, and lines can be malformed."""
+        return self.file_format in ("csv", "json")
+
 
 def _value(f: StructField) -> Column:
     """A text in its declared type, or NULL where it does not fit."""
@@ -47,12 +53,33 @@ def _value(f: StructField) -> Column:
     return text.try_cast(f.dataType)
 
 
-def parsed_rows(spark: SparkSession, files: Files, spec: TableSpec) -> DataFrame:
+def _spelled(f: StructField, files: Files) -> Column:
+    """What a record holds for a value, if the files spell it as Spark does."""
+    return (F.col(f.name).cast("string") if files.is_text else F.col(f.name)).alias(f.name)
+
+
+def respelled_record(files: Files, spec: TableSpec) -> Column:
+    """``_record`` of rows that were parsed with ``spared``: of values where it was left out."""
+    spelled = [_spelled(f, files) for f in _given(files, spec)]
+    return F.coalesce(_RECORD, F.to_json(F.struct(*spelled)))
+
+
+def _given(files: Files, spec: TableSpec) -> list[StructField]:
+    return [spec.schema[name] for name in files.given or spec.schema.names]
+
+
+def parsed_rows(
+    spark: SparkSession, files: Files, spec: TableSpec, spared: bool = False
+) -> DataFrame:
     """All rows of the files under the declared schema, with ``_faults``, what is wrong with each by
-    itself, and ``_record``, the row as it came. Columns that are not given take their defaults."""
-    given = [spec.schema[name] for name in files.given or spec.schema.names]
+    itself, and ``_record``, the row as it came. Columns that are not given take their defaults.
+
+    With ``spared``, ``_record`` is NULL where ``respelled_record`` makes the same of the values, so
+    that most rows are stored and shuffled once and not twice over.
+    """
+    given = _given(files, spec)
     reader = spark.read.format(files.file_format).options(**files.options)
-    if files.file_format in ("csv", "json"):
+    if files.is_text:
         fields = [*(StructField(f.name, StringType()) for f in given), StructField(_CORRUPT, StringType())]
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
         rows = reader.schema(StructType(fields)).load(files.path)
@@ -76,6 +103,11 @@ def parsed_rows(spark: SparkSession, files: Files, spec: TableSpec) -> DataFrame
             most = spec.text_limits[f.name]
             faults.append(F.when(F.length(value) > most, F.lit(f"{f.name} over {most}")))
     record = F.coalesce(_CORRUPT, F.to_json(F.struct(*[F.col(f.name) for f in given])))
+    if spared:
+        same = [F.col(_CORRUPT).isNull()]
+        if files.is_text:
+            same += [F.col(f.name).eqNullSafe(values[f.name].cast("string")) for f in given]
+        record = F.when(~reduce(Column.__and__, same), record)
     return rows.select(*columns, F.array_compact(F.array(*faults)).alias(_FAULTS), record.alias(_RECORD))
 
 
@@ -85,8 +117,9 @@ def judged_rows(
     """Parsed rows with the faults that their keys and references add, where they had none.
 
     All rows of a key that repeats in the load are at fault, since files have no first row, and so are
-    those of a key that is there already. References are looked up row by row, so that Spark can
-    split the rows of one that many share; parents' keys are unique.
+    those of a key that is there already. The keys at fault are stored first: Spark knows then how
+    small they are, and need not shuffle the rows to find the few of them. References are looked up
+    row by row, so that Spark can split the rows of one that many share; parents' keys are unique.
     """
     key = spec.key
     sound = F.size(_FAULTS) == 0
@@ -95,7 +128,7 @@ def judged_rows(
     there = existing.select(F.col(key).alias("_taken")).join(
         keys, F.col("_taken") == keys[key], "left_semi"
     )
-    taken = taken.unionAll(there).distinct()
+    taken = _written(taken.unionAll(there).distinct(), f"taken-{spec.name}")
     found = rows.join(taken, rows[key] == taken["_taken"], "left")
     faults = [F.when(F.col("_taken").isNotNull(), F.lit(f"{key} repeated"))]
     for i, reference in enumerate(spec.foreign_keys):
@@ -123,7 +156,7 @@ def load_tables(
     summaries = []
     for name in _parents_first(files):
         spec, target = TABLES[name], f"{base}/{name}"
-        parsed = _written(parsed_rows(spark, files[name], spec), f"parsed-{name}")
+        parsed = _written(parsed_rows(spark, files[name], spec, spared=True), f"parsed-{name}")
         parents = {
             k.parent: _stored(spark, f"{base}/{k.parent}", TABLES[k.parent]) for k in spec.foreign_keys
         }
@@ -136,7 +169,8 @@ def load_tables(
             if broken:
                 raise BrokenRules({r["reason"]: r["n"] for r in broken})
         write_run(judged.filter(F.size(_FAULTS) == 0).select(*spec.schema.names), target, load)
-        rejected = judged.filter(F.size(_FAULTS) > 0).select(reason, F.col(_RECORD).alias("record"))
+        record = respelled_record(files[name], spec).alias("record")
+        rejected = judged.filter(F.size(_FAULTS) > 0).select(reason, record)
         rejected.write.mode("overwrite").parquet(f"{base}/rejects/{RUN}={load}/table_name={name}")
         summaries.append(counts.select(F.lit(name).alias("table_name"), "reason", "n"))
     found = summaries[0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import as_set, plan, small_sales, tuples
 from saleswright.operators.rules import BrokenRules
+from saleswright.sources import loading
 from saleswright.sources.loading import (
     Files,
     bucket_order_lines,
@@ -140,6 +141,27 @@ def test_empty_files_and_typed_files(spark, files, tmp_path):
     assert read_runs(spark, f"{base}/Supplier", SUPPLIER.schema).count() == 0
 
 
+def test_a_record_is_stored_only_where_values_do_not_give_it(spark, files, tmp_path, monkeypatch):
+    stored, real = {}, loading._written
+    monkeypatch.setattr(loading, "_written", lambda df, label: stored.setdefault(label, real(df, label)))
+    plain = [f"{i},2012-07-04 00:00:0{i},\"a, \"\"{i}\",9,5.00" for i in range(4)]
+    odd = ["04,2012-07-04,x,9,5", "5,soon,,9,5.00", "6,2012-07-04 00:00:00,x", "7,,x,9,+5.00"]
+    small_sales(spark).product.write.parquet(f"{tmp_path}/product-files")
+    sources = {
+        "Order": files("o", "\n".join(plain + odd) + "\n"),
+        "OrderItem": files("i", '{"Id": 1, "OrderId": 2, "Quantity": 3}\n{"Id": 2, "OrderId": 2.0}\n', ["Id", "OrderId", "Quantity"], "json"),
+        "Product": Files(f"{tmp_path}/product-files", None, "parquet"),
+    }
+    load_tables(spark, sources, f"{tmp_path}/t", "1")
+    for name, odd_ones, rows in (("Order", 4, 8), ("OrderItem", 1, 2), ("Product", 0, 5)):
+        for step in ("parsed", "judged"):
+            assert stored[f"{step}-{name}"].filter("_record IS NOT NULL").count() == odd_ones
+        whole = parsed_rows(spark, sources[name], TABLES[name])
+        rejected = read_rejects(spark, f"{tmp_path}/t").filter(F.col("table_name") == name)
+        found = sorted(r["record"] for r in rejected.collect())  # all refer to what is not there
+        assert found == sorted(r["_record"] for r in whole.collect()) and len(found) == rows
+
+
 def test_a_hot_reference_is_split(spark, set_conf):
     set_conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
