@@ -9,7 +9,7 @@ readers see some partitions moved and others not. There is one writer per table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +30,8 @@ RANGE = "key_range"
 #: Table properties: the key column, and how many keys a range has.
 KEY, WIDTH = "range_key", "range_width"
 _MOVES = "key_range long, old string, new string"
+#: How Spark names the folder of rows without a range.
+_NO_RANGE = "__HIVE_DEFAULT_PARTITION__"
 #: Partitions that one statement adds.
 _AT_ONCE = 200
 
@@ -60,7 +62,7 @@ def create_partitioned(
         f"CREATE TABLE {quoted_name(table)} ({columns}) USING parquet PARTITIONED BY ({RANGE}) "
         f"LOCATION '{base}/none' TBLPROPERTIES ('{KEY}' = '{key}', '{WIDTH}' = '{width}')"
     )
-    found = sorted(r[RANGE] for r in spark.read.parquet(first).select(RANGE).distinct().collect())
+    found = sorted(_ranges_at(spark, first))
     _add(spark, table, [(k, f"{first}/{RANGE}={k}") for k in found])
     return read_partitioned(spark, table)
 
@@ -80,12 +82,20 @@ def keys_between(spark: SparkSession, table: str, low: int, high: int) -> DataFr
 
 def locations(spark: SparkSession, table: str) -> dict[int, str]:
     """The folder of each partition: as many rows as the table has partitions."""
-    name = quoted_name(table)
-    found = {}
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        part = int(row["partition"].split("=")[1])
-        found[part] = partition_location(spark, table, part)
-    return found
+    return {part: partition_location(spark, table, part) for part in _partitions(spark, table)}
+
+
+def _partitions(spark: SparkSession, table: str) -> list[int]:
+    rows = spark.sql(f"SHOW PARTITIONS {quoted_name(table)}").collect()
+    return [int(row["partition"].split("=")[1]) for row in rows]
+
+
+def _locations_of(
+    spark: SparkSession, table: str, parts: Iterable[int]
+) -> dict[int, str | None]:
+    """The folder of each of some partitions, or None. Only those that there are cost a statement."""
+    there = set(_partitions(spark, table))
+    return {part: partition_location(spark, table, part) if part in there else None for part in parts}
 
 
 def partition_location(spark: SparkSession, table: str, part: int) -> str | None:
@@ -107,10 +117,14 @@ def run_partition_change(
     touches: Column | None = None,
     added: DataFrame | None = None,
     rules: TableRules | None = None,
+    keys: tuple[int, int] | None = None,
 ) -> list[int]:
     """Change the partitions in which ``touches`` selects a row, in one repeatable run, and return
     their ranges.
 
+    All partitions are searched for such rows, or, where ``keys`` says between which two keys (both
+    included) all of them lie, only the partitions of these.
+
     ``change`` gets the rows of those partitions as a ``Statement``, and ``added`` are inserted after
     it; ranges that only they have become partitions. A partition without rows left is dropped. An
     update may not move a key to a range that the run does not touch. ``rules`` are checked before
@@ -119,8 +133,8 @@ def run_partition_change(
     key, width = _layout(spark, table)
     moves = _planned(spark, base, run)
     if moves is None:
-        moves = _write(spark, table, base, run, change, touches, added, rules, key, width)
-    places = {part: partition_location(spark, table, part) for part, _, _ in moves}
+        moves = _write(spark, table, base, run, change, touches, added, rules, keys, key, width)
+    places = _locations_of(spark, table, [part for part, _, _ in moves])
     for part, old, new in moves:
         if not (_same(places[part], old) or _same(places[part], new)):
             raise ValueError(f"{table} has moved on to {places[part]} in {RANGE} {part}")
@@ -151,6 +165,7 @@ def _write(
     touches: Column | None,
     added: DataFrame | None,
     rules: TableRules | None,
+    keys: tuple[int, int] | None,
     key: str,
     width: int,
 ) -> list[tuple[int, str | None, str | None]]:
@@ -158,7 +173,12 @@ def _write(
     whole = spark.table(quoted_name(table))
     touched = set()
     if touches is not None:
-        touched |= {r[RANGE] for r in whole.filter(touches).select(RANGE).distinct().collect()}
+        searched = whole
+        if keys is not None:
+            low, high = keys
+            searched = whole.filter(F.col(RANGE).between(low // width, high // width))
+            touches = touches & F.col(key).between(low, high)
+        touched |= {r[RANGE] for r in searched.filter(touches).select(RANGE).distinct().collect()}
     if added is not None:
         ranged = with_range(added, key, width)
         touched |= {r[RANGE] for r in ranged.select(RANGE).distinct().collect()}
@@ -170,19 +190,19 @@ def _write(
     path = f"{base}/run-{run}"
     rows = _spread(with_range(made.rows, key, width), key)
     rows.write.mode("overwrite").partitionBy(ROW_SET, RANGE).parquet(path)
-    folders = StructType([StructField(ROW_SET, StringType()), StructField(RANGE, LongType())])
-    plain = [f for f in rows.schema.fields if f.name not in (ROW_SET, RANGE)]
-    written = spark.read.schema(StructType([*plain, *folders])).parquet(path)
-    content = written.filter(F.col(ROW_SET) == CONTENT)
-    kept = {r[RANGE] for r in content.select(RANGE).distinct().collect()}
+    kept = _ranges_at(spark, f"{path}/{ROW_SET}={CONTENT}")
     if not kept <= touched:
         raise ValueError(f"keys moved to ranges that the run does not touch: {kept - touched}")
     if rules:
+        folders = StructType([StructField(ROW_SET, StringType()), StructField(RANGE, LongType())])
+        plain = [f for f in rows.schema.fields if f.name not in (ROW_SET, RANGE)]
+        written = spark.read.schema(StructType([*plain, *folders])).parquet(path)
         rules.require(rules.faults_of(Statement(written.drop(RANGE))))
+    places = _locations_of(spark, table, touched)
     moves = [
         (
             part,
-            partition_location(spark, table, part),
+            places[part],
             f"{path}/{ROW_SET}={CONTENT}/{RANGE}={part}" if part in kept else None,
         )
         for part in sorted(touched)
@@ -192,6 +212,19 @@ def _write(
     return moves
 
 
+def _ranges_at(spark: SparkSession, path: str) -> set[int | None]:
+    """The ranges that have a folder at ``path``, by one listing of it; no folder of a range and no
+    file is opened. None stands for rows without a key."""
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return set()
+    names = [path.getName() for path in fs.FileUtil.stat2Paths(store.listStatus(folder))]
+    parts = [name.removeprefix(f"{RANGE}=") for name in names if name.startswith(f"{RANGE}=")]
+    return {None if part == _NO_RANGE else int(part) for part in parts}
+
+
 def _planned(
     spark: SparkSession, base: str, run: str
 ) -> list[tuple[int, str | None, str | None]] | None:

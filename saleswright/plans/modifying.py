@@ -392,9 +392,11 @@ def update_partitions(spark: SparkSession, folder: str) -> DataFrame:
     name = base.rsplit("/", 1)[1].replace("-", "_")
     create_partitioned(spark, name, _as_products(spark, folder), base, "Id", 100)
     gone, moved = F.col("Id").between(79, 90), F.col("Id").between(91, 300)
-    run_partition_change(spark, name, base, "1", lambda s: s.delete(gone), gone)
+    run_partition_change(spark, name, base, "1", lambda s: s.delete(gone), gone, keys=(79, 90))
     change = {"Package": F.lit("moved")}
-    run_partition_change(spark, name, base, "2", lambda s: s.update(change, moved), moved)
+    run_partition_change(
+        spark, name, base, "2", lambda s: s.update(change, moved), moved, keys=(91, 300)
+    )
     added = read_table(spark, folder, "supplier").select(
         (F.col("s_suppkey") + 100000000).cast("long").alias("Id"),
         F.col("s_name").alias("ProductName"),

@@ -175,6 +175,45 @@ def test_many_partitions_are_added_in_parts(spark, tmp_path, monkeypatch):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_new_partitions_cost_no_statement_each(spark, table, monkeypatch):
+    name, base = table
+    asked, real = [], partitioned.partition_location
+    monkeypatch.setattr(partitioned, "partition_location", lambda *a: asked.append(a[-1]) or real(*a))
+    rows = spark.range(95, 300).withColumnRenamed("id", "Id").filter("Id > 99 OR Id = 95")
+    parts = run_partition_change(spark, name, base, "1", lambda s: s, added=rows)
+    assert parts == list(range(9, 30)) and set(asked) == {9}
+    monkeypatch.undo()
+    assert read_partitioned(spark, name).count() == 301 and len(locations(spark, name)) == 30
+
+
+def test_partitions_out_of_reach_are_not_listed(spark, tmp_path):
+    """Spark lists more than 32 folders in a job with a task for each."""
+    name, base = f"unlisted_{tmp_path.name}", f"{tmp_path}/t"
+    rows = spark.range(600).select(F.col("id").alias("Id"), F.lit(0).alias("v"))
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    create_partitioned(spark, name, rows, base, "Id", 10)
+    where = F.col("v") == 0
+    parts = run_partition_change(spark, name, base, "1", lambda s: s.update({"v": F.lit(1)}, where & F.col("Id").between(25, 31)), where, keys=(25, 31))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) < 60
+    assert parts == [2, 3]
+    found = dict(tuples(read_partitioned(spark, name)))
+    assert found == {i: int(25 <= i <= 31) for i in range(600)}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_key_may_not_become_null(spark, table):
+    name, base = table
+    where, null = F.col("Id") == 5, F.lit(None).cast("long")
+    with pytest.raises(ValueError, match="does not touch"):
+        run_partition_change(spark, name, base, "1", lambda s: s.update({"Id": null}, where), where)
+    assert read_partitioned(spark, name).count() == 100
+
+
 def test_registered_form(spark, data):
     assert "update_partitions" in ORACLES
     found = QUERIES["update_partitions"](spark, data)
