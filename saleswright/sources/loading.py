@@ -26,6 +26,8 @@ from saleswright.sources.schemas import ORDER, ORDER_ITEM, TABLES, TableSpec, de
 from saleswright.sources.tables import RUN, read_runs, write_run
 
 _FAULTS, _RECORD, _CORRUPT = "_faults", "_record", "_corrupt"
+#: Keys at fault that are broadcast, some 60 bytes each once hashed; more are joined as Spark sees fit.
+_FEW = 1 << 21
 REJECTED = "reason string, record string"
 
 
@@ -117,9 +119,10 @@ def judged_rows(
     """Parsed rows with the faults that their keys and references add, where they had none.
 
     All rows of a key that repeats in the load are at fault, since files have no first row, and so are
-    those of a key that is there already. The keys at fault are stored first: Spark knows then how
-    small they are, and need not shuffle the rows to find the few of them. References are looked up
-    row by row, so that Spark can split the rows of one that many share; parents' keys are unique.
+    those of a key that is there already. The keys at fault and the references without a parent are
+    found from these columns alone and stored; up to ``_FEW`` of them are broadcast, so that rows are
+    only shuffled to find more. In a session without broadcasts references are looked up row by row,
+    so that Spark can split the rows of one that many share; parents' keys are unique.
     """
     key = spec.key
     sound = F.size(_FAULTS) == 0
@@ -128,14 +131,21 @@ def judged_rows(
     there = existing.select(F.col(key).alias("_taken")).join(
         keys, F.col("_taken") == keys[key], "left_semi"
     )
-    taken = _written(taken.unionAll(there).distinct(), f"taken-{spec.name}")
+    taken = _found(taken.unionAll(there).distinct(), f"taken-{spec.name}")
     found = rows.join(taken, rows[key] == taken["_taken"], "left")
     faults = [F.when(F.col("_taken").isNotNull(), F.lit(f"{key} repeated"))]
     for i, reference in enumerate(spec.foreign_keys):
         name = f"_parent{i}"
         parent = parents[reference.parent].select(F.col(reference.parent_column).alias(name))
-        found = found.join(parent, found[reference.column] == parent[name], "left")
-        lost = F.col(reference.column).isNotNull() & F.col(name).isNull()
+        if _broadcasts(rows.sparkSession):
+            value = F.col(reference.column)
+            values = rows.filter(sound & value.isNotNull()).select(value.alias(name)).distinct()
+            missing = _found(values.join(parent, name, "left_anti"), f"lost-{reference.name}")
+            found = found.join(missing, found[reference.column] == missing[name], "left")
+            lost = F.col(name).isNotNull()
+        else:
+            found = found.join(parent, found[reference.column] == parent[name], "left")
+            lost = F.col(reference.column).isNotNull() & F.col(name).isNull()
         faults.append(F.when(lost, F.lit(reference.name)))
     more = F.when(sound, F.array_compact(F.array(*faults))).otherwise(F.col(_FAULTS))
     return found.select(*spec.schema.names, more.alias(_FAULTS), _RECORD)
@@ -217,6 +227,17 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _broadcasts(spark: SparkSession) -> bool:
+    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+
+
+def _found(keys: DataFrame, label: str) -> DataFrame:
+    """Keys stored and, if they are few, to be broadcast to the rows that they are looked up for."""
+    stored = _written(keys, label)
+    few = _broadcasts(keys.sparkSession) and stored.count() <= _FEW
+    return F.broadcast(stored) if few else stored
+
+
 def _stored(spark: SparkSession, target: str, spec: TableSpec, but: str | None = None) -> DataFrame:
     """A table's rows, without those of one run; none if nothing has been loaded."""
     schema = StructType([*spec.schema.fields, StructField(RUN, StringType())])

@@ -1,5 +1,6 @@
 """Checked loads: what is rejected and why, cascades, repeated loads, and stopping."""
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -188,6 +189,34 @@ def test_a_hot_reference_is_split(spark, set_conf):
     assert "skew=true" in plan(judged)
 
 
+@pytest.mark.parametrize("few", [0, 1 << 21])
+def test_rows_are_not_shuffled_to_find_few_faults(spark, set_conf, monkeypatch, few):
+    """A threshold of a byte lets Spark broadcast nothing by its estimate."""
+    set_conf(spark__sql__autoBroadcastJoinThreshold="1b", spark__sql__adaptive__autoBroadcastJoinThreshold="1b")
+    monkeypatch.setattr(loading, "_FEW", few)
+    rows = spark.range(0, 1000, 1, 4).select(
+        (F.col("id") - F.when(F.col("id") % 100 == 1, 1).otherwise(0)).alias("Id"),
+        F.when(F.col("id") % 9 != 0, F.col("id") % 90).alias("OrderId"),
+        (F.col("id") % 50).alias("ProductId"),
+        F.lit(1).cast("decimal(12,2)").alias("UnitPrice"),
+        F.lit(1).alias("Quantity"),
+        F.when(F.col("id") < 5, F.array(F.lit("own"))).otherwise(F.array().cast("array<string>")).alias("_faults"),
+        F.lit(None).cast("string").alias("_record"),
+    )
+    orders, products = (spark.range(n).withColumnRenamed("id", "Id") for n in (80, 45))
+    existing = spark.range(990, 2000).withColumnRenamed("id", "Id")
+    judged = judged_rows(rows, ORDER_ITEM, existing, {"Order": orders, "Product": products})
+    wanted = Counter()
+    for i in range(1000):
+        key = i - (i % 100 == 1)
+        repeated = (i % 100 < 2 and i > 1) or key >= 990
+        lost = ["FK_ORDERITE_REFERENCE_ORDER"] * (i % 9 != 0 and i % 90 >= 80)
+        lost += ["FK_ORDERITE_REFERENCE_PRODUCT"] * (i % 50 >= 45)
+        wanted[("own",) if i < 5 else tuple(["Id repeated"] * repeated + lost)] += 1
+    assert Counter(tuple(r["_faults"]) for r in judged.collect()) == wanted
+    assert ("Exchange hashpartitioning" in plan(judged)) == (few == 0)
+
+
 def test_loaded_orders_and_lines_can_be_bucketed(spark, files, tmp_path):
     base = f"{tmp_path}/t"
     load_tables(spark, source_files(files), base, "1")
